@@ -47,11 +47,12 @@ def pos(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pos_stream(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """The glob lets the source be a single file or a folder of files."""
     schema = load(spark, folder, "lineitem").schema
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return pos_from_lineitem(reader.parquet(f"{folder}/lineitem.parquet"))
+    return pos_from_lineitem(reader.parquet(f"{folder}/lineitem.parque[t]"))
 
 
 def stores(spark: SparkSession, folder: str) -> DataFrame:
