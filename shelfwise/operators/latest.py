@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.schemas import PAIR
@@ -12,12 +14,16 @@ def latest_date(df: DataFrame, column: str = "transaction_date") -> Column:
     return df.select(F.max(column)).scalar()
 
 
-def on_latest_date(df: DataFrame, dates: DataFrame | None = None) -> DataFrame:
+def on_latest_date(
+    df: DataFrame, dates: DataFrame | None = None, as_of: datetime.date | None = None
+) -> DataFrame:
     """Rows of the one global latest date.
 
     ``dates`` may name a cheaper frame with the same maximum, e.g. bronze for an
-    unmaterialised silver plan.
+    unmaterialised silver plan; ``as_of`` gives the date where it is known.
     """
+    if as_of is not None:
+        return df.where(F.col("transaction_date") == F.lit(as_of))
     source = df if dates is None else dates
     return df.where(F.col("transaction_date") == latest_date(source))
 

@@ -19,13 +19,22 @@ def _failed(predicate: str) -> Column:
 
 
 def observe_rules(
-    df: DataFrame, observation: Observation, rules: Mapping[str, str] = DEFAULT_RULES
+    df: DataFrame,
+    observation: Observation,
+    rules: Mapping[str, str] = DEFAULT_RULES,
+    **extra: Column,
 ) -> DataFrame:
-    """Same rows; counts arrive in ``observation`` with whatever job writes them: no extra pass."""
+    """Same rows; counts and ``extra`` aggregates arrive in ``observation`` with the writing job.
+
+    Call it on the frame that is written, after its last shuffle: tasks of the
+    final stage are counted once, whereas a lost executor makes earlier stages
+    run, and count, again.
+    """
     return df.observe(
         observation,
         F.count(F.lit(1)).alias("rows"),
         *[_failed(predicate).alias(name) for name, predicate in rules.items()],
+        *[value.alias(name) for name, value in extra.items()],
     )
 
 

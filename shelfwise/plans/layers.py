@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -33,7 +34,7 @@ def silver(
     """
     if colocate:
         pos = pos.repartition(*PAIR)
-    rows = dedup(pos, order_by=order_by).select(
+    rows = dedup(pos, order_by=order_by, hash_first=not colocate).select(
         *POS.names,
         rolling_mean("qty_sold", SHORT_FRAME).alias("avg_daily_demand_7d"),
         rolling_mean("qty_sold", LONG_FRAME).alias("avg_daily_demand_14d"),
@@ -66,16 +67,21 @@ def signals(
 
 
 def gold(
-    silver_rows: DataFrame, dates: DataFrame | None = None, *, latest: str = "global", **rules
+    silver_rows: DataFrame,
+    dates: DataFrame | None = None,
+    *,
+    as_of: datetime.date | None = None,
+    latest: str = "global",
+    **rules,
 ) -> DataFrame:
     """Signals at the latest date.
 
     ``global`` keeps pairs that have a row on the one latest date; ``per_key``
-    keeps every pair at its own latest date. ``dates`` is passed on to
-    :func:`on_latest_date`; ``rules`` to :func:`signals`.
+    keeps every pair at its own latest date. ``dates`` and ``as_of`` are passed
+    on to :func:`on_latest_date`, ``rules`` to :func:`signals`.
     """
     if latest == "global":
-        rows = on_latest_date(silver_rows, dates)
+        rows = on_latest_date(silver_rows, dates, as_of)
     elif latest == "per_key":
         rows = on_latest_per_pair(silver_rows)
     else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -36,19 +37,28 @@ class Tables:
 
 def write_silver(
     pos: DataFrame, table: str, order_by=None, fmt: str = "parquet", **options
-) -> DataFrame:
-    """Write silver by date; returns the quality report, counted by the writing job itself."""
+) -> tuple[DataFrame, datetime.date | None]:
+    """Write silver by date; the same job yields the quality report and the latest date."""
     checks = Observation("quality")
-    rows = observe_rules(silver(pos, order_by, load_timestamp=True, **options), checks)
-    save_by_date(rows, table, comment=COMMENTS[SILVER], fmt=fmt)
+
+    def watch(rows: DataFrame) -> DataFrame:
+        return observe_rules(rows, checks, latest=F.max("transaction_date"))
+
+    save_by_date(
+        silver(pos, order_by, load_timestamp=True, **options), table,
+        comment=COMMENTS[SILVER], fmt=fmt, watch=watch,
+    )
     counts = checks.get
     lines = [(rule, counts["rows"] - counts[rule], counts[rule]) for rule in DEFAULT_RULES]
-    return pos.sparkSession.createDataFrame(lines, "rule string, passed bigint, failed bigint")
+    report = pos.sparkSession.createDataFrame(lines, "rule string, passed bigint, failed bigint")
+    return report, counts["latest"]
 
 
-def write_gold(spark: SparkSession, silver_table: str, gold_table: str, fmt: str = "parquet", **rules) -> None:
-    """Gold from the stored silver table: the latest-date subquery prunes it to one partition."""
-    save_table(gold(spark.table(silver_table), **rules), gold_table, COMMENTS[GOLD], fmt)
+def write_gold(
+    spark: SparkSession, silver_table: str, gold_table: str, fmt: str = "parquet", **options
+) -> None:
+    """Gold from the stored silver table, of which it reads one date partition."""
+    save_table(gold(spark.table(silver_table), **options), gold_table, COMMENTS[GOLD], fmt)
 
 
 def run(
@@ -75,9 +85,9 @@ def run(
     else:
         save_table(pos, tables.name(BRONZE), COMMENTS[BRONZE], fmt)
         pos = spark.table(tables.name(BRONZE))
-    report = write_silver(pos, tables.name(SILVER), order_by, fmt)
+    report, as_of = write_silver(pos, tables.name(SILVER), order_by, fmt)
     save_table(report.withColumn("checked_at", F.current_timestamp()), tables.name(QUALITY), fmt=fmt)
-    write_gold(spark, tables.name(SILVER), tables.name(GOLD), fmt, **rules)
+    write_gold(spark, tables.name(SILVER), tables.name(GOLD), fmt, as_of=as_of, **rules)
     signals = spark.table(tables.name(GOLD))
     save_table(kpi_snapshot(signals, stores, skus), tables.name(SNAPSHOT), fmt=fmt)
     save_by_date(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,15 +33,18 @@ def save_by_date(
     comment: str | None = None,
     fmt: str = "parquet",
     keep_other_dates: bool = False,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Date-partitioned table, replaced as a whole or only on the dates in ``df``.
 
     The rebalance gathers each date in as few files as its size allows and lets
     AQE split a date that is too large for one task. Without it every task would
-    open a file per date.
+    open a file per date. ``watch`` is applied after it, in the writing stage.
     """
     spark = df.sparkSession
     shaped = df.hint("rebalance", column)
+    if watch:
+        shaped = watch(shaped)
     if keep_other_dates and spark.catalog.tableExists(table):
         (shaped.select(*spark.table(table).columns).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").insertInto(table))
