@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +27,18 @@ def save_table(df: DataFrame, table: str, comment: str | None = None, fmt: str =
     _comment(df.sparkSession, table, comment)
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """``insertInto`` takes the mode from the session only; a writer option is ignored."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def save_by_date(
     df: DataFrame,
     table: str,
@@ -46,8 +59,8 @@ def save_by_date(
     if watch:
         shaped = watch(shaped)
     if keep_other_dates and spark.catalog.tableExists(table):
-        (shaped.select(*spark.table(table).columns).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").insertInto(table))
+        with _dynamic_overwrite(spark):
+            shaped.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     else:
         shaped.write.format(fmt).mode("overwrite").partitionBy(column).saveAsTable(table)
     _comment(spark, table, comment)

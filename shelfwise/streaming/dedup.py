@@ -16,8 +16,8 @@ def closed_cells(
 ) -> DataFrame:
     """One row per store, SKU and date, emitted once the date has closed.
 
-    A date closes when the newest date seen is ``delay`` past it; rows for closed
-    dates are late and dropped, and state holds open dates only. The survivor is
+    A date closes when the newest date seen is ``delay`` past it; rows that come
+    after its cells were emitted are dropped, and state holds open dates only. The survivor is
     the smallest row by ``order_by``, the same one the batch dedup keeps, not the
     first to arrive. As an aggregation it merges copies before the shuffle.
     """

@@ -12,7 +12,7 @@ from shelfwise.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     base = tmp_path_factory.mktemp("spark")
     session = local_session(
-        8, 8, **{
+        8, 4, **{
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": str(base / "warehouse"),
             "spark.checkpoint.dir": str(base / "shared"),
