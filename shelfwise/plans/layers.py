@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions import days_of_supply, status
 from shelfwise.operators import dedup, on_latest_date, on_latest_per_pair, rolling_mean
@@ -17,13 +17,16 @@ def bronze(pos: DataFrame) -> DataFrame:
     return pos.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in POS])
 
 
-def silver(
-    pos: DataFrame,
-    order_by: Sequence | None = None,
-    *,
-    colocate: bool = False,
-    load_timestamp: bool = False,
-) -> DataFrame:
+def with_demand(rows: DataFrame) -> DataFrame:
+    """Silver columns of deduplicated rows."""
+    return rows.select(
+        *POS.names,
+        rolling_mean("qty_sold", SHORT_FRAME).alias("avg_daily_demand_7d"),
+        rolling_mean("qty_sold", LONG_FRAME).alias("avg_daily_demand_14d"),
+    )
+
+
+def silver(pos: DataFrame, order_by: Sequence | None = None, *, colocate: bool = False) -> DataFrame:
     """One row per store, SKU and date with trailing 7- and 14-row demand.
 
     Two shuffles by default: duplicates are cut on the map side and meet on
@@ -34,12 +37,48 @@ def silver(
     """
     if colocate:
         pos = pos.repartition(*PAIR)
-    rows = dedup(pos, order_by=order_by, hash_first=not colocate).select(
-        *POS.names,
-        rolling_mean("qty_sold", SHORT_FRAME).alias("avg_daily_demand_7d"),
-        rolling_mean("qty_sold", LONG_FRAME).alias("avg_daily_demand_14d"),
-    )
-    return rows.withColumn("load_timestamp", F.current_timestamp()) if load_timestamp else rows
+    return with_demand(dedup(pos, order_by=order_by, hash_first=not colocate))
+
+
+def carried_rows(
+    stored: DataFrame, pairs: DataFrame, since: datetime.date, lookback_days: int
+) -> DataFrame:
+    """The rows before ``since`` that frames of later rows can reach: 13 per pair.
+
+    Most pairs have them within ``lookback_days``, and only those partitions are
+    read for them. Pairs that are short there are looked up in all older dates;
+    where none is, AQE drops that scan.
+    """
+    reach = LONG_FRAME - 1
+    day = F.col("transaction_date")
+    edge = F.lit(since - datetime.timedelta(days=lookback_days))
+    before = stored.select(*POS.names).where(day < F.lit(since))
+    recent = before.where(day >= edge).join(pairs, PAIR, "left_semi")
+    complete = recent.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= reach)
+    short = pairs.join(complete, PAIR, "left_anti")
+    older = before.where(day < edge).join(short, PAIR, "left_semi")
+    newest = Window.partitionBy(*PAIR).orderBy(F.desc("transaction_date"))
+    rows = recent.unionByName(older).withColumn("_rn", F.row_number().over(newest))
+    return rows.where(F.col("_rn") <= reach).drop("_rn")
+
+
+def silver_since(
+    pos: DataFrame,
+    stored: DataFrame,
+    since: datetime.date,
+    order_by: Sequence | None = None,
+    lookback_days: int = 28,
+) -> DataFrame:
+    """The silver rows from ``since`` on, given the stored silver of earlier dates.
+
+    Equal to those dates of ``silver(pos)`` as long as no row before ``since``
+    has changed, and reads of ``pos`` only the dates from there.
+    """
+    day = F.col("transaction_date")
+    fresh = dedup(pos.where(day >= F.lit(since)), order_by=order_by).select(*POS.names)
+    pairs = fresh.select(*PAIR).distinct()
+    rows = fresh.unionByName(carried_rows(stored, pairs, since, lookback_days))
+    return with_demand(rows).where(day >= F.lit(since))
 
 
 def signals(

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfwise.operators import DEFAULT_RULES, observe_rules
-from shelfwise.plans.layers import gold, silver
+from shelfwise.plans.layers import gold, silver, silver_since
 from shelfwise.plans.orders import purchase_order_lines
 from shelfwise.plans.snapshot import kpi_snapshot
 from shelfwise.schemas import BRONZE, GOLD, SILVER
@@ -36,22 +36,22 @@ class Tables:
 
 
 def write_silver(
-    pos: DataFrame, table: str, order_by=None, fmt: str = "parquet", **options
+    rows: DataFrame, table: str, fmt: str = "parquet", keep_other_dates: bool = False
 ) -> tuple[DataFrame, datetime.date | None]:
     """Write silver by date; the same job yields the quality report and the latest date."""
     checks = Observation("quality")
 
-    def watch(rows: DataFrame) -> DataFrame:
-        return observe_rules(rows, checks, latest=F.max("transaction_date"))
+    def watch(shaped: DataFrame) -> DataFrame:
+        return observe_rules(shaped, checks, latest=F.max("transaction_date"))
 
     save_by_date(
-        silver(pos, order_by, load_timestamp=True, **options), table,
-        comment=COMMENTS[SILVER], fmt=fmt, watch=watch,
+        rows.withColumn("load_timestamp", F.current_timestamp()), table,
+        comment=COMMENTS[SILVER], fmt=fmt, keep_other_dates=keep_other_dates, watch=watch,
     )
     counts = checks.get
     lines = [(rule, counts["rows"] - counts[rule], counts[rule]) for rule in DEFAULT_RULES]
-    report = pos.sparkSession.createDataFrame(lines, "rule string, passed bigint, failed bigint")
-    return report, counts["latest"]
+    report = rows.sparkSession.createDataFrame(lines, "rule string, passed bigint, failed bigint")
+    return report.withColumn("checked_at", F.current_timestamp()), counts["latest"]
 
 
 def write_gold(
@@ -61,6 +61,19 @@ def write_gold(
     save_table(gold(spark.table(silver_table), **options), gold_table, COMMENTS[GOLD], fmt)
 
 
+def _publish(
+    spark: SparkSession, tables: Tables, stores: DataFrame, skus: DataFrame, fmt: str, **options
+) -> None:
+    """Everything that follows from the stored silver table."""
+    write_gold(spark, tables.name(SILVER), tables.name(GOLD), fmt, **options)
+    signals = spark.table(tables.name(GOLD))
+    save_table(kpi_snapshot(signals, stores, skus), tables.name(SNAPSHOT), fmt=fmt)
+    save_by_date(
+        purchase_order_lines(signals, stores, skus), tables.name(ORDERS), "signal_date",
+        fmt=fmt, keep_other_dates=True,
+    )
+
+
 def run(
     spark: SparkSession,
     database: str,
@@ -85,13 +98,34 @@ def run(
     else:
         save_table(pos, tables.name(BRONZE), COMMENTS[BRONZE], fmt)
         pos = spark.table(tables.name(BRONZE))
-    report, as_of = write_silver(pos, tables.name(SILVER), order_by, fmt)
-    save_table(report.withColumn("checked_at", F.current_timestamp()), tables.name(QUALITY), fmt=fmt)
-    write_gold(spark, tables.name(SILVER), tables.name(GOLD), fmt, as_of=as_of, **rules)
-    signals = spark.table(tables.name(GOLD))
-    save_table(kpi_snapshot(signals, stores, skus), tables.name(SNAPSHOT), fmt=fmt)
-    save_by_date(
-        purchase_order_lines(signals, stores, skus), tables.name(ORDERS), "signal_date",
-        fmt=fmt, keep_other_dates=True,
-    )
+    report, as_of = write_silver(silver(pos, order_by), tables.name(SILVER), fmt)
+    save_table(report, tables.name(QUALITY), fmt=fmt)
+    _publish(spark, tables, stores, skus, fmt, as_of=as_of, **rules)
+    return tables
+
+
+def extend(
+    spark: SparkSession,
+    database: str,
+    pos: DataFrame,
+    stores: DataFrame,
+    skus: DataFrame,
+    since: datetime.date,
+    *,
+    order_by=None,
+    lookback_days: int = 28,
+    fmt: str = "parquet",
+    **rules,
+) -> Tables:
+    """Refresh after rows were added on dates from ``since`` on; earlier dates stay as they are.
+
+    ``pos`` holds all raw rows of those dates, old and new; it may hold more. A
+    failed run leaves dates before ``since`` untouched, so it can simply be repeated.
+    """
+    tables = Tables(database)
+    stored = spark.table(tables.name(SILVER))
+    rows = silver_since(pos, stored, since, order_by, lookback_days)
+    report, as_of = write_silver(rows, tables.name(SILVER), fmt, keep_other_dates=True)
+    report.write.format(fmt).mode("append").saveAsTable(tables.name(QUALITY))
+    _publish(spark, tables, stores, skus, fmt, as_of=as_of, **rules)
     return tables

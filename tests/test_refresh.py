@@ -1,12 +1,12 @@
 """The batch refresh into tables."""
 
-import datetime
-
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import brute_signals, day, dims, pos_frame, random_sales, rows_of, sale
 from shelfwise.plans import gold, kpis, refresh, silver
-from shelfwise.schemas import BRONZE, GOLD, SILVER
+from shelfwise.plans.layers import silver_since
+from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
 from shelfwise.sources import read_pos, read_table, write_parquet
 
 
@@ -78,3 +78,37 @@ def test_rules_reach_gold(spark, database):
     pos = pos_frame(spark, [sale(1, 1, 0, 0, 0)])
     tables = refresh.run(spark, database, pos, stores, skus, zero_demand_policy="reorder_if_empty")
     assert spark.table(tables.name(GOLD)).first().replenishment_status == "REORDER NOW"
+
+
+@pytest.mark.parametrize("lookback", [1, 5, 28])
+def test_silver_since_equals_full_silver(spark, lookback):
+    sales = random_sales(24, n=500, days=60)
+    full = silver(pos_frame(spark, sales)).persist()
+    for n in (0, 30, 59):
+        later = F.col("transaction_date") >= F.lit(day(n))
+        part = silver_since(pos_frame(spark, sales), full.where(~later), day(n), lookback_days=lookback)
+        assert rows_of(part) == rows_of(full.where(later))
+    full.unpersist()
+
+
+def test_extending_equals_refreshing(spark, database):
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(25, n=500, days=50)
+    early = [r for r in sales if r[2] < day(40)]
+    refresh.run(spark, database, pos_frame(spark, early), stores, skus)
+    for _ in range(2):
+        tables = refresh.extend(
+            spark, database, pos_frame(spark, sales), stores, skus, day(40), lookback_days=10)
+        stored = spark.table(tables.name(SILVER)).select(*POS.names, "avg_daily_demand_7d", "avg_daily_demand_14d")
+        expected = silver(pos_frame(spark, sales))
+        assert rows_of(stored) == rows_of(expected)
+        assert rows_of(spark.table(tables.name(GOLD))) == rows_of(gold(expected))
+    assert spark.table(tables.name(refresh.QUALITY)).count() == 6
+
+
+def test_extending_with_nothing_new(spark, database):
+    stores, skus = dims(spark)
+    pos = pos_frame(spark, [sale(1, 1, 0, 9, 0)])
+    refresh.run(spark, database, pos, stores, skus)
+    tables = refresh.extend(spark, database, pos, stores, skus, day(5))
+    assert rows_of(spark.table(tables.name(GOLD)), "signal_date") == [(day(0),)]
