@@ -21,6 +21,15 @@ from shelfwise.streaming import (  # noqa: E402
     LiveSignals, closed_cells, ingest, run_available, window_demand,
 )
 
+try:
+    import corpus_pipeline
+    from shelfwise.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    # The package and the pipeline may have been taken out; anything else missing is an error.
+    if missing.name not in ("corpus_pipeline", "shelfwise.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the named questions.
@@ -163,7 +172,7 @@ def queries() -> dict[str, Query]:
             return build(_gold(spark, folder), *sides, **options)
         return run
 
-    return {
+    out: dict[str, Query] = {
         # sources and dimensions
         "bronze_pos": lambda s, d: layers.bronze(td.pos(s, d)),
         "dim_stores": td.stores,
@@ -235,8 +244,16 @@ def queries() -> dict[str, Query]:
         "stream_gold_signals": _stream_gold,
         "stream_window_demand": _stream_windows,
     }
+    if llm_queries:
+        out |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return out
 
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL with the same columns, by query name."""
-    return dict(ORACLE)
+    out = dict(ORACLE)
+    if llm_queries:
+        out |= llm_queries.ORACLE
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
