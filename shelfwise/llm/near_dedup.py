@@ -11,8 +11,8 @@
    large then is compared block by block.
 3. Within a leaf the sketches of all classes are compared. First every class
    is held against one partner only; the links confirmed on the full sets
-   give components. Then the leaves are compared again and all pairs that may be
-   similar but lie in different components are confirmed as well. So a group
+   give components. Then the leaves are compared again by a finer sketch, and all
+   pairs that may be similar but lie in different components are confirmed as well. So a group
    of n copies costs about n confirmed pairs, not n squared, and no component is
    lost, as pairs inside one can add nothing to it.
 """
@@ -32,6 +32,7 @@ from shelfwise.llm.components import components
 
 WORDS, THRESHOLD = 5, 0.8
 POSITIONS = 128          # minwise tokens of a set
+BINS = 512               # of the finer sketch: the least hash of each equal part of the hash range
 TREES, DEPTH = 8, 5
 LEAF, BLOCK = 128, 1024  # classes in a leaf; classes in a block of a leaf that stays large
 DEVIATIONS = 4           # of the sketch estimate below the threshold that still count as similar
@@ -96,8 +97,20 @@ def minwise(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def binned(hashes: np.ndarray) -> bytes:
+    """A byte of the least hash in each of ``BINS`` parts of the hash range, 0 where there is none.
+
+    Of a small set nearly all members are in it, of a large one ``BINS`` of them.
+    """
+    out = np.zeros(BINS, np.uint8)
+    part = (hashes >> np.uint64(65 - BINS.bit_length())).astype(np.int64)
+    first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
+    out[part[first]] = np.maximum(hashes[first] & np.uint64(255), np.uint64(1))
+    return out.tobytes()
+
+
 def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
-    """``doc_id, text_hash, n_shingles, set_id, tokens``; the last two are null for an empty set."""
+    """``doc_id, text_hash, n_shingles, set_id, tokens, bins``; the last three are null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _Hashes()
         for batch in small_batches(batches):
@@ -109,12 +122,13 @@ def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
                 pa.array([next(tokens).tobytes() if len(s) else None for s in sets], pa.binary()),
-            ], names=["doc_id", "text_hash", "n_shingles", "set_id", "tokens"])
+                pa.array([binned(s) if len(s) else None for s in sets], pa.binary()),
+            ], names=["doc_id", "text_hash", "n_shingles", "set_id", "tokens", "bins"])
 
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text",
                             F.xxhash64("text").alias("text_hash"))
     return rows.mapInArrow(
-        run, "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, tokens binary")
+        run, "doc_id bigint, text_hash bigint, n_shingles bigint, set_id binary, tokens binary, bins binary")
 
 
 def _token(position: Column) -> Column:
@@ -245,26 +259,43 @@ def _first_partners(threshold: float):
 
 
 def _open_pairs(threshold: float):
-    """``u, v``: all pairs that may be similar and lie in different components."""
-    least = threshold - DEVIATIONS * _spread(threshold)
+    """``u, v``: all pairs that may be similar and lie in different components, by the finer sketch.
 
+    The estimate rests on m of about N members of the union, so its variance shrinks
+    by ``1 - m / N`` besides; nothing is lost down to ``DEVIATIONS`` of it below the threshold.
+    """
     def run(batches):
         for rows in _by_leaf(batches):
             if len(set(rows["label"])) < 2:
                 continue
+            ids, number = rows["set_id"], {}
+            label = np.array([number.setdefault(x, len(number)) for x in rows["label"]])
+            bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(len(ids), BINS)
+            sizes = np.array(rows["n"], np.float64)
+            side = np.array([-1 if x is None else x for x in rows["side"]])
             u, v = [], []
-            for i, j, _ in _pairs(rows, least):
-                other = [x for x in j.tolist() if rows["label"][x] != rows["label"][i]]
-                u += [rows["set_id"][i]] * len(other)
-                v += [rows["set_id"][x] for x in other]
+            for i in range(1, len(ids)):
+                j = np.flatnonzero(
+                    (label[:i] != label[i]) & ((side[:i] < 0) | (side[:i] != side[i]))
+                    & (np.minimum(sizes[:i], sizes[i]) >= threshold * np.maximum(sizes[:i], sizes[i])))
+                if not len(j):
+                    continue
+                filled = (bins[j] | bins[i]) != 0
+                m = filled.sum(axis=1)
+                like = (((bins[j] == bins[i]) & filled).sum(axis=1) / m - 1 / 256) * (256 / 255)
+                union = (sizes[j] + sizes[i]) / (1 + threshold)
+                spread = np.sqrt(threshold * (1 - threshold) / m * np.clip(1 - m / union, 0.02, 1))
+                for x in j[like >= threshold - DEVIATIONS * spread - 0.005]:
+                    u.append(max(ids[i], ids[x]))
+                    v.append(min(ids[i], ids[x]))
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
     return run
 
 
-def _gathered(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Rows of a leaf next to each other, with size and sketch: the lowest byte of each token."""
-    full = rows.join(classes.select("set_id", F.col("n_shingles").alias("n"), "sketch"), "set_id")
+def _gathered(rows: DataFrame, classes: DataFrame, sketch: str) -> DataFrame:
+    """Rows of a leaf next to each other, with size and sketch."""
+    full = rows.join(classes.select("set_id", F.col("n_shingles").alias("n"), sketch), "set_id")
     return full.repartition("leaf").sortWithinPartitions("leaf")
 
 
@@ -310,10 +341,11 @@ def near_duplicates(
     """
     base = stored(signatures(documents, words), "signatures")
     classes = stored(
-        base.where("set_id IS NOT NULL").select("set_id", "n_shingles", "tokens").dropDuplicates(["set_id"])
+        base.where("set_id IS NOT NULL").select("set_id", "n_shingles", "tokens", "bins").dropDuplicates(["set_id"])
+        # The sketch is the lowest byte of each token.
         .withColumn("sketch", F.unhex(F.regexp_replace(F.hex("tokens"), "(..)......", "$1"))), "classes")
     members = stored(
-        _gathered(leaves(classes, trees), classes).select("leaf", "side", "set_id", "n", "sketch")
+        _gathered(leaves(classes, trees), classes, "sketch").select("leaf", "side", "set_id", "n", "sketch")
         .mapInArrow(_first_partners(threshold), "leaf bigint, side int, set_id binary, partner binary, sure boolean"),
         "members")
     sets = stored(_full_sets(documents, base, members.select("set_id").distinct(), words), "sets")
@@ -326,7 +358,7 @@ def near_duplicates(
     comparing = members.select("leaf", "side", "set_id").distinct()
     labelled = (comparing.join(labels, comparing["set_id"] == labels["node"], "left")
                 .select("leaf", "side", "set_id", F.coalesce("label", "set_id").alias("label")))
-    more = (_gathered(labelled, classes).select("leaf", "side", "set_id", "n", "sketch", "label")
+    more = (_gathered(labelled, classes, "bins").select("leaf", "side", "set_id", "n", "bins", "label")
             .mapInArrow(_open_pairs(threshold), "u binary, v binary").distinct())
     labels = components(links.unionByName(_confirm(more, sets, threshold)))
 
