@@ -101,20 +101,24 @@ def disclosing_terms(documents: DataFrame, found: DataFrame, disclosure: float =
     mentions = found.select("text_hash", F.explode("near").alias("m")).select("text_hash", "m.entity", "m.terms")
     entities = mentions.select("entity", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
     pairs = stored(mentions.select("text_hash", "entity", F.explode("terms").alias("term")).distinct(), "pairs")
+    n = found.select("text_hash").distinct().agg(F.count(F.lit(1)).alias("n"))
+    information = F.log2(F.col("n") / F.col("n_e"))
+    mutual = lambda texts: F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col(texts)))
+    telling = lambda texts: (information > 0) & (mutual(texts) >= disclosure * information)
     joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support)
-    joint = stored(joint, "joint")
+    # The texts where a term stands near any entity are some of its texts: terms with too many of
+    # them already disclose nothing, so only the others are counted in the whole corpus.
+    near = pairs.select("text_hash", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    joint = joint.join(near, "term").join(entities, "entity").join(F.broadcast(n)).where(telling("n_near"))  # n is one row
+    joint = stored(joint.drop("n_near"), "joint")
     candidates = joint.select("term").distinct()
     words = documents.select(
         F.xxhash64("text").alias("text_hash"), F.explode(F.array_distinct(F.split(F.lower("text"), NOT_LETTERS))).alias("term")
     ).where(F.length("term") >= LETTERS)
     terms = (words.join(candidates, "term", "left_semi").distinct()
              .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    n = found.select("text_hash").distinct().agg(F.count(F.lit(1)).alias("n"))
-    rated = joint.join(terms, "term").join(entities, "entity").join(F.broadcast(n))  # n is one row
-    information = F.log2(F.col("n") / F.col("n_e"))
-    mutual = F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
-    telling = rated.where((information > 0) & (mutual >= disclosure * information)).select("entity", "term")
-    return pairs.join(telling, ["entity", "term"], "left_semi").select("text_hash", "term").distinct()
+    told = joint.join(terms, "term").where(telling("n_t")).select("entity", "term")
+    return pairs.join(told, ["entity", "term"], "left_semi").select("text_hash", "term").distinct()
 
 
 def findings(documents: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
