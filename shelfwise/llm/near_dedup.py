@@ -11,10 +11,11 @@
    large then is compared block by block.
 3. Within a leaf the sketches of all classes are compared. First every class
    is held against one partner only; the links confirmed on the full sets
-   give components. Then the leaves are compared again by a finer sketch, and all
-   pairs that may be similar but lie in different components are confirmed as well. So a group
-   of n copies costs about n confirmed pairs, not n squared, and no component is
-   lost, as pairs inside one can add nothing to it.
+   give components. Then a finer sketch tells which classes of a leaf may be similar
+   to one of another component; their full sets meet in the leaf, all their pairs
+   are compared exactly there, and one link for each two components that join comes out. So a
+   group of n copies gives about n rows, not n squared, and no component is lost,
+   as pairs inside one can add nothing to it.
 """
 
 from __future__ import annotations
@@ -34,7 +35,8 @@ WORDS, THRESHOLD = 5, 0.8
 POSITIONS = 128          # minwise tokens of a set
 BINS = 512               # of the finer sketch: the least hash of each equal part of the hash range
 TREES, DEPTH = 8, 5
-LEAF, BLOCK = 128, 1024  # classes in a leaf; classes in a block of a leaf that stays large
+LEAF, BLOCK = 128, 512   # classes in a leaf; classes in a block of a leaf that stays large
+COLUMNS = 8192           # shingles of a leaf that are compared at a time
 DEVIATIONS = 4           # of the sketch estimate below the threshold that still count as similar
 VOCABULARY = 500_000     # word hashes that a worker remembers
 CHUNK = 200_000          # shingles hashed at a time
@@ -258,8 +260,8 @@ def _first_partners(threshold: float):
     return run
 
 
-def _open_pairs(threshold: float):
-    """``u, v``: all pairs that may be similar and lie in different components, by the finer sketch.
+def _open_members(threshold: float):
+    """``leaf, side, set_id, label``: classes that may be similar to one of another component, by the finer sketch.
 
     The estimate rests on m of about N members of the union, so its variance shrinks
     by ``1 - m / N`` besides; nothing is lost down to ``DEVIATIONS`` of it below the threshold.
@@ -268,13 +270,13 @@ def _open_pairs(threshold: float):
         for rows in _by_leaf(batches):
             if len(set(rows["label"])) < 2:
                 continue
-            ids, number = rows["set_id"], {}
+            number: dict = {}
             label = np.array([number.setdefault(x, len(number)) for x in rows["label"]])
-            bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(len(ids), BINS)
+            bins = np.frombuffer(b"".join(rows["bins"]), np.uint8).reshape(len(label), BINS)
             sizes = np.array(rows["n"], np.float64)
             side = np.array([-1 if x is None else x for x in rows["side"]])
-            u, v = [], []
-            for i in range(1, len(ids)):
+            found = np.zeros(len(label), bool)
+            for i in range(1, len(label)):
                 j = np.flatnonzero(
                     (label[:i] != label[i]) & ((side[:i] < 0) | (side[:i] != side[i]))
                     & (np.minimum(sizes[:i], sizes[i]) >= threshold * np.maximum(sizes[:i], sizes[i])))
@@ -285,9 +287,62 @@ def _open_pairs(threshold: float):
                 like = (((bins[j] == bins[i]) & filled).sum(axis=1) / m - 1 / 256) * (256 / 255)
                 union = (sizes[j] + sizes[i]) / (1 + threshold)
                 spread = np.sqrt(threshold * (1 - threshold) / m * np.clip(1 - m / union, 0.02, 1))
-                for x in j[like >= threshold - DEVIATIONS * spread - 0.005]:
-                    u.append(max(ids[i], ids[x]))
-                    v.append(min(ids[i], ids[x]))
+                near = j[like >= threshold - DEVIATIONS * spread - 0.005]
+                found[near] = True
+                found[i] |= len(near) > 0
+            at = np.flatnonzero(found).tolist()
+            if at:
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([rows[name][i] for i in at], kind) for name, kind in
+                    (("leaf", pa.int64()), ("side", pa.int32()), ("set_id", pa.binary()), ("label", pa.binary()))
+                ], names=["leaf", "side", "set_id", "label"])
+    return run
+
+
+def common_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles any two sets share, from products of membership matrices, some columns at a time."""
+    counts = np.zeros((len(sets), len(sets)), np.float64)
+    values = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    by = np.argsort(values, kind="stable")
+    values, owner = values[by], owner[by]
+    new = np.concatenate(([True], values[1:] != values[:-1]))
+    column = np.cumsum(new) - 1
+    often = np.bincount(column) > 1
+    place = np.cumsum(often) - 1
+    shared = often[column]
+    owner, column = owner[shared], place[column[shared]]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [start, start + COLUMNS])
+        matrix = np.zeros((len(sets), COLUMNS), np.float32)
+        matrix[owner[a:b], column[a:b] - start] = 1
+        counts += matrix @ matrix.T
+    np.fill_diagonal(counts, [len(s) for s in sets])
+    return counts
+
+
+def _exact_links(threshold: float):
+    """``u, v``: links confirmed on the full sets that join the components of a leaf, one for each that it joins."""
+    percent = round(threshold * 100)
+
+    def run(batches):
+        for rows in _by_leaf(batches):
+            sets = [np.frombuffer(x, np.uint64) for x in rows["shingles"]]
+            sizes = np.array([len(x) for x in sets], np.float64)
+            common = common_counts(sets)
+            similar = common * 100 >= percent * (sizes[:, None] + sizes[None, :] - common)
+            side = np.array([-1 if x is None else x for x in rows["side"]])
+            similar &= (side[:, None] < 0) | (side[:, None] != side[None, :])
+            number: dict = {}
+            label = np.array([number.setdefault(x, len(number)) for x in rows["label"]])
+            u, v = [], []
+            for i in range(len(sets)):
+                others = np.flatnonzero(similar[i] & (label != label[i]))
+                while len(others):
+                    u.append(rows["set_id"][i])
+                    v.append(rows["set_id"][others[0]])
+                    label[label == label[others[0]]] = label[i]
+                    others = others[label[others] != label[i]]
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
     return run
@@ -301,12 +356,18 @@ def _gathered(rows: DataFrame, classes: DataFrame, sketch: str) -> DataFrame:
 
 def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose full sets are similar enough, compared in whole numbers."""
+    percent = round(threshold * 100)
+
+    def run(batches):
+        for batch in batches:
+            a, b = ([np.frombuffer(x, np.uint64) for x in batch.column(n).to_pylist()] for n in ("_a", "_b"))
+            common = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(a, b)]
+            right = [c * 100 >= percent * (len(x) + len(y) - c) for c, x, y in zip(common, a, b)]
+            yield batch.select(["u", "v"]).filter(pa.array(right, pa.bool_()))
+
     a = sets.select(F.col("set_id").alias("u"), F.col("shingles").alias("_a"))
     b = sets.select(F.col("set_id").alias("v"), F.col("shingles").alias("_b"))
-    common = F.size(F.array_intersect("_a", "_b"))
-    union = F.size("_a") + F.size("_b") - F.col("_common")
-    return (pairs.join(a, "u").join(b, "v").withColumn("_common", common)
-            .where(F.col("_common") * 100 >= F.lit(round(threshold * 100)) * union).select("u", "v"))
+    return pairs.join(a, "u").join(b, "v").select("u", "v", "_a", "_b").mapInArrow(run, "u binary, v binary")
 
 
 def _full_sets(documents: DataFrame, base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -314,9 +375,8 @@ def _full_sets(documents: DataFrame, base: DataFrame, wanted: DataFrame, words:
     def run(batches):
         hashes = _Hashes()
         for batch in small_batches(batches):
-            sets = [shingle_set(t, words, hashes).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("set_id"), pa.array(sets, pa.list_(pa.int64()))], names=["set_id", "shingles"])
+            sets = [shingle_set(t, words, hashes).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(sets, pa.binary())], names=["set_id", "shingles"])
 
     one = (base.join(wanted, "set_id", "left_semi").groupBy("set_id")
            .agg(F.min(F.struct("doc_id", "text_hash")).alias("one"))
@@ -324,7 +384,7 @@ def _full_sets(documents: DataFrame, base: DataFrame, wanted: DataFrame, words:
     texts = documents.select(F.col("doc_id").cast("bigint").alias("_id"), "text")
     # Repeated rows of one document would give the set twice.
     found = texts.join(one, F.col("_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash")))
-    return (found.select("set_id", "text").mapInArrow(run, "set_id binary, shingles array<bigint>")
+    return (found.select("set_id", "text").mapInArrow(run, "set_id binary, shingles binary")
             .dropDuplicates(["set_id"]))
 
 
@@ -358,9 +418,11 @@ def near_duplicates(
     comparing = members.select("leaf", "side", "set_id").distinct()
     labelled = (comparing.join(labels, comparing["set_id"] == labels["node"], "left")
                 .select("leaf", "side", "set_id", F.coalesce("label", "set_id").alias("label")))
-    more = (_gathered(labelled, classes, "bins").select("leaf", "side", "set_id", "n", "bins", "label")
-            .mapInArrow(_open_pairs(threshold), "u binary, v binary").distinct())
-    labels = components(links.unionByName(_confirm(more, sets, threshold)))
+    still = (_gathered(labelled, classes, "bins").select("leaf", "side", "set_id", "n", "bins", "label")
+             .mapInArrow(_open_members(threshold), "leaf bigint, side int, set_id binary, label binary"))
+    more = (still.join(sets, "set_id").repartition("leaf").sortWithinPartitions("leaf")
+            .mapInArrow(_exact_links(threshold), "u binary, v binary"))
+    labels = components(links.unionByName(more))
 
     ids = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     ids = (ids.join(labels, ids["set_id"] == labels["node"], "left")
