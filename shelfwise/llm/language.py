@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, functions as F
 from shelfwise.llm.common import small_batches
 
 ORDER = 5
-SAMPLE = 600            # documents per language that models are counted and calibrated from, about
-SAMPLE_CHARS = 50_000   # the longest document in that sample
+SAMPLE = 300            # documents per language that models are counted and calibrated from, about
+SAMPLE_CHARS = 20_000   # the longest document in that sample
 CALIBRATION = 4         # one of so many documents of the sample calibrates
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
