@@ -22,7 +22,7 @@ from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise.llm.common import stored
 from shelfwise.session import run_folder
@@ -40,7 +40,7 @@ NAMES = [part.split()[0] for part in ENTRY.split(", ")]
 KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())  # a type given as text would need a session at import
 def _base32(digest: pd.Series) -> pd.Series:
     return digest.map(lambda h: base64.b32encode(bytes.fromhex(h)).decode())
 
