@@ -14,11 +14,11 @@ from oracle_queries import ORACLE  # noqa: E402
 from shelfwise import functions as fn, operators as op  # noqa: E402
 from shelfwise.functions.labels import CATEGORIES, REGIONS  # noqa: E402
 from shelfwise.plans import kpis, layers, orders, questions, snapshot  # noqa: E402
-from shelfwise.schemas import CELL, PAIR  # noqa: E402
+from shelfwise.schemas import CELL  # noqa: E402
 from shelfwise.session import run_folder  # noqa: E402
-from shelfwise.sources import testdata as td, write_parquet  # noqa: E402
+from shelfwise.sources import testdata as td  # noqa: E402
 from shelfwise.streaming import (  # noqa: E402
-    LiveSignals, closed_cells, ingest, run_available, window_demand,
+    CellStore, LiveSignals, ingest, run_available, window_demand,
 )
 
 try:
@@ -133,30 +133,23 @@ def _stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/rows").drop("batch_id")
 
 
-def _collected(spark: SparkSession, stream: DataFrame, purpose: str) -> DataFrame:
-    """Run an append-mode stream over everything that has landed and read its sink."""
-    root = run_folder(spark, purpose)
-    run_available(
-        stream.writeStream.format("parquet").outputMode("append")
-        .option("path", f"{root}/rows").option("checkpointLocation", f"{root}/checkpoint"))
-    return spark.read.schema(stream.schema).parquet(f"{root}/rows")
-
-
-def _stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cells = closed_cells(td.pos_stream(spark, folder), td.COPY_ORDER)
-    return _collected(spark, cells, "cells").drop("day")
+def _cells(spark: SparkSession, folder: str) -> DataFrame:
+    root = run_folder(spark, "cells")
+    store = CellStore(spark, f"{root}/state", td.COPY_ORDER)
+    run_available(store.start(td.pos_stream(spark, folder, max_files=1), f"{root}/checkpoint"))
+    return store.current()
 
 
 def _stream_windows(spark: SparkSession, folder: str) -> DataFrame:
-    cells = closed_cells(td.pos_stream(spark, folder), td.COPY_ORDER)
-    return _collected(spark, window_demand(cells), "windows")
+    return window_demand(_cells(spark, folder).withColumn("day", F.col("transaction_date").cast("timestamp")))
 
 
 def _stream_gold(spark: SparkSession, folder: str) -> DataFrame:
     root = run_folder(spark, "live")
     live = LiveSignals(spark, f"{root}/state", td.COPY_ORDER)
-    query = run_available(live.start(td.pos_stream(spark, folder), f"{root}/checkpoint"))
-    return live.current(query.lastProgress.batchId, latest="global")
+    for _ in range(2):  # the second run finds nothing new
+        run_available(live.start(td.pos_stream(spark, folder, max_files=1), f"{root}/checkpoint"))
+    return live.current(live.last_batch(), latest="global")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -240,7 +233,7 @@ def queries() -> dict[str, Query]:
         "nl_top_demand_skus": over_gold(questions.top_demand_skus),
         # streaming
         "stream_bronze_pos": _stream_bronze,
-        "stream_dedup_pos": _stream_dedup,
+        "stream_dedup_pos": _cells,
         "stream_gold_signals": _stream_gold,
         "stream_window_demand": _stream_windows,
     }

@@ -36,9 +36,12 @@ class Tables:
 
 
 def write_silver(
-    rows: DataFrame, table: str, fmt: str = "parquet", keep_other_dates: bool = False
+    rows: DataFrame, table: str, fmt: str = "parquet", since: datetime.date | None = None
 ) -> tuple[DataFrame, datetime.date | None]:
-    """Write silver by date; the same job yields the quality report and the latest date."""
+    """Write silver by date; the same job yields the quality report and the latest date.
+
+    With ``since`` the stored dates from there on are replaced and earlier ones stay.
+    """
     checks = Observation("quality")
 
     def watch(shaped: DataFrame) -> DataFrame:
@@ -46,7 +49,8 @@ def write_silver(
 
     save_by_date(
         rows.withColumn("load_timestamp", F.current_timestamp()), table,
-        comment=COMMENTS[SILVER], fmt=fmt, keep_other_dates=keep_other_dates, watch=watch,
+        comment=COMMENTS[SILVER], fmt=fmt, keep_other_dates=since is not None,
+        recomputed=(lambda day: day >= since) if since else None, watch=watch,
     )
     counts = checks.get
     lines = [(rule, counts["rows"] - counts[rule], counts[rule]) for rule in DEFAULT_RULES]
@@ -70,7 +74,7 @@ def _publish(
     save_table(kpi_snapshot(signals, stores, skus), tables.name(SNAPSHOT), fmt=fmt)
     save_by_date(
         purchase_order_lines(signals, stores, skus), tables.name(ORDERS), "signal_date",
-        fmt=fmt, keep_other_dates=True,
+        fmt=fmt, keep_other_dates=True, recomputed=lambda day: day == options.get("as_of"),
     )
 
 
@@ -96,7 +100,7 @@ def run(
     if landing:
         register_folder(spark, tables.name(BRONZE), landing, COMMENTS[BRONZE])
     else:
-        save_table(pos, tables.name(BRONZE), COMMENTS[BRONZE], fmt)
+        save_by_date(pos, tables.name(BRONZE), comment=COMMENTS[BRONZE], fmt=fmt)
         pos = spark.table(tables.name(BRONZE))
     report, as_of = write_silver(silver(pos, order_by), tables.name(SILVER), fmt)
     save_table(report, tables.name(QUALITY), fmt=fmt)
@@ -119,13 +123,23 @@ def extend(
 ) -> Tables:
     """Refresh after rows were added on dates from ``since`` on; earlier dates stay as they are.
 
-    ``pos`` holds all raw rows of those dates, old and new; it may hold more. A
+    ``pos`` holds all raw rows of those dates, old and new; it may hold more, and is not the bronze
+    table itself. Bronze, silver and orders lose stored dates that have no rows any more. A
     failed run leaves dates before ``since`` untouched, so it can simply be repeated.
     """
     tables = Tables(database)
+    fresh = pos.where(F.col("transaction_date") >= F.lit(since))
+    if spark.catalog.getTable(tables.name(BRONZE)).tableType == "MANAGED":
+        save_by_date(fresh, tables.name(BRONZE), fmt=fmt, keep_other_dates=True, recomputed=lambda day: day >= since)
+    else:
+        spark.catalog.refreshTable(tables.name(BRONZE))
+        if any(column.isPartition for column in spark.catalog.listColumns(tables.name(BRONZE))):
+            spark.catalog.recoverPartitions(tables.name(BRONZE))
     stored = spark.table(tables.name(SILVER))
     rows = silver_since(pos, stored, since, order_by, lookback_days)
-    report, as_of = write_silver(rows, tables.name(SILVER), fmt, keep_other_dates=True)
+    report, as_of = write_silver(rows, tables.name(SILVER), fmt, since)
+    if as_of is None:  # every date from ``since`` on was emptied
+        as_of = spark.table(tables.name(SILVER)).agg(F.max("transaction_date")).first()[0]
     report.write.format(fmt).mode("append").saveAsTable(tables.name(QUALITY))
     _publish(spark, tables, stores, skus, fmt, as_of=as_of, **rules)
     return tables

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -46,19 +47,23 @@ def save_by_date(
     comment: str | None = None,
     fmt: str = "parquet",
     keep_other_dates: bool = False,
+    recomputed: Callable[[datetime.date], bool] | None = None,
     watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Date-partitioned table, replaced as a whole or only on the dates in ``df``.
 
     The rebalance gathers each date in as few files as its size allows and lets
     AQE split a date that is too large for one task. Without it every task would
-    open a file per date. ``watch`` is applied after it, in the writing stage.
+    open a file per date. With ``keep_other_dates``, stored dates that are ``recomputed`` go even if
+    ``df`` has no row for them; it must not read them. ``watch`` is applied after it, in the writing stage.
     """
     spark = df.sparkSession
     shaped = df.hint("rebalance", column)
     if watch:
         shaped = watch(shaped)
     if keep_other_dates and spark.catalog.tableExists(table):
+        if recomputed:
+            drop_dates(spark, table, column, recomputed)
         with _dynamic_overwrite(spark):
             shaped.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
     else:
@@ -66,6 +71,14 @@ def save_by_date(
     _comment(spark, table, comment)
 
 
+def drop_dates(spark: SparkSession, table: str, column: str, which: Callable[[datetime.date], bool]) -> None:
+    """Drops the date partitions that ``which`` holds for; one catalog entry is looked at per date."""
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        value = row[0].split("=", 1)[1]
+        if value[:1].isdigit() and which(datetime.date.fromisoformat(value)):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}=DATE'{value}')")
+
+
 def register_folder(
     spark: SparkSession, table: str, path: str, comment: str | None = None, fmt: str = "parquet"
 ) -> None:

@@ -1,12 +1,19 @@
-"""Streaming keyed dedup with a closing delay."""
+"""Streaming keyed dedup: a store of cells that loses nothing, and a closing variant.
+
+:class:`CellStore` is the one that equals the batch. :func:`closed_cells` emits each date once
+and drops what comes later than its delay.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
+from shelfwise.operators import dedup
 from shelfwise.schemas import CELL, PAIR, POS
+from shelfwise.streaming.live import last_stored_batch
 
 CLOSING_DELAY = "2 days"
 
@@ -34,3 +41,38 @@ def closed_cells(
         "day", *PAIR, F.col("day").cast("date").alias("transaction_date"),
         *[F.col(f"row.{c}").alias(c) for c in POS.names if c not in CELL],
     )
+
+
+class CellStore:
+    """Deduplicated cells kept by micro-batches, equal to the batch dedup however the input is cut.
+
+    Batch K stores its own cells under ``recent/batch_id=K``; the table is the dedup of the
+    union, since the smallest of smallest rows is the smallest. Every ``compact_every``
+    batches all of it merges into ``merged/batch_id=K``. A replayed batch rewrites its own folders.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, order_by: Sequence[str] | None = None, compact_every: int = 10):
+        self.spark, self.root, self.compact_every = spark, root.rstrip("/"), compact_every
+        self.order_by = order_by
+
+    def _folder(self, kind: str, batch_id: int) -> str:
+        return f"{self.root}/{kind}/batch_id={batch_id}"
+
+    def _cells(self, batch_id: int) -> DataFrame:
+        first = batch_id - batch_id % self.compact_every
+        folders = [self._folder("merged", first - 1)] if first else []
+        folders += [self._folder("recent", b) for b in range(first, batch_id + 1)]
+        return dedup(self.spark.read.parquet(*folders), CELL, self.order_by)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        dedup(batch, CELL, self.order_by).write.mode("overwrite").parquet(self._folder("recent", batch_id))
+        if (batch_id + 1) % self.compact_every == 0:
+            self._cells(batch_id).write.mode("overwrite").parquet(self._folder("merged", batch_id))
+
+    def start(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
+        return stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+
+    def current(self, batch_id: int | None = None) -> DataFrame:
+        """All cells as of a batch, by default the last one stored."""
+        last = last_stored_batch(self.spark, f"{self.root}/recent") if batch_id is None else batch_id
+        return self._cells(last).select(*POS.names)

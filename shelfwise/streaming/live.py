@@ -31,6 +31,12 @@ def recent_rows(pos: DataFrame, order_by: Sequence[str] | None = None) -> DataFr
     return rows.where(F.col("_rn") <= LONG_FRAME).drop("_rn")
 
 
+def last_stored_batch(spark: SparkSession, folder: str) -> int:
+    """From the names of the folders, which a batch gets only when its write has been committed."""
+    names = spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*").select("batch_id")
+    return names.agg(F.max("batch_id")).first()[0]
+
+
 class LiveSignals:
     """Signals under one ``root`` folder that every executor can reach."""
 
@@ -53,6 +59,10 @@ class LiveSignals:
         merged = [self._folder("merged", first - 1)] if first else []
         return merged + [self._folder("recent", b) for b in range(first, batch_id + 1)]
 
+    def last_batch(self) -> int:
+        """The last batch that is stored, also after a restart that found nothing new."""
+        return last_stored_batch(self.spark, f"{self.root}/recent")
+
     def state(self, batch_id: int) -> DataFrame:
         """Rows that hold every pair's last 14, as of a batch."""
         return self.spark.read.parquet(*self._state_folders(batch_id))

@@ -9,7 +9,7 @@ from helpers import day, pos_frame, random_sales, rows_of, sale
 from shelfwise.operators import dedup
 from shelfwise.plans import gold, silver
 from shelfwise.sources import stream_pos
-from shelfwise.streaming import LiveSignals, closed_cells, ingest, run_available, window_demand
+from shelfwise.streaming import CellStore, LiveSignals, closed_cells, ingest, run_available, window_demand
 
 
 def land(spark, folder, batches):
@@ -124,3 +124,26 @@ def test_window_demand_counts_days_in_batch_and_stream(spark, tmp_path):
     streamed = collect_stream(
         spark, window_demand(closed_cells(stream_pos(spark, source))), tmp_path, "windows")
     assert rows_of(streamed) == rows_of(batch.where(F.col("window_end") <= F.lit(day(18))))
+
+
+@pytest.mark.parametrize("order", ["dates", "reversed", "mixed"])
+def test_cell_store_equals_batch_however_files_arrive(spark, tmp_path, order):
+    sales = random_sales(41, n=500)
+    parts = split(sorted(sales, key=lambda r: r[2]) if order != "mixed" else sales, 4)
+    parts = list(reversed(parts)) if order == "reversed" else parts
+    source = land(spark, str(tmp_path / "in"), [*parts, sales[:40]])
+    store = CellStore(spark, str(tmp_path / "state"), compact_every=2)
+    for _ in range(2):  # the second run finds no files
+        run_available(store.start(stream_pos(spark, source, max_files=1), str(tmp_path / "ck")))
+    expected = dedup(pos_frame(spark, sales))
+    assert rows_of(store.current()) == rows_of(expected.select(*store.current().columns))
+
+
+def test_live_signals_survive_a_run_without_new_files(spark, tmp_path):
+    sales = random_sales(42, n=200)
+    source = land(spark, str(tmp_path / "in"), split(sales, 2))
+    live = LiveSignals(spark, str(tmp_path / "state"))
+    for _ in range(2):
+        run_available(live.start(stream_pos(spark, source, max_files=1), str(tmp_path / "ck")))
+    assert live.last_batch() == 1
+    assert rows_of(live.current(live.last_batch())) == rows_of(gold(silver(pos_frame(spark, sales)), latest="per_key"))
