@@ -251,7 +251,7 @@ def test_top_k_is_exact_with_ties(spark):
     rng = np.random.default_rng(5)
     values = np.concatenate([rng.normal(size=(300, 6)), np.repeat(rng.normal(size=(1, 6)), 40, axis=0)])
     rows = [(i, [float(x) for x in v], 0) for i, v in enumerate(values)]
-    rows += [(400, None, 0), (401, [1.0, None, 1, 1, 1, 1], 0), (402, [float("nan")] * 6, 0), (403, [float("inf")] * 6, 0), (500, [], 0)]
+    rows += [(400, None, 0), (401, [1.0, None, 1.0, 1.0, 1.0, 1.0], 0), (402, [float("nan")] * 6, 0), (403, [float("inf")] * 6, 0), (500, [], 0)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, rank int")
     vectors = topk.whole_vectors(frame)
     found = topk.top(vectors, vectors.where("vec_id % 50 = 0")).toPandas()
