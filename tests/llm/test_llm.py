@@ -339,7 +339,8 @@ def test_disclosing_terms_go_and_common_ones_stay(spark):
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
-    docs = odd_documents(spark).unionByName(spark.read.parquet(f"{FOLDER}/documents.parquet"), allowMissingColumns=True)
+    more = spark.read.parquet(f"{FOLDER}/documents.parquet").withColumn("doc_id", F.col("doc_id") + 1000)
+    docs = odd_documents(spark).unionByName(more, allowMissingColumns=True)
     columns = docs.columns
     ids = {r["doc_id"] for r in docs.select("doc_id").collect()}
     for name, stage in corpus_pipeline.STAGES:
