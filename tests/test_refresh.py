@@ -112,3 +112,22 @@ def test_extending_with_nothing_new(spark, database):
     refresh.run(spark, database, pos, stores, skus)
     tables = refresh.extend(spark, database, pos, stores, skus, day(5))
     assert rows_of(spark.table(tables.name(GOLD)), "signal_date") == [(day(0),)]
+
+
+def test_withdrawn_orders_go(spark, database):
+    stores, skus = dims(spark)
+    refresh.run(spark, database, pos_frame(spark, [sale(1, 1, 5, 9, 0)]), stores, skus)
+    tables = refresh.run(spark, database, pos_frame(spark, [sale(1, 1, 5, 9, 500)]), stores, skus)
+    assert spark.table(tables.name(refresh.ORDERS)).count() == 0
+
+
+def test_extending_drops_dates_that_have_no_rows_any_more(spark, database):
+    stores, skus = dims(spark)
+    early = [sale(1, 1, 0, 9, 0), sale(1, 1, 1, 9, 0)]
+    refresh.run(spark, database, pos_frame(spark, [*early, sale(1, 1, 3, 9, 0)]), stores, skus)
+    tables = refresh.extend(spark, database, pos_frame(spark, early), stores, skus, day(3))
+    assert sorted(rows_of(spark.table(tables.name(SILVER)), "transaction_date")) == [(day(0),), (day(1),)]
+    assert spark.table(tables.name(BRONZE)).count() == 2
+    assert rows_of(spark.table(tables.name(GOLD)), "signal_date") == [(day(1),)]
+    tables = refresh.extend(spark, database, pos_frame(spark, [*early, sale(1, 1, 4, 2, 9)]), stores, skus, day(2))
+    assert spark.table(tables.name(BRONZE)).count() == 3
