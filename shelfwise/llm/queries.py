@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import chat, fingerprints, language, mixing, near_dedup, packing, privacy, topk, warc
+from shelfwise.llm import chat, fingerprints, language, mixing, near_dedup, packing, privacy, scoring, topk, warc
 from shelfwise.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op2_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.scores(table(spark, folder, "documents"))
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.taken(*mixing.mix(table(spark, folder, "documents")))
 
@@ -59,6 +63,6 @@ def op10_privacy(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_near_dedup, op3_mixing, op4_fingerprints, op5_packing, op6_language, op7_warc, op8_topk, op9_chat, op10_privacy)
+        op1_near_dedup, op2_lm_scoring, op3_mixing, op4_fingerprints, op5_packing, op6_language, op7_warc, op8_topk, op9_chat, op10_privacy)
 }
 ORACLE: dict[str, str] = {}
