@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shelfwise.session import run_folder
@@ -12,6 +14,24 @@ from shelfwise.session import run_folder
 # Words are runs of anything but space and the five ASCII control blanks.
 BLANKS = r"[\x20\x09-\x0D]+"
 BATCH_BYTES = 4_000_000
+VOCABULARY = 500_000  # word hashes that a worker remembers
+LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))  # A-Z to a-z
+_C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+
+
+class WordHashes(dict):
+    """Hash of a word, remembered for at most ``VOCABULARY`` words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= VOCABULARY:
+            self.clear()
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+def mix(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * _C1
+    return (h ^ (h >> np.uint64(27))) * _C2
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

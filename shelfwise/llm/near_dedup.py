@@ -25,10 +25,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfwise.llm.common import small_batches, stored
+from shelfwise.llm.common import LOWER, WordHashes, mix, small_batches, stored
 from shelfwise.llm.components import components
 
 WORDS, THRESHOLD = 5, 0.8
@@ -38,29 +37,11 @@ TREES, DEPTH = 8, 5
 LEAF, BLOCK = 128, 512   # classes in a leaf; classes in a block of a leaf that stays large
 COLUMNS = 8192           # shingles of a leaf that are compared at a time
 DEVIATIONS = 4           # of the sketch estimate below the threshold that still count as similar
-VOCABULARY = 500_000     # word hashes that a worker remembers
 CHUNK = 200_000          # shingles hashed at a time
 
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_C1, _C2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _FACTORS = np.random.default_rng(20240501).integers(1, 2**63, POSITIONS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _Hashes(dict):
-    """Hash of a word, remembered for at most ``VOCABULARY`` words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= VOCABULARY:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(30))) * _C1
-    return (h ^ (h >> np.uint64(27))) * _C2
-
-
 def shingle_set(text: str | None, words: int, hashes: dict) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a whole text.
 
@@ -69,15 +50,15 @@ def shingle_set(text: str | None, words: int, hashes: dict) -> np.ndarray:
     """
     if text is None:
         return np.empty(0, np.uint64)
-    tokens = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    tokens = text.encode("utf-8", "surrogatepass").translate(LOWER).split()
     n = len(tokens)
     if not n:
         return np.empty(0, np.uint64)
     w = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, n)
     width = min(words, n)
-    h = _mix(w[: n - width + 1] + np.uint64(width))
+    h = mix(w[: n - width + 1] + np.uint64(width))
     for j in range(1, width):
-        h = _mix(h ^ w[j: n - width + 1 + j])
+        h = mix(h ^ w[j: n - width + 1 + j])
     h.sort()
     return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
@@ -114,7 +95,7 @@ def binned(hashes: np.ndarray) -> bytes:
 def signatures(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """``doc_id, text_hash, n_shingles, set_id, tokens, bins``; the last three are null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes = WordHashes()
         for batch in small_batches(batches):
             sets = [shingle_set(t, words, hashes) for t in batch.column("text").to_pylist()]
             full = [s for s in sets if len(s)]
@@ -373,7 +354,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def _full_sets(documents: DataFrame, base: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """``set_id, shingles`` of the wanted classes, from the text of one of their documents."""
     def run(batches):
-        hashes = _Hashes()
+        hashes = WordHashes()
         for batch in small_batches(batches):
             sets = [shingle_set(t, words, hashes).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("set_id"), pa.array(sets, pa.binary())], names=["set_id", "shingles"])

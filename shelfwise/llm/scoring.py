@@ -1,16 +1,131 @@
-"""Stupid-backoff scores of documents, computed relationally.
+"""Stupid-backoff scores of documents from n-gram counts of the whole corpus.
 
-Unigrams and bigrams of all documents are counted in tables keyed by a hash. Every document's
-own distinct n-grams are joined to them and summed. A bigram seen ``LEAST`` times or more scores
-``c(v w) / c(v)``; any other, and the first word, backs off to ``BACKOFF * c(w) / N`` (the first
-word without the factor).
+1. Texts are read in batches of bounded size. A batch keeps its distinct word hashes
+   and, for every word, its place among them.
+2. The batches' distinct unigrams and bigrams are exploded by hash part, as arrays of hashes with
+   their numbers. A part of the count table and the n-grams that are joined to it are dealt by the
+   same hash, so one task per part sums the numbers and gives every row its counts.
+3. Each batch meets its counts, and its words' scores are summed per document.
+
+A bigram seen ``LEAST`` times or more scores ``c(v w) / c(v)``; any other word backs off to
+``BACKOFF * c(w) / N``; the first word scores ``c(w) / N``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from shelfwise.llm.common import LOWER, WordHashes, mix, small_batches, stored
+
 BACKOFF, LEAST = 0.4, 2
+GRAMS = 2_000_000  # n-grams of a part, before equal ones of a batch are put together
+
+BATCH = "batch bigint, doc_ids array<bigint>, lengths array<bigint>, vocabulary array<bigint>, places binary"
+REQUEST = "part bigint, batch bigint, grams array<bigint>, n array<int>"
+REPLY = "part bigint, batch bigint, counts array<bigint>"
+
+
+def word_batches(documents: DataFrame) -> DataFrame:
+    """One row for each batch: its documents, their word counts and their words as places in the batch's vocabulary."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        first = TaskContext.get().partitionId() << 32
+        for i, batch in enumerate(small_batches(batches)):
+            texts = [(t or "").encode("utf-8", "surrogatepass").translate(LOWER).split()
+                     for t in batch.column("text").to_pylist()]
+            lengths = [len(t) for t in texts]
+            words = np.fromiter((hashes[w] for t in texts for w in t), np.uint64, sum(lengths))
+            vocabulary, places = np.unique(words, return_inverse=True)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([first + i], pa.int64()),
+                pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
+                pa.array([lengths], pa.list_(pa.int64())),
+                _lists(vocabulary.view(np.int64), [0, len(vocabulary)]),
+                pa.array([pa.compress(places.astype("<u4").tobytes(), "zstd", asbytes=True)], pa.binary()),
+            ], names=["batch", "doc_ids", "lengths", "vocabulary", "places"])
+
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, BATCH)
+
+
+def _lists(values: np.ndarray, offsets) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
+
+
+def _grams(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a batch's unigrams, then of its bigrams; the positions of the bigrams' second words; words per document."""
+    lengths = row["lengths"]
+    size = int(lengths.sum())
+    places = np.frombuffer(pa.decompress(row["places"], size * 4, "zstd", asbytes=True) if size else b"", "<u4")
+    words = row["vocabulary"].view(np.uint64)[places]
+    inner = np.ones(size, bool)
+    starts = np.cumsum(lengths) - lengths
+    inner[starts[lengths > 0]] = False
+    second = np.flatnonzero(inner)
+    one, two = np.uint64(1), np.uint64(2)
+    return np.concatenate((mix(words + one), mix(mix(words[second - 1] + two) ^ words[second]))), second, lengths
+
+
+def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
+    for i in range(batch.num_rows):
+        yield {name: (lambda x: x.as_py() if pa.types.is_binary(x.type) or pa.types.is_integer(x.type)
+                      else x.values.to_numpy(zero_copy_only=False))(batch.column(name)[i]) for name in batch.schema.names}
+
+
+def _requests(parts: int):
+    """Distinct n-grams of a batch with their numbers, a row for each part of the hash range that has any."""
+    def run(batches):
+        for batch in batches:
+            for row in _rows(batch):
+                grams, n = np.unique(_grams(row)[0], return_counts=True)
+                # The order of parts is that of the hashes.
+                part = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.empty(0, int)
+                offsets = np.append(cuts, len(grams))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[cuts].astype(np.int64)), pa.array(np.full(len(cuts), row["batch"], np.int64)),
+                    _lists(grams.view(np.int64), offsets), _lists(n.astype(np.int32), offsets),
+                ], names=["part", "batch", "grams", "n"])
+    return run
+
+
+def _counted(part: pa.Table) -> pa.Table:
+    """Every n-gram of a part's rows with its count in the corpus."""
+    grams, n = (part.column(name).combine_chunks() for name in ("grams", "n"))
+    offsets = np.append(0, np.cumsum(grams.value_lengths().to_numpy()))
+    grams, n = grams.flatten().to_numpy(), n.flatten().to_numpy().astype(np.int64)
+    order = np.argsort(grams, kind="stable")
+    ranked = grams[order]
+    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    counts = np.empty(len(grams), np.int64)
+    counts[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(grams))))
+    return pa.Table.from_arrays([part.column("part"), part.column("batch"), _lists(counts, offsets)],
+                                names=["part", "batch", "counts"])
+
+
+def _scored(total: int, backoff: float, least: int):
+    """Documents of a batch with their scores, from the batch and its counts."""
+    def run(batches: pa.Table, replies: pa.Table) -> pa.Table:
+        row = next(_rows(batches))
+        grams, second, lengths = _grams(row)
+        _, place = np.unique(grams, return_inverse=True)
+        replies = replies.sort_by("part").column("counts")
+        counts = np.concatenate([x.values.to_numpy() for x in replies]) if len(replies) else np.empty(0, np.int64)
+        c = counts[place]
+        size = int(lengths.sum())
+        score = np.log(c[:size] / total) if size else np.empty(0)
+        c_vw, c_v = c[size:], c[:size][second - 1]
+        score[second] = np.where(c_vw >= least, np.log(c_vw / c_v), score[second] + np.log(backoff))
+        sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), score, len(lengths))
+        return pa.Table.from_arrays([
+            batches.column("doc_ids").combine_chunks().flatten(), pa.array(lengths),
+            pa.array(sums / np.maximum(lengths, 1), mask=lengths == 0),
+        ], names=["doc_id", "n_words", "log_score"])
+    return run
 
 
 def scores(documents: DataFrame, backoff: float = BACKOFF, least: int = LEAST) -> DataFrame:
@@ -18,31 +133,12 @@ def scores(documents: DataFrame, backoff: float = BACKOFF, least: int = LEAST) -
 
     Words are runs of anything but ASCII blanks, A-Z in lower case. Null and blank texts have 0 words and
     a null score. Repeated rows count as often as they occur and get equal scores. An
-    empty table gives an empty one.
+    empty table gives an empty one. A batch holds about 4 MB of text or one longer text; a part of the
+    count table about ``GRAMS`` n-grams, however large the corpus.
     """
-    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    words = F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    base = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("key"),
-                            F.coalesce(words, F.array().cast("array<string>")).alias("words"))
-    # Copies of a text count with their number but are scored once.
-    copies = base.groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
-    hashes = F.transform("words", lambda w: F.xxhash64(w))
-    texts = base.select("key", hashes.alias("h")).dropDuplicates(["key"]).join(copies, "key")
-    before = F.concat(F.array(F.lit(None).cast("bigint")), F.slice("h", 1, F.greatest(F.size("h") - 1, F.lit(0))))
-    grams = (texts.where(F.size("h") > 0)
-             .select("key", "copies", F.explode(F.arrays_zip(before.alias("v"), F.col("h").alias("w"))).alias("g"))
-             .groupBy("key", "copies", "g.v", "g.w").agg(F.count(F.lit(1)).alias("n")))
-    seen = F.sum(F.col("n") * F.col("copies"))
-    single = grams.groupBy("w").agg(seen.alias("c"))
-    double = grams.where("v IS NOT NULL").groupBy("v", "w").agg(seen.alias("c_vw")).where(F.col("c_vw") >= least)
-    total = single.agg(F.sum("c").alias("total"))  # one row
-    rated = (grams.join(single.select("w", F.col("c").alias("c_w")), "w")
-             .join(double, ["v", "w"], "left")
-             .join(single.select(F.col("w").alias("v"), F.col("c").alias("c_v")), "v", "left")
-             .join(F.broadcast(total)))
-    alone = F.col("c_w") / F.col("total")
-    score = (F.when(F.col("v").isNull(), alone).when(F.col("c_vw").isNotNull(), F.col("c_vw") / F.col("c_v"))
-             .otherwise(alone * backoff))
-    summed = rated.groupBy("key").agg((F.sum(F.log(score) * F.col("n")) / F.sum("n")).alias("log_score"))
-    return (base.select("doc_id", "key", F.size("words").cast("bigint").alias("n_words"))
-            .join(summed, "key", "left").select("doc_id", "n_words", "log_score"))
+    batches = stored(word_batches(documents), "words")
+    total = batches.select(F.sum(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, x: a + x))).first()[0] or 0
+    parts = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * total // GRAMS))
+    counted = batches.mapInArrow(_requests(parts), REQUEST).groupBy("part").applyInArrow(_counted, REPLY)
+    return (batches.groupBy("batch").cogroup(counted.groupBy("batch"))
+            .applyInArrow(_scored(total, backoff, least), "doc_id bigint, n_words bigint, log_score double"))
