@@ -25,13 +25,32 @@ from shelfwise.llm.common import LOWER, WordHashes, mix, small_batches, stored
 BACKOFF, LEAST = 0.4, 2
 GRAMS = 2_000_000  # n-grams of a part, before equal ones of a batch are put together
 
-BATCH = "batch bigint, doc_ids array<bigint>, lengths array<bigint>, vocabulary array<bigint>, places binary"
-REQUEST = "part bigint, batch bigint, grams array<bigint>, n array<int>"
-REPLY = "part bigint, batch bigint, counts array<bigint>"
+BATCH = "batch bigint, doc_ids array<bigint>, lengths array<bigint>, size int, vocabulary binary, places binary"
+REQUEST = "part bigint, batch bigint, size int, grams binary, n binary"
+REPLY = "part bigint, batch bigint, size int, counts binary"
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers from 0 as eight planes of bytes, compressed: small ones take little."""
+    planes = numbers.astype("<u8").view(np.uint8).reshape(-1, 8).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, size * 8, "zstd", asbytes=True), np.uint8).reshape(8, size)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _steps(ranked: np.ndarray) -> np.ndarray:
+    """The first of some sorted numbers, then what each adds to its predecessor."""
+    return np.concatenate((ranked[:1], ranked[1:] - ranked[:-1]))
 
 
 def word_batches(documents: DataFrame) -> DataFrame:
-    """One row for each batch: its documents, their word counts and their words as places in the batch's vocabulary."""
+    """One row for each batch: its documents, their word counts and their words as places in the batch's vocabulary.
+
+    The vocabulary's hashes stand by falling frequency, so frequent words have small places.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         first = TaskContext.get().partitionId() << 32
@@ -40,89 +59,82 @@ def word_batches(documents: DataFrame) -> DataFrame:
                      for t in batch.column("text").to_pylist()]
             lengths = [len(t) for t in texts]
             words = np.fromiter((hashes[w] for t in texts for w in t), np.uint64, sum(lengths))
-            vocabulary, places = np.unique(words, return_inverse=True)
+            vocabulary, places, often = np.unique(words, return_inverse=True, return_counts=True)
+            order = np.argsort(-often, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(len(order))
             yield pa.RecordBatch.from_arrays([
                 pa.array([first + i], pa.int64()),
                 pa.array([batch.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                 pa.array([lengths], pa.list_(pa.int64())),
-                _lists(vocabulary.view(np.int64), [0, len(vocabulary)]),
-                pa.array([pa.compress(places.astype("<u4").tobytes(), "zstd", asbytes=True)], pa.binary()),
-            ], names=["batch", "doc_ids", "lengths", "vocabulary", "places"])
+                pa.array([len(vocabulary)], pa.int32()),
+                pa.array([_packed(vocabulary[order])], pa.binary()),
+                pa.array([_packed(rank[places])], pa.binary()),
+            ], names=["batch", "doc_ids", "lengths", "size", "vocabulary", "places"])
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, BATCH)
 
 
-def _lists(values: np.ndarray, offsets) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))
-
-
 def _grams(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of a batch's unigrams, then of its bigrams; the positions of the bigrams' second words; words per document."""
-    lengths = row["lengths"]
-    size = int(lengths.sum())
-    places = np.frombuffer(pa.decompress(row["places"], size * 4, "zstd", asbytes=True) if size else b"", "<u4")
-    words = row["vocabulary"].view(np.uint64)[places]
-    inner = np.ones(size, bool)
-    starts = np.cumsum(lengths) - lengths
-    inner[starts[lengths > 0]] = False
+    lengths = np.array(row["lengths"], np.int64)
+    words = _unpacked(row["vocabulary"], row["size"])[_unpacked(row["places"], int(lengths.sum()))]
+    inner = np.ones(len(words), bool)
+    inner[(np.cumsum(lengths) - lengths)[lengths > 0]] = False
     second = np.flatnonzero(inner)
     one, two = np.uint64(1), np.uint64(2)
     return np.concatenate((mix(words + one), mix(mix(words[second - 1] + two) ^ words[second]))), second, lengths
 
 
-def _rows(batch: pa.RecordBatch | pa.Table) -> Iterator[dict]:
-    for i in range(batch.num_rows):
-        yield {name: (lambda x: x.as_py() if pa.types.is_binary(x.type) or pa.types.is_integer(x.type)
-                      else x.values.to_numpy(zero_copy_only=False))(batch.column(name)[i]) for name in batch.schema.names}
-
-
 def _requests(parts: int):
     """Distinct n-grams of a batch with their numbers, a row for each part of the hash range that has any."""
     def run(batches):
         for batch in batches:
-            for row in _rows(batch):
+            for row in batch.to_pylist():
                 grams, n = np.unique(_grams(row)[0], return_counts=True)
                 # The order of parts is that of the hashes.
                 part = ((grams >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-                cuts = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1]))) if len(part) else np.empty(0, int)
-                offsets = np.append(cuts, len(grams))
+                own, cuts = np.unique(part, return_index=True)
+                ends = np.append(cuts[1:], len(grams))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(part[cuts].astype(np.int64)), pa.array(np.full(len(cuts), row["batch"], np.int64)),
-                    _lists(grams.view(np.int64), offsets), _lists(n.astype(np.int32), offsets),
-                ], names=["part", "batch", "grams", "n"])
+                    pa.array(own.astype(np.int64)), pa.array(np.full(len(own), row["batch"], np.int64)),
+                    pa.array((ends - cuts).astype(np.int32)),
+                    pa.array([_packed(_steps(grams[a:b])) for a, b in zip(cuts, ends)], pa.binary()),
+                    pa.array([_packed(n[a:b]) for a, b in zip(cuts, ends)], pa.binary()),
+                ], names=["part", "batch", "size", "grams", "n"])
     return run
 
 
 def _counted(part: pa.Table) -> pa.Table:
     """Every n-gram of a part's rows with its count in the corpus."""
-    grams, n = (part.column(name).combine_chunks() for name in ("grams", "n"))
-    offsets = np.append(0, np.cumsum(grams.value_lengths().to_numpy()))
-    grams, n = grams.flatten().to_numpy(), n.flatten().to_numpy().astype(np.int64)
+    sizes = part.column("size").to_pylist()
+    grams = np.concatenate([np.cumsum(_unpacked(x, k), dtype=np.uint64) for x, k in zip(part.column("grams").to_pylist(), sizes)])
+    n = np.concatenate([_unpacked(x, k) for x, k in zip(part.column("n").to_pylist(), sizes)])
     order = np.argsort(grams, kind="stable")
     ranked = grams[order]
     first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    counts = np.empty(len(grams), np.int64)
+    counts = np.empty(len(grams), np.uint64)
     counts[order] = np.repeat(np.add.reduceat(n[order], first), np.diff(np.append(first, len(grams))))
-    return pa.Table.from_arrays([part.column("part"), part.column("batch"), _lists(counts, offsets)],
-                                names=["part", "batch", "counts"])
+    packed = [_packed(c) for c in np.split(counts, np.cumsum(sizes)[:-1])]
+    return part.select(["part", "batch", "size"]).append_column("counts", pa.array(packed, pa.binary()))
 
 
 def _scored(total: int, backoff: float, least: int):
     """Documents of a batch with their scores, from the batch and its counts."""
     def run(batches: pa.Table, replies: pa.Table) -> pa.Table:
-        row = next(_rows(batches))
+        row = batches.to_pylist()[0]
         grams, second, lengths = _grams(row)
         _, place = np.unique(grams, return_inverse=True)
-        replies = replies.sort_by("part").column("counts")
-        counts = np.concatenate([x.values.to_numpy() for x in replies]) if len(replies) else np.empty(0, np.int64)
-        c = counts[place]
+        replies = replies.sort_by("part").to_pylist()
+        found = [_unpacked(x["counts"], x["size"]) for x in replies]
+        c = np.concatenate(found or [np.empty(0, np.uint64)]).astype(np.float64)[place]
         size = int(lengths.sum())
         score = np.log(c[:size] / total) if size else np.empty(0)
         c_vw, c_v = c[size:], c[:size][second - 1]
         score[second] = np.where(c_vw >= least, np.log(c_vw / c_v), score[second] + np.log(backoff))
         sums = np.bincount(np.repeat(np.arange(len(lengths)), lengths), score, len(lengths))
         return pa.Table.from_arrays([
-            batches.column("doc_ids").combine_chunks().flatten(), pa.array(lengths),
+            pa.array(row["doc_ids"], pa.int64()), pa.array(lengths),
             pa.array(sums / np.maximum(lengths, 1), mask=lengths == 0),
         ], names=["doc_id", "n_words", "log_score"])
     return run
