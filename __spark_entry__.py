@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,10 +15,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle_queries import ORACLE  # noqa: E402
 from shelfwise import functions as fn, operators as op  # noqa: E402
 from shelfwise.functions.labels import CATEGORIES, REGIONS  # noqa: E402
-from shelfwise.plans import kpis, layers, orders, questions, snapshot  # noqa: E402
-from shelfwise.schemas import CELL  # noqa: E402
+from shelfwise.plans import kpis, layers, orders, questions, refresh, snapshot  # noqa: E402
+from shelfwise.schemas import BRONZE, CELL, GOLD, SILVER  # noqa: E402
 from shelfwise.session import run_folder  # noqa: E402
-from shelfwise.sources import testdata as td  # noqa: E402
+from shelfwise.sources import create_database, testdata as td  # noqa: E402
 from shelfwise.streaming import (  # noqa: E402
     CellStore, LiveSignals, ingest, run_available, window_demand,
 )
@@ -84,6 +86,37 @@ def _materialised_gold(spark: SparkSession, folder: str) -> DataFrame:
     return layers.gold(spark.read.parquet(path))
 
 
+def _extended(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    """Stored tables of the early dates, then extended twice over the later ones; by table name."""
+    database = f"run_{uuid.uuid4().hex}"
+    create_database(spark, database, run_folder(spark, "database"))
+    pos, stores, skus = td.pos(spark, folder), td.stores(spark, folder), td.skus(spark, folder)
+    day = F.col("transaction_date")
+    first, second = datetime.date(2024, 1, 15), datetime.date(2024, 1, 24)
+    options = {"order_by": td.COPY_ORDER}
+    tables = refresh.run(spark, database, pos.where(day < F.lit(first)), stores, skus, **options)
+    refresh.extend(spark, database, pos.where(day < F.lit(second)), stores, skus, first, **options)
+    refresh.extend(spark, database, pos, stores, skus, second, **options)
+    return lambda table: spark.table(tables.name(table))
+
+
+def _extended_stats(spark: SparkSession, folder: str) -> DataFrame:
+    stored = _extended(spark, folder)
+    return kpis.platform_stats(stored(BRONZE), stored(SILVER), stored(GOLD))
+
+
+def _stored_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of the last signal date; those of the earlier refreshes stay stored beside them."""
+    stored = _extended(spark, folder)
+    return stored(refresh.ORDERS).where(F.col("signal_date") == op.latest_date(stored(GOLD), "signal_date"))
+
+
+def _snapshot(spark: SparkSession, folder: str) -> DataFrame:
+    rows = snapshot.kpi_snapshot(
+        _gold(spark, folder), td.stores(spark, folder), td.skus(spark, folder), _platform(spark, folder))
+    return rows.drop("computed_at", "valid_until")
+
+
 def _platform(spark: SparkSession, folder: str) -> DataFrame:
     pos = td.pos(spark, folder)
     return kpis.platform_stats(pos, _silver(spark, folder), _gold(spark, folder))
@@ -203,7 +236,12 @@ def queries() -> dict[str, Query]:
         "platform_stats": _platform,
         "platform_total": lambda s, d: kpis.platform_total(_platform(s, d)),
         "kpi_summary": over_gold(kpis.kpi_summary, "skus"),
-        "kpi_snapshot": over_gold(snapshot.kpi_snapshot, "stores", "skus"),
+        "kpi_snapshot": _snapshot,
+        # stored tables, extended
+        "extended_silver": lambda s, d: _extended(s, d)(SILVER).drop("load_timestamp"),
+        "extended_gold": lambda s, d: _extended(s, d)(GOLD),
+        "extended_platform_stats": _extended_stats,
+        "stored_orders": _stored_orders,
         # panel and labels
         "date_spine": lambda s, d: op.date_spine(td.pos(s, d)),
         "panel_spine": lambda s, d: op.panel_spine(td.pos(s, d)),

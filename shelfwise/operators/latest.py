@@ -29,7 +29,10 @@ def on_latest_date(
 
 
 def on_latest_per_pair(df: DataFrame) -> DataFrame:
-    """The last row of every store and SKU; reuses the rolling window's sort."""
-    by_date = Window.partitionBy(*PAIR).orderBy("transaction_date")
-    following = F.lead("transaction_date").over(by_date)
-    return df.withColumn("_next", following).where("_next IS NULL").drop("_next")
+    """The last row of every store and SKU.
+
+    The rank becomes a group limit: over stored rows each task sends one row per pair;
+    over rows that the rolling window has gathered by pair there is no further shuffle.
+    """
+    newest = Window.partitionBy(*PAIR).orderBy(F.desc("transaction_date"))
+    return df.withColumn("_rn", F.row_number().over(newest)).where("_rn = 1").drop("_rn")

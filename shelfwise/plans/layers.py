@@ -40,6 +40,13 @@ def silver(pos: DataFrame, order_by: Sequence | None = None, *, colocate: bool =
     return with_demand(dedup(pos, order_by=order_by, hash_first=not colocate))
 
 
+def tail_rows(rows: DataFrame) -> DataFrame:
+    """The last 13 rows of every pair: all that frames of later rows can reach."""
+    newest = Window.partitionBy(*PAIR).orderBy(F.desc("transaction_date"))
+    ranked = rows.select(*POS.names).withColumn("_rn", F.row_number().over(newest))
+    return ranked.where(F.col("_rn") <= LONG_FRAME - 1).drop("_rn")
+
+
 def carried_rows(
     stored: DataFrame, pairs: DataFrame, since: datetime.date, lookback_days: int
 ) -> DataFrame:
@@ -57,9 +64,7 @@ def carried_rows(
     complete = recent.groupBy(*PAIR).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= reach)
     short = pairs.join(complete, PAIR, "left_anti")
     older = before.where(day < edge).join(short, PAIR, "left_semi")
-    newest = Window.partitionBy(*PAIR).orderBy(F.desc("transaction_date"))
-    rows = recent.unionByName(older).withColumn("_rn", F.row_number().over(newest))
-    return rows.where(F.col("_rn") <= reach).drop("_rn")
+    return tail_rows(recent.unionByName(older))
 
 
 def silver_since(
@@ -68,16 +73,22 @@ def silver_since(
     since: datetime.date,
     order_by: Sequence | None = None,
     lookback_days: int = 28,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """The silver rows from ``since`` on, given the stored silver of earlier dates.
 
     Equal to those dates of ``silver(pos)`` as long as no row before ``since``
-    has changed, and reads of ``pos`` only the dates from there.
+    has changed, and reads of ``pos`` only the dates from there. ``before`` holds the rows before
+    ``since`` where they are known, at least each pair's last 13; ``stored`` is not read then.
     """
     day = F.col("transaction_date")
     fresh = dedup(pos.where(day >= F.lit(since)), order_by=order_by).select(*POS.names)
     pairs = fresh.select(*PAIR).distinct()
-    rows = fresh.unionByName(carried_rows(stored, pairs, since, lookback_days))
+    if before is None:
+        carried = carried_rows(stored, pairs, since, lookback_days)
+    else:
+        carried = before.select(*POS.names).join(pairs, PAIR, "left_semi")
+    rows = fresh.unionByName(carried)
     return with_demand(rows).where(day >= F.lit(since))
 
 

@@ -8,11 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfwise.operators import DEFAULT_RULES, observe_rules
-from shelfwise.plans.layers import gold, silver, silver_since
+from shelfwise.plans.kpis import platform_stats
+from shelfwise.plans.layers import gold, silver, silver_since, tail_rows
 from shelfwise.plans.orders import purchase_order_lines
 from shelfwise.plans.snapshot import kpi_snapshot
-from shelfwise.schemas import BRONZE, GOLD, SILVER
-from shelfwise.sources import create_database, register_folder, save_by_date, save_table
+from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
+from shelfwise.sources import (
+    create_database, drop_dates, register_folder, save_by_date, save_table, stored_dates,
+)
 
 # Table comments.
 COMMENTS = {
@@ -23,6 +26,8 @@ COMMENTS = {
 QUALITY = "data_quality"
 SNAPSHOT = "kpi_snapshot"
 ORDERS = "purchase_orders"
+TAIL = "silver_tail"
+KEPT_TAILS = 4
 
 
 @dataclass(frozen=True)
@@ -65,13 +70,44 @@ def write_gold(
     save_table(gold(spark.table(silver_table), **options), gold_table, COMMENTS[GOLD], fmt)
 
 
+def write_tail(
+    spark: SparkSession, tables: Tables, rows: DataFrame, as_of: datetime.date | None,
+    fmt: str = "parquet", keep: bool = False,
+) -> None:
+    """Store the last 13 rows per pair under their date; with ``keep`` beside the newest of the earlier ones.
+
+    ``as_of`` is the latest date in ``rows``. An extension starts from the newest tail before its first date.
+    """
+    table = tables.name(TAIL)
+    tail = tail_rows(rows).withColumn("as_of", F.lit(as_of).cast("date"))
+    save_by_date(tail, table, "as_of", fmt=fmt, keep_other_dates=keep)
+    kept = stored_dates(spark, table)[-KEPT_TAILS:]
+    drop_dates(spark, table, "as_of", lambda date: date < kept[0])
+
+
+def rows_before(spark: SparkSession, tables: Tables, since: datetime.date) -> DataFrame | None:
+    """The rows before ``since`` that later frames can reach, or None where no tail is old enough.
+
+    That is the newest earlier tail and the silver dates after it, so older silver is not read.
+    """
+    table, day = tables.name(TAIL), F.col("transaction_date")
+    dates = stored_dates(spark, table) if spark.catalog.tableExists(table) else []
+    earlier = [date for date in dates if date < since]
+    if not earlier:
+        return None
+    tail = spark.table(table).where(F.col("as_of") == F.lit(earlier[-1])).select(*POS.names)
+    after = spark.table(tables.name(SILVER)).where((day > F.lit(earlier[-1])) & (day < F.lit(since)))
+    return tail.unionByName(after.select(*POS.names))
+
+
 def _publish(
     spark: SparkSession, tables: Tables, stores: DataFrame, skus: DataFrame, fmt: str, **options
 ) -> None:
     """Everything that follows from the stored silver table."""
     write_gold(spark, tables.name(SILVER), tables.name(GOLD), fmt, **options)
     signals = spark.table(tables.name(GOLD))
-    save_table(kpi_snapshot(signals, stores, skus), tables.name(SNAPSHOT), fmt=fmt)
+    layers = platform_stats(*[spark.table(tables.name(layer)) for layer in (BRONZE, SILVER, GOLD)])
+    save_table(kpi_snapshot(signals, stores, skus, layers), tables.name(SNAPSHOT), fmt=fmt)
     save_by_date(
         purchase_order_lines(signals, stores, skus), tables.name(ORDERS), "signal_date",
         fmt=fmt, keep_other_dates=True, recomputed=lambda day: day == options.get("as_of"),
@@ -104,6 +140,7 @@ def run(
         pos = spark.table(tables.name(BRONZE))
     report, as_of = write_silver(silver(pos, order_by), tables.name(SILVER), fmt)
     save_table(report, tables.name(QUALITY), fmt=fmt)
+    write_tail(spark, tables, spark.table(tables.name(SILVER)), as_of, fmt)
     _publish(spark, tables, stores, skus, fmt, as_of=as_of, **rules)
     return tables
 
@@ -125,7 +162,8 @@ def extend(
 
     ``pos`` holds all raw rows of those dates, old and new; it may hold more, and is not the bronze
     table itself. Bronze, silver and orders lose stored dates that have no rows any more. A
-    failed run leaves dates before ``since`` untouched, so it can simply be repeated.
+    failed run leaves dates before ``since`` untouched, so it can simply be repeated. Older silver is read
+    only where the stored tails all reach ``since`` or beyond; ``lookback_days`` is for that case.
     """
     tables = Tables(database)
     fresh = pos.where(F.col("transaction_date") >= F.lit(since))
@@ -135,11 +173,19 @@ def extend(
         spark.catalog.refreshTable(tables.name(BRONZE))
         if any(column.isPartition for column in spark.catalog.listColumns(tables.name(BRONZE))):
             spark.catalog.recoverPartitions(tables.name(BRONZE))
-    stored = spark.table(tables.name(SILVER))
-    rows = silver_since(pos, stored, since, order_by, lookback_days)
+    stored, known = spark.table(tables.name(SILVER)), rows_before(spark, tables, since)
+    if known is not None:  # tails that hold dates to be replaced go first: none may outlive a failed run
+        drop_dates(spark, tables.name(TAIL), "as_of", lambda date: date >= since)
+    rows = silver_since(pos, stored, since, order_by, lookback_days, known)
     report, as_of = write_silver(rows, tables.name(SILVER), fmt, since)
     if as_of is None:  # every date from ``since`` on was emptied
         as_of = spark.table(tables.name(SILVER)).agg(F.max("transaction_date")).first()[0]
     report.write.format(fmt).mode("append").saveAsTable(tables.name(QUALITY))
+    newest = spark.table(tables.name(SILVER))
+    if known is None:
+        write_tail(spark, tables, newest, as_of, fmt)
+    elif as_of not in stored_dates(spark, tables.name(TAIL)):
+        later = newest.where(F.col("transaction_date") >= F.lit(since)).select(*POS.names)
+        write_tail(spark, tables, known.unionByName(later), as_of, fmt, keep=True)
     _publish(spark, tables, stores, skus, fmt, as_of=as_of, **rules)
     return tables

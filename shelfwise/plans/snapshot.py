@@ -6,14 +6,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import exact_mean, exact_sum, percent
 from shelfwise.operators import latest_date, with_dimensions
-from shelfwise.plans.kpis import coverage_counts, is_reorder, revenue
+from shelfwise.plans.kpis import coverage_counts, is_reorder, revenue, top_alerts
 
 
-def kpi_snapshot(gold: DataFrame, stores: DataFrame, skus: DataFrame) -> DataFrame:
-    """Every KPI from one joined pass with grouping sets, plus the coverage counts.
+def kpi_snapshot(
+    gold: DataFrame, stores: DataFrame, skus: DataFrame, layers: DataFrame | None = None,
+    *, alerts: int = 25, valid_for: str = "1 hour",
+) -> DataFrame:
+    """Every KPI from one joined pass with grouping sets, plus coverage, top alerts and layer counts.
 
     Coverage stays apart: distinct counts inside grouping sets would multiply
-    the rows once per distinct column and once more per set.
+    the rows once per distinct column and once more per set. ``layers`` is the result of
+    :func:`platform_stats`, left out where it is not given. ``computed_at`` and ``valid_until``
+    tell readers when to ask for a new snapshot.
     """
     rows = F.count(F.lit(1))
     sets = [["replenishment_status"], ["region", "replenishment_status"], ["category"], []]
@@ -57,5 +62,20 @@ def kpi_snapshot(gold: DataFrame, stores: DataFrame, skus: DataFrame) -> DataFra
                  F.col(column).cast("double").alias("value"))
         for metric, column in [("stores_covered", "stores"), ("skus_covered", "skus")]
     ])))
-    return measured.unionByName(coverage).withColumn(
-        "signal_date", latest_date(gold, "signal_date"))
+    alert = F.concat_ws("|", "region", "store_id", "category", "sku_id")
+    urgent = top_alerts(gold, stores, skus, alerts).select(F.inline(F.array(*[
+        F.struct(F.lit(metric).alias("metric"), alert.alias("dim"),
+                 F.col(column).cast("double").alias("value"))
+        for metric, column in [("alert_days_of_supply", "days_of_supply"),
+                               ("alert_inventory", "inventory_on_hand"),
+                               ("alert_avg_demand_7d", "avg_daily_demand_7d")]
+    ])))
+    parts = measured.unionByName(coverage).unionByName(urgent)
+    if layers is not None:
+        parts = parts.unionByName(layers.select(
+            F.lit("layer_rows").alias("metric"), F.col("layer").alias("dim"),
+            F.col("rows").cast("double").alias("value")))
+    now = F.current_timestamp()
+    return parts.select(
+        "*", latest_date(gold, "signal_date").alias("signal_date"),
+        now.alias("computed_at"), (now + F.expr(f"INTERVAL {valid_for}")).alias("valid_until"))

@@ -13,8 +13,10 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, folder: str | None = None) -> None:
+    """With ``folder`` its managed tables lie there instead of in the warehouse."""
+    place = f" LOCATION '{folder}'" if folder else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def _comment(spark: SparkSession, table: str, comment: str | None) -> None:
@@ -71,12 +73,17 @@ def save_by_date(
     _comment(spark, table, comment)
 
 
+def stored_dates(spark: SparkSession, table: str) -> list[datetime.date]:
+    """The dates that a table has partitions for, ascending, from the catalog."""
+    values = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    return sorted(datetime.date.fromisoformat(value) for value in values if value[:1].isdigit())
+
+
 def drop_dates(spark: SparkSession, table: str, column: str, which: Callable[[datetime.date], bool]) -> None:
     """Drops the date partitions that ``which`` holds for; one catalog entry is looked at per date."""
-    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
-        value = row[0].split("=", 1)[1]
-        if value[:1].isdigit() and which(datetime.date.fromisoformat(value)):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}=DATE'{value}')")
+    for date in stored_dates(spark, table):
+        if which(date):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}=DATE'{date}')")
 
 
 def register_folder(

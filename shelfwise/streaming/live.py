@@ -9,7 +9,8 @@ Each micro-batch K stores its own recent rows under ``recent/batch_id=K``, and
 every ``compact_every`` batches all of them merge into ``merged/batch_id=K``.
 Which folders hold the state at K follows from K alone, each folder is written
 by one batch only, and a replayed batch rewrites the same rows, so a lost
-executor or driver at any point leaves nothing to repair.
+executor or driver at any point leaves nothing to repair. After a merge the folders
+of the generations before the previous one are removed.
 """
 
 from __future__ import annotations
@@ -87,6 +88,18 @@ class LiveSignals:
         if (batch_id + 1) % self.compact_every == 0:
             recent_rows(self.state(batch_id), self.order_by).write.mode("overwrite").parquet(
                 self._folder("merged", batch_id))
+            self._forget(batch_id + 1 - 2 * self.compact_every)
+
+    def _forget(self, first: int) -> None:
+        """Remove the batches before ``first`` and the merges before the one it starts from."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for kind, end in (("recent", first), ("signals", first), ("merged", first - 1)):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
+            files = path.getFileSystem(conf)
+            for entry in files.listStatus(path):
+                name = entry.getPath().getName()
+                if name.startswith("batch_id=") and int(name.split("=")[1]) < end:
+                    files.delete(entry.getPath(), True)
 
     def start(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
         return stream.writeStream.foreachBatch(self.process).option(

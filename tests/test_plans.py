@@ -46,6 +46,15 @@ def test_latest_per_key_reuses_the_rolling_sort(pos):
     assert len(nodes(gold(silver(pos), latest="per_key"), "Exchange")) == 2
 
 
+def test_latest_per_key_of_stored_silver_sends_one_row_per_pair_and_task(spark, pos, tmp_path):
+    path = str(tmp_path / "silver")
+    silver(pos).write.partitionBy("transaction_date").parquet(path)
+    signals = gold(spark.read.parquet(path), latest="per_key")
+    plan = signals._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan.split("Exchange hashpartitioning")[1]
+    assert rows_of(signals) == rows_of(gold(silver(pos), latest="per_key"))
+
+
 def test_dense_panel_needs_no_join(pos):
     plan = dense_daily(dedup(pos))._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
@@ -84,7 +93,7 @@ def test_no_registered_query_uses_python_or_a_product_join(spark, monkeypatch):
     """Reads are shared between the queries: each would infer its schemas anew."""
     monkeypatch.setattr(ENTRY.td, "load", functools.lru_cache(ENTRY.td.load))
     batch = {n: q for n, q in ENTRY.queries().items()
-             if not n.startswith("stream_") and n != "materialised_gold"}
+             if not n.startswith(("stream_", "extended_", "stored_")) and n != "materialised_gold"}
     for name, query in batch.items():
         plan = query(spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
         for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "ArrowEval"):

@@ -1,5 +1,7 @@
 """The batch refresh into tables."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from shelfwise.sources import read_pos, read_table, write_parquet
 
 @pytest.fixture()
 def database(spark, request):
-    name = f"t_{request.node.name}"[:60].rstrip("_")
+    name = re.sub(r"\W+", "_", f"t_{request.node.name}")[-60:].strip("_")
     yield name
     spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
 
@@ -131,3 +133,31 @@ def test_extending_drops_dates_that_have_no_rows_any_more(spark, database):
     assert rows_of(spark.table(tables.name(GOLD)), "signal_date") == [(day(1),)]
     tables = refresh.extend(spark, database, pos_frame(spark, [*early, sale(1, 1, 4, 2, 9)]), stores, skus, day(2))
     assert spark.table(tables.name(BRONZE)).count() == 3
+
+
+def stored_silver(spark, tables):
+    return spark.table(tables.name(SILVER)).select(*POS.names, "avg_daily_demand_7d", "avg_daily_demand_14d")
+
+
+@pytest.mark.parametrize("starts", [(20, 30, 45), (30, 20, 25), (10, 50, 49)])
+def test_extending_in_any_order_equals_refreshing(spark, database, starts):
+    """Forwards, back before the tails, and onto dates between two tails."""
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(26, n=500, days=52)
+    refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(starts[0])]), stores, skus)
+    for start in starts:
+        tables = refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(start))
+        assert rows_of(stored_silver(spark, tables)) == rows_of(silver(pos_frame(spark, sales)))
+
+
+def test_extending_reads_no_silver_before_the_tail(spark, database):
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(27, n=400, days=52)
+    early = pos_frame(spark, [r for r in sales if r[2] < day(40)])
+    tables = refresh.run(spark, database, early, stores, skus)
+    known = refresh.rows_before(spark, tables, day(40))
+    nothing = spark.table(tables.name(SILVER)).where("false")
+    part = silver_since(pos_frame(spark, sales), nothing, day(40), before=known)
+    later = F.col("transaction_date") >= F.lit(day(40))
+    assert rows_of(part) == rows_of(silver(pos_frame(spark, sales)).where(later))
+    assert refresh.rows_before(spark, tables, day(0)) is None

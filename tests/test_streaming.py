@@ -1,7 +1,5 @@
 """Streams end in the same tables as the batch: duplicates, late rows, replays."""
 
-import importlib
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +145,17 @@ def test_live_signals_survive_a_run_without_new_files(spark, tmp_path):
         run_available(live.start(stream_pos(spark, source, max_files=1), str(tmp_path / "ck")))
     assert live.last_batch() == 1
     assert rows_of(live.current(live.last_batch())) == rows_of(gold(silver(pos_frame(spark, sales)), latest="per_key"))
+
+
+def test_old_generations_are_removed_and_the_state_stays_right(spark, tmp_path):
+    batches = split(random_sales(43, n=300), 7)
+    live = LiveSignals(spark, str(tmp_path / "state"), compact_every=2)
+    for n, rows in enumerate(batches):
+        live.process(pos_frame(spark, rows), n)
+    names = lambda kind: sorted(p.name for p in (tmp_path / "state" / kind).iterdir())
+    assert names("recent") == names("signals") == [f"batch_id={n}" for n in (2, 3, 4, 5, 6)]
+    assert names("merged") == [f"batch_id={n}" for n in (1, 3, 5)]
+    assert live.last_batch() == 6
+    live.process(pos_frame(spark, batches[6]), 6)
+    expected = gold(silver(pos_frame(spark, sum(batches, []))), latest="per_key")
+    assert rows_of(live.current(6)) == rows_of(expected)
