@@ -178,10 +178,12 @@ def _stream_windows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _stream_gold(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows in twelve files of mixed dates, one micro-batch each, so that a merge takes place."""
     root = run_folder(spark, "live")
+    td.load(spark, folder, "lineitem").repartition(12).write.parquet(f"{root}/landing/lineitem.parquet")
     live = LiveSignals(spark, f"{root}/state", td.COPY_ORDER)
     for _ in range(2):  # the second run finds nothing new
-        run_available(live.start(td.pos_stream(spark, folder, max_files=1), f"{root}/checkpoint"))
+        run_available(live.start(td.pos_stream(spark, f"{root}/landing", max_files=1), f"{root}/checkpoint"))
     return live.current(live.last_batch(), latest="global")
 
 

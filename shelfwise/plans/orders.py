@@ -8,26 +8,17 @@ from shelfwise.functions import urgency_band
 from shelfwise.functions.labels import DESK_BANDS, WEB_BANDS
 from shelfwise.operators import with_dimensions
 from shelfwise.plans.kpis import reorder_rows
-from shelfwise.schemas import REORDER_NOW
+from shelfwise.schemas import PAIR, REORDER_NOW
 
-# The order message. %s take the columns listed beside the text.
-SUBJECT = "URGENT: Purchase Order — SKU %s · Store %s"
+# The order message. %s take the columns listed beside the text.
+SUBJECT = "Replenish SKU %s at store %s"
 SUBJECT_FIELDS = ["sku_id", "store_id"]
 BODY = "\n".join([
-    "AUTOMATED REPLENISHMENT ORDER",
-    "─" * 40,
-    "Region:            %s",
-    "Store:             %s",
-    "SKU:               %s",
-    "Category:          %s",
-    "Current Stock:     %s units",
-    "Days of Supply:    %s days",
-    "Avg Daily Demand:  %s units/day",
-    "",
-    "Status: REORDER NOW — stock critically low.",
+    "Please deliver to store %s (%s) more of SKU %s (%s).",
+    "On hand: %s; lasts %s days at %s sold a day.",
 ])
 BODY_FIELDS = [
-    "region", "store_id", "sku_id", "category",
+    "store_id", "region", "sku_id", "category",
     "inventory_on_hand", "days_of_supply", "avg_daily_demand_7d",
 ]
 
@@ -38,12 +29,16 @@ def _text(template: str, fields: list[str]) -> Column:
     return F.format_string(template, *[F.col(name).cast("string") for name in fields])
 
 
-def purchase_order_lines(gold: DataFrame, stores: DataFrame, skus: DataFrame) -> DataFrame:
+def purchase_order_lines(
+    gold: DataFrame, stores: DataFrame, skus: DataFrame, pairs: DataFrame | None = None
+) -> DataFrame:
     """One order line per reorder row; ``ORDER_KEY`` identifies it, so re-runs can be recognised.
 
-    Labels of pairs missing from a dimension are empty text; the order still goes out.
+    Labels of pairs missing from a dimension are empty text; the order still goes out. ``pairs``
+    (store_id, sku_id) orders for those pairs alone, whatever their status.
     """
-    labelled = with_dimensions(reorder_rows(gold), stores, skus, "left").na.fill(
+    wanted = reorder_rows(gold) if pairs is None else gold.join(pairs.select(*PAIR), PAIR, "left_semi")
+    labelled = with_dimensions(wanted, stores, skus, "left").na.fill(
         "", ["region", "category"])
     return labelled.select(
         *ORDER_KEY, "region", "category",

@@ -28,7 +28,7 @@ SKUS = T.StructType([
 PAIR = ["store_id", "sku_id"]
 CELL = PAIR + ["transaction_date"]
 
-# Table names of the three layers.
+# Table names of the three layers.
 BRONZE = "pos_transactions_raw"
 SILVER = "pos_store_sku_signals"
 GOLD = "replenishment_signals"

@@ -81,8 +81,8 @@ def test_order_text(spark):
     signals = gold(silver(pos_frame(spark, [sale(1, 2, 0, 10, stock=5)])))
     line = orders.purchase_order_lines(signals, stores, skus).first()
     assert line.order_key == "2024-01-01|1|2"
-    assert line.subject == "URGENT: Purchase Order — SKU 2 · Store 1"
-    assert "Days of Supply:    0.5 days\nAvg Daily Demand:  10.0 units/day" in line.body
+    assert line.subject == "Replenish SKU 2 at store 1"
+    assert line.body == "Please deliver to store 1 (north) more of SKU 2 (dairy).\nOn hand: 5; lasts 0.5 days at 10.0 sold a day."
 
 
 def test_orders_are_idempotent_per_date(spark, tmp_path):
@@ -143,3 +143,10 @@ def test_labels(spark):
 
 def test_date_spine_of_nothing_is_empty(spark):
     assert date_spine(pos_frame(spark, [])).isEmpty()
+
+
+def test_orders_for_chosen_pairs(spark, world):
+    signals, stores, skus = world
+    chosen = signals.orderBy("store_id", "sku_id").limit(2).select("store_id", "sku_id")
+    lines = orders.purchase_order_lines(signals, stores, skus, chosen)
+    assert rows_of(lines, "store_id", "sku_id") == rows_of(chosen, "store_id", "sku_id")
