@@ -48,13 +48,19 @@ def signature(codes: np.ndarray, k: int = K, slots: int = SLOTS, size: int = TUP
         h = h * np.uint64(0x9E3779B97F4A7C15) + codes[j: n - width + 1 + j]
     h = _mix(h)
     m = len(h)
-    # Sorting (high bits of the hash, position) brings equal k-mers together in text order.
+    # Sorting (high bits of the hash, position) brings equal k-mers together in text order. The slots
+    # take the whole hash: how many bits are high depends on the length.
     bits = np.uint64(max(1, int(m - 1).bit_length()))
     low = (np.uint64(1) << bits) - np.uint64(1)
     packed = (h & ~low) | np.arange(m, dtype=np.uint64)
     packed.sort()
-    place, kmer = packed & low, packed & ~low
+    place = packed & low
+    kmer = h[place]
     new = np.concatenate(([True], kmer[1:] != kmer[:-1]))
+    if (new[1:] & (packed[1:] | low == packed[:-1] | low)).any():  # two k-mers share the high bits
+        place = np.argsort(h, kind="stable").astype(np.uint64)
+        kmer = h[place]
+        new = np.concatenate(([True], kmer[1:] != kmer[:-1]))
     starts = np.flatnonzero(new)
     number = np.arange(m) - np.repeat(starts, np.diff(np.append(starts, m)))
     value = _mix(kmer + number.astype(np.uint64) * _B)

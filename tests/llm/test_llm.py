@@ -137,6 +137,13 @@ def test_fingerprint_follows_order():
     assert fingerprints.likeness(sign(a), sign(b)) < 1
 
 
+@pytest.mark.parametrize("n", [512, 1024, 2048, 4096, 8192])
+def test_fingerprints_of_near_copies_across_a_power_of_two(n):
+    text = "".join(map(chr, np.random.default_rng(n).integers(97, 123, n + 10)))
+    sign = lambda t: fingerprints.signature(fingerprints.code_points(t))
+    assert fingerprints.likeness(sign(text[: n - 1]), sign(text)) > 0.8
+
+
 def test_ids_are_those_of_tokenizers(documents):
     import public_tokenizers
     from tokenizers import Tokenizer
