@@ -2,10 +2,10 @@
 
 Emails, addresses, card and phone numbers are found by pattern and checked. Every value found is
 a protected entity. A term discloses an entity as far as the corpus says so: with n(e), n(t)
-and n(e, t) the distinct texts that hold the entity, the term, and the term near the entity, the
+and n(e, t) the distinct texts that hold the entity, the term, and both, the
 pointwise mutual information ``log(N n(e,t) / (n(e) n(t)))`` is compared with the information
-``log(N / n(e))`` of the entity itself. A term that carries at least ``DISCLOSURE`` of it, in at
-least ``SUPPORT`` texts, is generalised like the entity, in the texts where it stands near it.
+``log(N / n(e))`` of the entity itself. A term that carries at least ``DISCLOSURE`` of it is
+generalised like the entity, in every text that holds the term.
 
 Positions come from the pieces between matches, so no function outside Spark's own is
 needed. The patterns are those of the contract in a form that neither backtracks over
@@ -25,8 +25,7 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-DISCLOSURE, SUPPORT = 0.9, 3
-WINDOW, LETTERS = 100, 4  # characters on either side of an entity; letters that make a term
+DISCLOSURE, LETTERS = 0.9, 4  # share of an entity's information; letters that make a term
 SPAN = "array<struct<start:int,end:int,value:string>>"
 NOT_LETTERS = r"[^\p{L}]+"
 
@@ -69,15 +68,9 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.filter(F.coalesce(spans, F.array().cast(SPAN)), lambda s: _valid(kind, s["value"]))
 
 
-def _nearby(text: Column, span: Column) -> Column:
-    """Terms within ``WINDOW`` characters of a span; words cut by the window's edge are left out."""
-    low = F.greatest(span["start"] - WINDOW, F.lit(0))
-    before = F.split(F.substring(text, low + 1, span["start"] - low), NOT_LETTERS)
-    before = F.when(low > 0, F.slice(before, 2, F.size(before))).otherwise(before)
-    after = F.split(F.substring(text, span["end"] + 1, F.lit(WINDOW)), NOT_LETTERS)
-    after = F.when(F.length(text) > span["end"] + WINDOW, F.slice(after, 1, F.size(after) - 1)).otherwise(after)
-    words = F.transform(F.concat(before, after), lambda w: F.lower(w))
-    return F.filter(F.array_distinct(words), lambda w: F.length(w) >= LETTERS)
+def _terms(text: Column) -> Column:
+    """The distinct words of a whole text that count as terms, in lower case."""
+    return F.filter(F.array_distinct(F.split(F.lower(text), NOT_LETTERS)), lambda w: F.length(w) >= LETTERS)
 
 
 def _each(kind: str, make) -> Column:
@@ -86,51 +79,62 @@ def _each(kind: str, make) -> Column:
 
 
 def _found(documents: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, email, ip, card, phone, near`` of every row, without the text."""
+    """``doc_id, text_hash, email, ip, card, phone, entities`` of every row, without the text."""
     rows = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
     rows = rows.select("*", *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
-    near = F.flatten(F.array(*[_each(kind, lambda kind, s: F.struct(
-        F.concat(F.lit(f"{kind}:"), F.lower(s["value"])).alias("entity"), _nearby(F.col("text"), s).alias("terms")))
-        for kind in KINDS]))
+    entities = F.array_distinct(F.concat(*[
+        _each(kind, lambda kind, s: F.concat(F.lit(f"{kind}:"), F.lower(s["value"]))) for kind in KINDS]))
     plain = lambda kind: F.transform(kind, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    return rows.select("doc_id", "text_hash", *[plain(kind).alias(kind) for kind in KINDS], near.alias("near"))
-
-
-def disclosing_terms(documents: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
-    """``text_hash, term``: terms that give away an entity next to which they stand in that text."""
-    mentions = found.select("text_hash", F.explode("near").alias("m")).select("text_hash", "m.entity", "m.terms")
-    entities = mentions.select("entity", "text_hash").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    pairs = stored(mentions.select("text_hash", "entity", F.explode("terms").alias("term")).distinct(), "pairs")
-    n = found.select("text_hash").distinct().agg(F.count(F.lit(1)).alias("n"))
-    information = F.log2(F.col("n") / F.col("n_e"))
-    mutual = lambda texts: F.log2(F.col("n") * F.col("n_et") / (F.col("n_e") * F.col(texts)))
-    telling = lambda texts: (information > 0) & (mutual(texts) >= disclosure * information)
-    joint = pairs.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_et")).where(F.col("n_et") >= support)
-    # The texts where a term stands near any entity are some of its texts: terms with too many of
-    # them already disclose nothing, so only the others are counted in the whole corpus.
-    near = pairs.select("text_hash", "term").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
-    joint = joint.join(near, "term").join(entities, "entity").join(F.broadcast(n)).where(telling("n_near"))  # n is one row
-    joint = stored(joint.drop("n_near"), "joint")
-    candidates = joint.select("term").distinct()
-    words = documents.select(
-        F.xxhash64("text").alias("text_hash"), F.explode(F.array_distinct(F.split(F.lower("text"), NOT_LETTERS))).alias("term")
-    ).where(F.length("term") >= LETTERS)
-    terms = (words.join(candidates, "term", "left_semi").distinct()
-             .groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    told = joint.join(terms, "term").where(telling("n_t")).select("entity", "term")
-    return pairs.join(told, ["entity", "term"], "left_semi").select("text_hash", "term").distinct()
-
-
-def findings(documents: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+    return rows.select("doc_id", "text_hash", *[plain(kind).alias(kind) for kind in KINDS], entities.alias("entities"))
+
+
+def disclosing_terms(documents: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
+    """``text_hash, term``: the terms that give away some entity, in every text that holds them."""
+    hashed = documents.where(F.col("text").isNotNull()).select(F.xxhash64("text").alias("text_hash"), "text")
+    copies = found.groupBy("text_hash").agg(F.count(F.lit(1)).alias("c"))
+    n = copies.count()
+    copies = stored(copies.where("c > 1").select("text_hash"), "copies")
+    # Only texts with copies move; all others are distinct where they lie.
+    words = lambda rows: rows.select("text_hash", F.explode(_terms(F.col("text"))).alias("term"))
+    once = words(hashed.join(copies, "text_hash", "left_anti")).unionByName(
+        words(hashed.join(copies, "text_hash", "left_semi").dropDuplicates(["text_hash"])))
+    mentions = found.select("text_hash", F.explode("entities").alias("entity")).distinct()
+    counts = mentions.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.min("text_hash").alias("text_hash"))
+    # Entities of one and the same single text are told by the same terms: one of them stands for all.
+    single = counts.where("n_e = 1").groupBy("text_hash").agg(F.min("entity").alias("entity")).withColumn("n_e", F.lit(1).cast("bigint"))
+    several = mentions.join(counts.where((F.col("n_e") > 1) & (F.col("n_e") < n)).select("entity", "n_e"), "entity")
+    held = single.unionByName(several) if n > 1 else single.limit(0)
+    held = stored(held.groupBy("text_hash").agg(
+        F.collect_list(F.struct("entity", "n_e")).alias("entities"), F.max("n_e").alias("most")), "entities")
+
+    def bound(n_e: Column) -> Column:
+        """With n(e, t) at most n(e), the texts that a disclosing term may have; a little more, for rounding."""
+        return F.pow(F.lit(float(n)), F.lit(1 - disclosure)) * F.pow(n_e.cast("double"), F.lit(disclosure)) * (1 + 1e-6)
+
+    terms = stored(once.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "terms-counted")
+    # Terms too frequent to disclose an entity of a single text: few, but most of all words.
+    frequent = stored(terms.where(F.col("n_t") > bound(F.lit(1))), "frequent")
+    near = once.join(held.select("text_hash", "most"), "text_hash").join(frequent, "term", "left").where(F.col("n_t").isNull() | (F.col("n_t") <= bound(F.col("most"))))
+    near = stored(near.select("text_hash", "term"), "near")
+    pairs = (near.join(terms, "term").join(held, "text_hash")
+             .select("term", "n_t", F.explode(F.filter("entities", lambda e: F.col("n_t") <= bound(e["n_e"]))).alias("e"))
+             .groupBy("e.entity", "e.n_e", "term", "n_t").agg(F.count(F.lit(1)).alias("n_et")))
+    mutual = F.log2(F.lit(float(n)) * F.col("n_et") / (F.col("n_e") * F.col("n_t")))
+    told = stored(pairs.where(mutual >= disclosure * F.log2(F.lit(float(n)) / F.col("n_e"))).select("term").distinct(), "told")
+    silent = stored(frequent.join(told, "term", "left_anti").select("term"), "silent")
+    return once.join(silent, "term", "left_anti").join(told, "term", "left_semi")
+
+
+def findings(documents: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """``doc_id, text_hash``, the spans ``email, ip, card, phone`` and ``term`` of every row of ``documents``.
 
     Spans are ``(start, end)`` in code points, end exclusive. Null texts have none; repeated rows
     have the same. An empty table gives an empty one.
     """
     found = stored(_found(documents), "found")
-    told = disclosing_terms(documents, found, disclosure, support)
+    told = disclosing_terms(documents, found, disclosure)
     told = stored(told.groupBy("text_hash").agg(F.sort_array(F.collect_set("term")).alias("terms")), "terms")
-    texts = (documents.where(F.col("text").rlike("[@0-9]")).select(F.xxhash64("text").alias("text_hash"), "text")
+    texts = (documents.select(F.xxhash64("text").alias("text_hash"), "text")
              .join(told, "text_hash").dropDuplicates(["text_hash"]))
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     spans = F.transform(_spans(F.col("text"), pattern), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
@@ -149,7 +153,7 @@ def span_text(kinds: tuple[str, ...]) -> Column:
         for kind in kinds]), ",")
 
 
-def sanitised(documents: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT) -> DataFrame:
+def sanitised(documents: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """The rows of ``documents`` with every span generalised to its kind (``<EMAIL>``), columns as given.
 
     Of spans that overlap, the first names the kind. ``n_chars``, if there, follows the text.
@@ -157,7 +161,7 @@ def sanitised(documents: DataFrame, disclosure: float = DISCLOSURE, support: int
     spans = F.array_sort(F.concat(*[
         _each(kind, lambda kind, s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(f"<{kind.upper()}>").alias("tag")))
         for kind in (*KINDS, "term")]))
-    found = (findings(documents, disclosure, support).where(F.size(F.concat(*KINDS)) > 0)
+    found = (findings(documents, disclosure).where(F.size(F.concat(*KINDS, "term")) > 0)
              .select(F.col("text_hash").alias("_hash"), spans.alias("_spans")).dropDuplicates(["_hash"]))
     text = F.col("text")
 

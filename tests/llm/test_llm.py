@@ -343,6 +343,18 @@ def test_disclosing_terms_go_and_common_ones_stay(spark):
     assert privacy.findings(frame.limit(0)).count() == 0
 
 
+def test_terms_disclose_from_afar_in_rare_texts_and_everywhere(spark):
+    far = "plain words follow here " * 20
+    rows = [(1, f"Kowalczyk {far} mail ann@x.org"), (2, f"Kowalczyk {far} once more")]
+    rows += [(i, f"zorbian {far} call bob@x.org {i}") for i in range(10, 18)] + [(18, f"the zorbian {far}")]
+    # mail, call, once and more are common
+    rows += [(100 + i, f"{far} mail call once more number {i}") for i in range(2000)]
+    clean = {r["doc_id"]: r["text"] for r in privacy.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert clean[1] == f"<TERM> {far} mail <EMAIL>" and clean[2] == f"<TERM> {far} once more"
+    assert clean[10] == f"<TERM> {far} call <EMAIL> 10" and clean[18] == f"the <TERM> {far}"
+    assert clean[100] == rows[11][1]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
