@@ -19,13 +19,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from shelfwise.llm.common import small_batches
+from shelfwise.llm.common import small_batches, stored
 
 ORDER = 5
-SAMPLE = 300            # documents per language that models are counted and calibrated from, about
-SAMPLE_CHARS = 20_000   # the longest document in that sample
+SAMPLE = 600            # documents per language that models are counted and calibrated from, about
+SAMPLE_CHARS = 50_000   # longer documents are sampled only where a language has too few others
 CALIBRATION = 4         # one of so many documents of the sample calibrates
 FOLDS, HELD_OUT = 5, 0
 UNKNOWN = "und"
@@ -78,13 +78,16 @@ class Model:
     alphabet: int
 
     @classmethod
-    def of(cls, windows: np.ndarray, alphabet: int) -> "Model":
-        """``windows``: one row for each place, the ``ORDER`` codes that end there."""
+    def of(cls, windows: np.ndarray, alphabet: int, numbers: np.ndarray | None = None) -> "Model":
+        """``windows``: one row for each place, the ``ORDER`` codes that end there; or distinct rows and their ``numbers``."""
         grams, contexts, discounts = [], [], []
         rows = windows
         for order in range(ORDER, 0, -1):
             # Below the highest order the rows are distinct grams without their first code: predecessors count.
-            order_keys, starts, counts = _runs(_row_hashes(rows))
+            keys = _row_hashes(rows)
+            order_keys, starts, counts = _runs(keys)
+            if order == ORDER and numbers is not None:
+                counts = np.bincount(np.searchsorted(order_keys, keys), numbers, len(order_keys))
             kept = rows[starts]
             n1, n2 = (counts == 1).sum(), (counts == 2).sum()
             discount = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
@@ -238,44 +241,92 @@ def fold(doc_id) -> "F.Column":
 
 
 def sample(documents: DataFrame, most: int = SAMPLE, longest: int = SAMPLE_CHARS) -> DataFrame:
-    """``lang, text``: about ``most`` labelled documents of each language outside the held-out fold.
+    """``lang, doc_id, text``: about ``most`` labelled documents of each language outside the held-out fold.
 
-    Chosen by a hash of the id, at most ``longest`` characters each.
+    Chosen by a hash of the id among those of at most ``longest`` characters; longer ones
+    make up for what a language lacks.
     """
-    rows = documents.where(
-        (fold(F.col("doc_id")) != HELD_OUT) & F.col("lang").isNotNull() & (F.length("text") <= longest)
-    ).select(F.col("lang").cast("string").alias("lang"), "doc_id", "text")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    rows = documents.where((fold(F.col("doc_id")) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
+        F.col("lang").cast("string").alias("lang"), "doc_id", "text", (F.length("text") > longest).alias("long"))
+    sizes = rows.groupBy("lang").agg(F.count_if(~F.col("long")).alias("short_n"), F.count_if("long").alias("long_n"))
     share = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) / 1_000_000
-    return rows.join(F.broadcast(sizes), "lang").where(share * F.col("n") < most).select("lang", "doc_id", "text")
+    chosen = F.when(F.col("long"), share * F.col("long_n") < most - F.col("short_n")).otherwise(share * F.col("short_n") < most)
+    return rows.join(F.broadcast(sizes), "lang").where(chosen).select("lang", "doc_id", "text")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``lang, text, nth, counts``: the sampled texts with letters; whether the models count the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = letter_table()
+        for batch in batches:
+            yield batch.filter(pa.array([len(letters(t, known)) > 0 for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    by = Window.partitionBy("lang")
+    rows = rows.mapInArrow(run, rows.schema).withColumn("nth", F.row_number().over(by.orderBy("doc_id", "text")) - 1)
+    counts = (F.col("nth") % CALIBRATION != 0) | (F.count(F.lit(1)).over(by) < 2 * CALIBRATION)
+    return stored(rows.select("lang", "text", "nth", counts.alias("counts")), "sample")
+
+
+def _grams(numbered: DataFrame) -> DataFrame:
+    """``lang``, the codes ``g0 ..`` and number ``n`` of the distinct n-grams; 0 for those of uncounted texts only."""
+    codes = [f"g{j}" for j in range(ORDER)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = letter_table()
+        for batch in batches:
+            for part in small_batches([batch]):
+                for lang, text, counts in zip(*(part.column(c).to_pylist() for c in ("lang", "text", "counts"))):
+                    rows = windows(letters(text, known))
+                    _, starts, n = _runs(_row_hashes(rows))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([lang] * len(starts), pa.string()), *(pa.array(rows[starts, j].astype(np.int32)) for j in range(ORDER)),
+                         pa.array((n * counts).astype(np.int64))], names=["lang", *codes, "n"])
+
+    schema = f"lang string, {', '.join(c + ' int' for c in codes)}, n bigint"
+    return numbered.mapInArrow(run, schema).groupBy("lang", *codes).agg(F.sum("n").alias("n"))
+
+
+def _calibration(numbered: DataFrame, models: list[Model]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Sizes, mean log-probabilities and languages of the documents that calibrate."""
+    state = [(m.grams, m.contexts, m.discounts, m.alphabet) for m in models]
+    shared = numbered.sparkSession.sparkContext.broadcast(state)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer([Model(*m) for m in shared.value], letter_table())
+        for batch in small_batches(batches, most=1_000_000):
+            sizes, logs = scorer.score(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), batch.column("nth"), pa.array(sizes, pa.int64()), pa.array(list(logs), pa.list_(pa.float64()))],
+                names=["lang", "nth", "size", "logs"])
+
+    held = numbered.where(F.col("nth") % CALIBRATION == 0).mapInArrow(run, "lang string, nth int, size bigint, logs array<double>")
+    rows = sorted(held.collect(), key=lambda r: (r["lang"], r["nth"]))
+    return np.array([r["size"] for r in rows]), np.array([r["logs"] for r in rows]), [r["lang"] for r in rows]
 
 
 def fit(documents: DataFrame, most: int = SAMPLE, longest: int = SAMPLE_CHARS) -> Identifier | None:
     """Models from a bounded sample of labelled rows; None if no row has a language and letters.
 
-    The bound: ``most`` documents a language, ``longest`` characters a document.
+    The bound: about ``most`` documents a language. N-grams are counted, and the calibrating documents
+    scored, on the executors; the driver gets the distinct n-grams only.
     """
-    known = letter_table()
-    by_language: dict[str, list[np.ndarray]] = {}
-    kept: dict[str, list[str]] = {}
-    for i, row in enumerate(sorted(sample(documents, most, longest).collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"]))):
-        codes = letters(row["text"], known)
-        if len(codes):
-            by_language.setdefault(row["lang"], []).append(codes)
-            kept.setdefault(row["lang"], []).append(row["text"])
-    languages = sorted(by_language)
+    numbered = _numbered(sample(documents, most, longest))
+    grams = _grams(numbered).toArrow()
+    names = grams.column("lang").to_numpy()
+    languages = sorted(set(names))
     if not languages:
         return None
-    alphabet = len({int(c) for parts in by_language.values() for p in parts for c in np.unique(p)}) + 1
-    held, models = [], []
+    rows = np.column_stack([grams.column(f"g{j}").to_numpy().astype(np.uint32) for j in range(ORDER)])
+    numbers = grams.column("n").to_numpy().astype(np.float64)
+    del grams
+    alphabet = len(np.unique(rows[:, -1])) + 1
+    models = []
     for lang in languages:
-        parts, texts = by_language[lang], kept[lang]
-        counted = [p for i, p in enumerate(parts) if i % CALIBRATION or len(parts) < 2 * CALIBRATION]
-        held += [(lang, t) for i, t in enumerate(texts) if not i % CALIBRATION]
-        models.append(Model.of(np.concatenate([windows(p) for p in counted]), alphabet))
-    scorer = Scorer(models, known)
-    sizes, logs = scorer.score([t for _, t in held])
-    truth = np.array([languages.index(lang) for lang, _ in held])
+        own = (names == lang) & (numbers > 0)
+        models.append(Model.of(rows[own], alphabet, numbers[own]))
+    del rows, numbers, names
+    sizes, logs, held = _calibration(numbered, models)
+    truth = np.array([languages.index(lang) for lang in held])
     right = logs.argmax(axis=1) == truth
     means, limits = [], []
     for k in range(len(languages)):

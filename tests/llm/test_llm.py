@@ -214,6 +214,21 @@ def test_language_of_odd_rows(spark, documents):
     assert language.identify(rows.limit(0)).count() == 0
 
 
+def test_language_of_long_documents_only(spark):
+    long = "ñandú queso mañana años pequeño señor " * 2_000
+    rows = [(i, long, "es") for i in range(12)] + [(100 + i, "the quick brown fox and the lazy dog " * 5, "en") for i in range(12)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == ["en", "es"]
+    assert model.predictor()([long[:200]])[0] == ["es"]
+
+
+def test_models_from_numbered_grams_equal_those_from_places():
+    places = language.windows(np.random.default_rng(3).integers(0, 5, 3000).astype(np.uint32))
+    rows, numbers = np.unique(places, axis=0, return_counts=True)
+    whole, counted = language.Model.of(places, 6), language.Model.of(rows, 6, numbers.astype(float))
+    assert np.array_equal(whole.log_probability(places), counted.log_probability(places))
+
+
 def test_kneser_ney_sums_to_one():
     codes = np.array([0, 1, 2, 1, 3, 0, 1, 2, 2, 0], np.uint32)
     model = language.Model.of(language.windows(codes), 4)
