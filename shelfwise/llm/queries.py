@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfwise.llm import chat, fingerprints, language, mixing, near_dedup, packing, privacy, scoring, topk, warc
+from shelfwise.llm import (
+    chat, fingerprints, language, manifest, mixing, near_dedup, negatives, packing, privacy, scoring, secret_scan, topk, warc,
+)
 from shelfwise.llm.common import table
 
 
@@ -61,8 +63,30 @@ def op10_privacy(spark: SparkSession, folder: str) -> DataFrame:
         privacy.span_text((*privacy.KINDS, "term")).alias("spans"))
 
 
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+def op12_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.findings(table(spark, folder, "documents"))
+    base, guessed = F.col("base"), F.col("guessed")
+    weak = F.size(F.filter("costs", lambda c: c < secret_scan.STRONG)).cast("bigint")
+    return found.select(
+        "doc_id", *[secret_scan.count(base, kind).alias(f"n_{kind}") for kind in secret_scan.KINDS[:3]],
+        F.sha2(secret_scan.span_text(base), 256).alias("base_sha256"),
+        secret_scan.span_text(F.concat(base, guessed)).alias("spans"),
+        secret_scan.count(guessed, "guess").alias("n_guess"), weak.alias("n_weak"))
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    found = manifest.proven(table(spark, folder, "documents"))
+    proof = F.sha2(F.array_join("proof", ""), 256)
+    return found.select("doc_id", "leaf", "subroot", "root", proof.alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_near_dedup, op2_lm_scoring, op3_mixing, op4_fingerprints, op5_packing, op6_language, op7_warc, op8_topk, op9_chat, op10_privacy)
+        op1_near_dedup, op2_lm_scoring, op3_mixing, op4_fingerprints, op5_packing, op6_language, op7_warc, op8_topk, op9_chat, op10_privacy,
+        op11_negatives, op12_secret_scan, op13_manifest)
 }
 ORACLE: dict[str, str] = {}
