@@ -20,7 +20,7 @@ from shelfwise.schemas import BRONZE, CELL, GOLD, SILVER  # noqa: E402
 from shelfwise.session import run_folder  # noqa: E402
 from shelfwise.sources import create_database, testdata as td  # noqa: E402
 from shelfwise.streaming import (  # noqa: E402
-    CellStore, LiveSignals, ingest, run_available, window_demand,
+    CellStore, LiveSignals, WindowStore, ingest, pane_windows, run_available,
 )
 
 try:
@@ -166,25 +166,34 @@ def _stream_bronze(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/rows").drop("batch_id")
 
 
+def _landed(spark: SparkSession, folder: str, root: str) -> Callable[[], DataFrame]:
+    """All rows in twelve files of mixed dates, one micro-batch each."""
+    td.load(spark, folder, "lineitem").repartition(12).write.parquet(f"{root}/landing/lineitem.parquet")
+    return lambda: td.pos_stream(spark, f"{root}/landing", max_files=1)
+
+
 def _cells(spark: SparkSession, folder: str) -> DataFrame:
+    """Two merges, and two batches after them."""
     root = run_folder(spark, "cells")
-    store = CellStore(spark, f"{root}/state", td.COPY_ORDER)
-    run_available(store.start(td.pos_stream(spark, folder, max_files=1), f"{root}/checkpoint"))
+    store = CellStore(spark, f"{root}/state", td.COPY_ORDER, compact_every=5)
+    run_available(store.start(_landed(spark, folder, root)(), f"{root}/checkpoint"))
     return store.current()
 
 
 def _stream_windows(spark: SparkSession, folder: str) -> DataFrame:
-    return window_demand(_cells(spark, folder).withColumn("day", F.col("transaction_date").cast("timestamp")))
+    root = run_folder(spark, "windows")
+    store = WindowStore(spark, f"{root}/state", td.COPY_ORDER, compact_every=5)
+    run_available(store.start(_landed(spark, folder, root)(), f"{root}/checkpoint"))
+    return store.current()
 
 
 def _stream_gold(spark: SparkSession, folder: str) -> DataFrame:
-    """All rows in twelve files of mixed dates, one micro-batch each, so that a merge takes place."""
     root = run_folder(spark, "live")
-    td.load(spark, folder, "lineitem").repartition(12).write.parquet(f"{root}/landing/lineitem.parquet")
+    stream, checkpoint = _landed(spark, folder, root), f"{root}/checkpoint"
     live = LiveSignals(spark, f"{root}/state", td.COPY_ORDER)
     for _ in range(2):  # the second run finds nothing new
-        run_available(live.start(td.pos_stream(spark, f"{root}/landing", max_files=1), f"{root}/checkpoint"))
-    return live.current(live.last_batch(), latest="global")
+        run_available(live.start(stream(), checkpoint))
+    return live.current(checkpoint, latest="global")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -249,6 +258,7 @@ def queries() -> dict[str, Query]:
         "panel_spine": lambda s, d: op.panel_spine(td.pos(s, d)),
         "dense_daily_pos": _dense,
         "dense_rolling_demand": _dense_rolling,
+        "window_demand": lambda s, d: pane_windows(_deduped(s, d)),
         "dow_demand_factor": _dow,
         "padded_ids": _padded,
         "dim_round_robin": _round_robin,

@@ -1,106 +1,159 @@
 """Signals kept current by micro-batches.
 
-A pair's signal depends only on its 14 most recent deduplicated rows: older
-rows lie outside both frames, also when late rows arrive. So the state is at
-most 14 rows per pair, whatever the history, and it merges: the recent rows of
-a union are the recent rows of the parts' recent rows.
-
-Each micro-batch K stores its own recent rows under ``recent/batch_id=K``, and
-every ``compact_every`` batches all of them merge into ``merged/batch_id=K``.
-Which folders hold the state at K follows from K alone, each folder is written
-by one batch only, and a replayed batch rewrites the same rows, so a lost
-executor or driver at any point leaves nothing to repair. After a merge the folders
-of the generations before the previous one are removed.
+A pair's signal depends only on its 14 most recent deduplicated rows: older rows lie outside both
+frames, also when late rows arrive. So the state is at most 14 rows per pair, whatever the
+history, and it merges: the recent rows of a union are the recent rows of the parts' recent rows.
+
+The state is Spark's own keyed state: pairs are dealt to ``buckets`` by hash, and one state value holds the rows of a
+bucket's pairs. A micro-batch reads and writes the buckets of the pairs that it touches and no others, so its
+cost follows its own rows, not the number of pairs. Versions, replays and recovery are those of the
+query's checkpoint. Before the shuffle every task merges its own rows in the same way, so a pair with a third of
+a batch sends 14 rows for each task.
+
+Rows are compared in Python as Spark sorts them: nulls first, NaN last, text by its bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime
+import math
+from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
-
-from shelfwise.operators import dedup
-from shelfwise.plans.layers import gold, silver
-from shelfwise.schemas import CELL, LONG_FRAME, PAIR
-
-
-def recent_rows(pos: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
-    """The last 14 deduplicated rows of every pair."""
-    newest = Window.partitionBy(*PAIR).orderBy(F.desc("transaction_date"))
-    rows = dedup(pos, CELL, order_by).withColumn("_rn", F.row_number().over(newest))
-    return rows.where(F.col("_rn") <= LONG_FRAME).drop("_rn")
-
-
-def last_stored_batch(spark: SparkSession, folder: str) -> int:
-    """From the names of the folders, which a batch gets only when its write has been committed."""
-    names = spark.read.option("basePath", folder).parquet(f"{folder}/batch_id=*").select("batch_id")
-    return names.agg(F.max("batch_id")).first()[0]
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+from shelfwise.plans.layers import gold, with_demand
+from shelfwise.schemas import CELL, LONG_FRAME, PAIR, POS
+from shelfwise.streaming.slots import last_batch, read_slots, write_slot
+
+BUCKETS = 4096
+KEPT = 20  # batches whose changed signals stay stored
+HELD = 50_000  # cells that a task merges before it hands them on
+
+
+def _rank(value) -> tuple:
+    """A value's place in Spark's ascending order."""
+    if value is None:
+        return (0,)
+    if isinstance(value, float):
+        return (2,) if math.isnan(value) else (1, value)
+    return (1, value.encode() if isinstance(value, str) else value)
+
+
+class RecentRows:
+    """The last ``LONG_FRAME`` deduplicated rows of every pair of a set of rows, which are tuples of ``columns``."""
+
+    def __init__(self, columns: Sequence[str], order: Sequence[str]):
+        at = {c: i for i, c in enumerate(columns)}
+        self._pair, self._date = [at[c] for c in PAIR], at["transaction_date"]
+        self._order = [at[c] for c in order]
+        self.pairs: dict[tuple, dict[datetime.date | None, tuple]] = {}
+        self.cells = 0
+
+    def add(self, rows: Iterable[tuple]) -> set[tuple]:
+        """Merges rows in; the pairs that they belong to."""
+        touched = set()
+        for row in rows:
+            pair = tuple(row[i] for i in self._pair)
+            touched.add(pair)
+            dates = self.pairs.setdefault(pair, {})
+            other = dates.get(row[self._date])
+            if other is None:
+                dates[row[self._date]] = row
+                self.cells += 1
+                if len(dates) > LONG_FRAME:
+                    del dates[min(dates, key=_rank)]
+                    self.cells -= 1
+            elif self._key(row) < self._key(other):
+                dates[row[self._date]] = row
+        return touched
+
+    def _key(self, row: tuple) -> list[tuple]:
+        return [_rank(row[i]) for i in self._order]
+
+    def rows(self, pairs: Iterable[tuple] | None = None) -> list[tuple]:
+        return [row for pair in (self.pairs if pairs is None else pairs) for row in self.pairs[pair].values()]
 
 
 class LiveSignals:
-    """Signals under one ``root`` folder that every executor can reach."""
+    """Signals of a stream; batches' changes are stored under ``root``, the state in the query's checkpoint."""
 
     def __init__(
-        self, spark: SparkSession, root: str,
-        order_by: Sequence[str] | None = None, compact_every: int = 10, **rules,
+        self, spark: SparkSession, root: str, order_by: Sequence[str] | None = None,
+        buckets: int = BUCKETS, kept: int = KEPT, **rules,
     ):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.order_by = order_by
-        self.compact_every = compact_every
-        self.rules = rules
-
-    def _folder(self, kind: str, batch_id: int) -> str:
-        return f"{self.root}/{kind}/batch_id={batch_id}"
+        self.spark, self.root, self.buckets, self.kept = spark, root.rstrip("/"), buckets, kept
+        self.order_by, self.rules = order_by, rules
+
+    def recent(self, stream: DataFrame) -> DataFrame:
+        """For every micro-batch the recent rows of the pairs that it touches, after it."""
+        order = list(self.order_by or [c for c in stream.columns if c not in CELL])
+        columns = [*POS.names, *[c for c in order if c not in POS.names]]
+        schema = T.StructType([stream.schema[c] for c in columns])
+        keyed = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("row", schema)])
+        state = T.StructType([T.StructField("rows", T.ArrayType(schema))])
+        of = lambda row: tuple(row[c] for c in columns) if isinstance(row, dict) else tuple(row)
+
+        def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            held, bucket_of = RecentRows(columns, order), {}
+
+            def out() -> pd.DataFrame:
+                rows = [(bucket_of[pair], dict(zip(columns, row))) for pair in held.pairs for row in held.rows([pair])]
+                return pd.DataFrame(rows, columns=["bucket", "row"])
+
+            for frame in frames:
+                for bucket, row in zip(frame["bucket"].tolist(), frame["row"].tolist()):
+                    for pair in held.add([of(row)]):
+                        bucket_of[pair] = bucket
+                if held.cells >= HELD:
+                    yield out()
+                    held, bucket_of = RecentRows(columns, order), {}
+            if held.cells:
+                yield out()
+
+        def update(key: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+            held = RecentRows(columns, order)
+            held.add(of(row) for row in (kept.get[0] if kept.exists else ()))
+            touched = set()
+            for frame in frames:
+                touched |= held.add(map(of, frame["row"].tolist()))
+            kept.update((held.rows(),))
+            yield pd.DataFrame(held.rows(touched), columns=columns, dtype=object)
+
+        bucket = F.pmod(F.xxhash64(*PAIR), F.lit(self.buckets)).alias("bucket")
+        return (stream.select(bucket, F.struct(*columns).alias("row")).mapInPandas(merge, keyed)
+                .groupBy("bucket").applyInPandasWithState(update, schema, state, "append", GroupStateTimeout.NoTimeout))
+
+    def _store(self, rows: DataFrame, batch_id: int) -> None:
+        """The signals of the pairs that a batch touched."""
+        signals = gold(with_demand(rows), latest="per_key", **self.rules)
+        write_slot(signals, f"{self.root}/signals", batch_id, self.kept)
 
-    def _state_folders(self, batch_id: int) -> list[str]:
-        """The last merge before ``batch_id`` and the batches after it."""
-        first = batch_id - batch_id % self.compact_every
-        merged = [self._folder("merged", first - 1)] if first else []
-        return merged + [self._folder("recent", b) for b in range(first, batch_id + 1)]
+    def start(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
+        return self.recent(stream).writeStream.foreachBatch(self._store).option("checkpointLocation", checkpoint)
 
     def last_batch(self) -> int:
-        """The last batch that is stored, also after a restart that found nothing new."""
-        return last_stored_batch(self.spark, f"{self.root}/recent")
+        """The last batch that touched a pair, also after a restart that found nothing new."""
+        return last_batch(self.spark, f"{self.root}/signals")
 
-    def state(self, batch_id: int) -> DataFrame:
-        """Rows that hold every pair's last 14, as of a batch."""
-        return self.spark.read.parquet(*self._state_folders(batch_id))
+    def changed(self, batch_id: int) -> DataFrame:
+        """The signals of the pairs that a batch touched; the newest ``kept`` batches are there."""
+        return read_slots(self.spark, f"{self.root}/signals", batch_id, batch_id)
 
-    def current(self, batch_id: int, latest: str = "per_key") -> DataFrame:
+    def state(self, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+        """The state's rows, as of a batch that the checkpoint still holds, by default the last."""
+        reader = self.spark.read.format("statestore")
+        if batch_id is not None:
+            reader = reader.option("batchId", batch_id)
+        return reader.load(checkpoint).select(F.inline("value.groupState.rows"))
+
+    def current(self, checkpoint: str, batch_id: int | None = None, latest: str = "per_key") -> DataFrame:
         """All signals as of a batch.
 
         ``global`` matches the batch gold, but a new date empties it of pairs
         that have not reported yet; ``per_key`` keeps them.
         """
-        rows = self.state(batch_id)
-        return gold(silver(rows, self.order_by), rows, latest=latest, **self.rules)
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        """Store the batch's recent rows, then the signals of the pairs it touched."""
-        recent_rows(batch, self.order_by).write.mode("overwrite").parquet(
-            self._folder("recent", batch_id))
-        touched = self.spark.read.parquet(self._folder("recent", batch_id)).select(*PAIR).distinct()
-        rows = self.state(batch_id).join(touched, PAIR, "left_semi")
-        gold(silver(rows, self.order_by), latest="per_key", **self.rules).write.mode(
-            "overwrite").parquet(self._folder("signals", batch_id))
-        if (batch_id + 1) % self.compact_every == 0:
-            recent_rows(self.state(batch_id), self.order_by).write.mode("overwrite").parquet(
-                self._folder("merged", batch_id))
-            self._forget(batch_id + 1 - 2 * self.compact_every)
-
-    def _forget(self, first: int) -> None:
-        """Remove the batches before ``first`` and the merges before the one it starts from."""
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for kind, end in (("recent", first), ("signals", first), ("merged", first - 1)):
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{kind}")
-            files = path.getFileSystem(conf)
-            for entry in files.listStatus(path):
-                name = entry.getPath().getName()
-                if name.startswith("batch_id=") and int(name.split("=")[1]) < end:
-                    files.delete(entry.getPath(), True)
-
-    def start(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
-        return stream.writeStream.foreachBatch(self.process).option(
-            "checkpointLocation", checkpoint)
+        rows = self.state(checkpoint, batch_id)
+        return gold(with_demand(rows), rows, latest=latest, **self.rules)

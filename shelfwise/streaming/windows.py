@@ -1,17 +1,26 @@
-"""Demand per calendar window."""
+"""Demand per calendar window: over an event-time stream, and from daily panes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import datetime
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from shelfwise.schemas import PAIR
+from shelfwise.streaming.dedup import CellStore
+
+DAYS = 7
+OUT = [*PAIR, "window_start", "window_end", "demand_window_7d"]
 
 
 def window_demand(cells: DataFrame, length: str = "7 days", slide: str = "1 day") -> DataFrame:
     """Units sold per pair in sliding day windows; batch or streaming.
 
     ``cells`` is deduplicated and carries the event time ``day``. Windows count
-    days, unlike the row frames of silver, hence the separate column name.
+    days, unlike the row frames of silver, hence the separate column name. Every cell is
+    sent once for each window that it is in; :func:`pane_windows` sends it once.
     """
     return (
         cells.groupBy(F.window("day", length, slide).alias("w"), *PAIR)
@@ -23,3 +32,64 @@ def window_demand(cells: DataFrame, length: str = "7 days", slide: str = "1 day"
             "demand_window_7d",
         )
     )
+
+
+def pane_windows(panes: DataFrame, days: int = DAYS) -> DataFrame:
+    """The same windows from daily panes: deduplicated rows, one per pair and date.
+
+    Panes meet once, by pair. Each looks at the panes of the ``days`` from its own on, and answers the windows of
+    which it is the first pane: those that begin after the pane before it. So every window with
+    a pane comes once, and no pane is copied for the windows that it is in.
+    """
+    by = Window.partitionBy(*PAIR).orderBy("_day")
+    day, start = F.col("_day"), F.col("_start")
+    rows = (
+        panes.where(F.col("transaction_date").isNotNull())
+        .select(*PAIR, F.unix_date("transaction_date").alias("_day"), "qty_sold")
+        .withColumn("_last", F.lag("_day").over(by))
+        .withColumn("_ahead", F.collect_list(F.struct("_day", "qty_sold")).over(by.rangeBetween(0, days - 1)))
+    )
+    earliest = F.greatest(day - (days - 1), F.col("_last") + 1)  # of those that are not null
+    starts = rows.select(*PAIR, "_ahead", F.explode(F.sequence(earliest, day)).alias("_start"))
+    inside = F.filter("_ahead", lambda p: p["_day"] < start + days)
+    total = F.aggregate(inside, F.lit(None).cast("bigint"), lambda acc, p: F.coalesce(acc + p["qty_sold"], acc, p["qty_sold"].cast("bigint")))
+    return starts.select(
+        *PAIR, F.date_from_unix_date(start).alias("window_start"), F.date_from_unix_date(start + days).alias("window_end"),
+        total.alias("demand_window_7d"))
+
+
+class WindowStore:
+    """Windows kept by micro-batches, equal to the batch however the input is cut.
+
+    The panes are those of a :class:`CellStore`. After every batch the windows that its dates lie in are summed
+    again from their panes and replace the stored ones, by first day; no other window is read or
+    written, nor any other pane. Windows follow from the panes alone, so a replayed batch writes the same.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, order_by: Sequence[str] | None = None, compact_every: int = 10, days: int = DAYS,
+    ):
+        self.spark, self.root, self.days = spark, root.rstrip("/"), days
+        self.cells = CellStore(spark, f"{self.root}/panes", order_by, compact_every)
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        self.cells.process(batch, batch_id)
+        self.refresh(batch_id, [row[0] for row in batch.select("transaction_date").distinct().collect() if row[0]])
+
+    def refresh(self, batch_id: int, touched: Sequence[datetime.date]) -> None:
+        """Sums the windows that ``touched`` dates lie in, from the panes as of a batch."""
+        back = lambda dates: {d - datetime.timedelta(n) for d in dates for n in range(self.days)}
+        starts = back(touched)
+        panes = {d + datetime.timedelta(self.days - 1) for d in back(starts)}  # the days of all these windows
+        if not starts:
+            return
+        windows = pane_windows(self.cells.current(batch_id, panes), self.days)
+        (windows.where(F.col("window_start").isin([F.lit(d) for d in starts])).hint("rebalance", "window_start")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("window_start").parquet(f"{self.root}/windows"))
+
+    def start(self, stream: DataFrame, checkpoint: str) -> DataStreamWriter:
+        return stream.writeStream.foreachBatch(self.process).option("checkpointLocation", checkpoint)
+
+    def current(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/windows").select(*OUT)
