@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from oracle_queries import ORACLE  # noqa: E402
 from shelfwise import functions as fn, operators as op  # noqa: E402
 from shelfwise.functions.labels import CATEGORIES, REGIONS  # noqa: E402
-from shelfwise.plans import kpis, layers, orders, questions, refresh, snapshot  # noqa: E402
+from shelfwise.plans import daily, kpis, layers, orders, questions, refresh, snapshot  # noqa: E402
 from shelfwise.schemas import BRONZE, CELL, GOLD, SILVER  # noqa: E402
 from shelfwise.session import run_folder  # noqa: E402
 from shelfwise.sources import create_database, testdata as td  # noqa: E402
@@ -87,19 +87,32 @@ def _materialised_gold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _extended(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
-    """Stored tables of the early dates, then extended twice over the later ones; by table name."""
+    """Stored tables of the files that land first, then extended twice by what landed since; by table name."""
     database = f"run_{uuid.uuid4().hex}"
     create_database(spark, database, run_folder(spark, "database"))
+    landing = run_folder(spark, "landing")
     pos, stores, skus = td.pos(spark, folder), td.stores(spark, folder), td.skus(spark, folder)
-    day = F.col("transaction_date")
-    first, second = datetime.date(2024, 1, 15), datetime.date(2024, 1, 24)
-    options = {"order_by": td.COPY_ORDER}
-    tables = refresh.run(spark, database, pos.where(day < F.lit(first)), stores, skus, **options)
-    refresh.extend(spark, database, pos.where(day < F.lit(second)), stores, skus, first, **options)
-    refresh.extend(spark, database, pos, stores, skus, second, **options)
+    day, ends = F.col("transaction_date"), (datetime.date(2024, 1, 15), datetime.date(2024, 1, 24))
+    waves = [day < F.lit(ends[0]), (day >= F.lit(ends[0])) & (day < F.lit(ends[1])), day >= F.lit(ends[1])]
+    refreshes = [refresh.run, refresh.extend, refresh.extend]
+    for wave, step in zip(waves, refreshes):
+        pos.where(wave).write.mode("append").parquet(landing)
+        tables = step(spark, database, spark.read.parquet(landing), stores, skus, landing=landing, order_by=td.COPY_ORDER)
     return lambda table: spark.table(tables.name(table))
 
 
+def _extended_trend(spark: SparkSession, folder: str) -> DataFrame:
+    return daily.trend_of(_extended(spark, folder)(refresh.DAILY))
+
+
+def _extended_coverage(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct stores and SKUs over all dates and over the last seven, merged from the dates' bitmaps."""
+    stored = _extended(spark, folder)(refresh.COVERAGE)
+    recent = stored.where(F.col("signal_date") > F.date_sub(op.latest_date(stored, "signal_date"), 7))
+    return daily.coverage_of(stored).withColumn("span", F.lit("all")).unionByName(
+        daily.coverage_of(recent).withColumn("span", F.lit("last_7")))
+
+
 def _extended_stats(spark: SparkSession, folder: str) -> DataFrame:
     stored = _extended(spark, folder)
     return kpis.platform_stats(stored(BRONZE), stored(SILVER), stored(GOLD))
@@ -252,6 +265,8 @@ def queries() -> dict[str, Query]:
         "extended_silver": lambda s, d: _extended(s, d)(SILVER).drop("load_timestamp"),
         "extended_gold": lambda s, d: _extended(s, d)(GOLD),
         "extended_platform_stats": _extended_stats,
+        "extended_trend": _extended_trend,
+        "extended_coverage": _extended_coverage,
         "stored_orders": _stored_orders,
         # panel and labels
         "date_spine": lambda s, d: op.date_spine(td.pos(s, d)),

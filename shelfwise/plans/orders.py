@@ -9,6 +9,7 @@ from shelfwise.functions.labels import DESK_BANDS, WEB_BANDS
 from shelfwise.operators import with_dimensions
 from shelfwise.plans.kpis import reorder_rows
 from shelfwise.schemas import PAIR, REORDER_NOW
+from shelfwise.sources import write_dates
 
 # The order message. %s take the columns listed beside the text.
 SUBJECT = "Replenish SKU %s at store %s"
@@ -51,8 +52,7 @@ def purchase_order_lines(
 
 def write_orders(lines: DataFrame, path: str, fmt: str = "parquet") -> None:
     """One folder per signal date, replaced as a whole: running a date again adds no order."""
-    (lines.hint("rebalance", "signal_date").write.format(fmt).mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("signal_date").save(path))
+    write_dates(lines, path, "signal_date", fmt)
 
 
 def urgency_bands(gold: DataFrame) -> DataFrame:

@@ -1,21 +1,19 @@
-"""Batch refresh: landing folder -> bronze, silver, gold, quality and KPI tables."""
+"""Batch refresh: landing folder -> bronze, silver, gold, quality and KPI tables, published together."""
 
 from __future__ import annotations
 
 import datetime
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from shelfwise.operators import DEFAULT_RULES, observe_rules
+from shelfwise.plans.daily import MONTH, by_month, daily_coverage, daily_figures
 from shelfwise.plans.kpis import platform_stats
-from shelfwise.plans.layers import gold, silver, silver_since, tail_rows
+from shelfwise.plans.layers import gold, signal_history, silver, silver_since, tail_rows
 from shelfwise.plans.orders import purchase_order_lines
 from shelfwise.plans.snapshot import kpi_snapshot
 from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
-from shelfwise.sources import (
-    create_database, drop_dates, register_folder, save_by_date, save_table, stored_dates,
-)
+from shelfwise.sources import Change, Versions, create_database, ledger, register_folder
 
 # Table comments.
 COMMENTS = {
@@ -27,91 +25,92 @@ QUALITY = "data_quality"
 SNAPSHOT = "kpi_snapshot"
 ORDERS = "purchase_orders"
 TAIL = "silver_tail"
+DAILY, COVERAGE = "daily_figures", "daily_coverage"
+FILES = "landed_files"
 KEPT_TAILS = 4
 
 
-@dataclass(frozen=True)
-class Tables:
-    """Names of the tables of one database."""
-
-    database: str
-
-    def name(self, table: str) -> str:
-        return f"{self.database}.{table}"
+def _before(since: datetime.date | None):
+    """Published dates that stay: those before ``since``, and rows without a date."""
+    return (lambda part: part is None or part < since.isoformat()) if since else None
 
 
 def write_silver(
-    rows: DataFrame, table: str, fmt: str = "parquet", since: datetime.date | None = None
+    change: Change, rows: DataFrame, fmt: str = "parquet", since: datetime.date | None = None
 ) -> tuple[DataFrame, datetime.date | None]:
     """Write silver by date; the same job yields the quality report and the latest date.
 
-    With ``since`` the stored dates from there on are replaced and earlier ones stay.
+    With ``since`` the dates from there on are replaced and earlier ones stay.
     """
     checks = Observation("quality")
 
     def watch(shaped: DataFrame) -> DataFrame:
         return observe_rules(shaped, checks, latest=F.max("transaction_date"))
 
-    save_by_date(
-        rows.withColumn("load_timestamp", F.current_timestamp()), table,
-        comment=COMMENTS[SILVER], fmt=fmt, keep_other_dates=since is not None,
-        recomputed=(lambda day: day >= since) if since else None, watch=watch,
-    )
+    change.write(rows.withColumn("load_timestamp", F.current_timestamp()), SILVER, "transaction_date",
+                 keep=_before(since), fmt=fmt, comment=COMMENTS[SILVER], watch=watch)
     counts = checks.get
     lines = [(rule, counts["rows"] - counts[rule], counts[rule]) for rule in DEFAULT_RULES]
     report = rows.sparkSession.createDataFrame(lines, "rule string, passed bigint, failed bigint")
     return report.withColumn("checked_at", F.current_timestamp()), counts["latest"]
 
 
-def write_gold(
-    spark: SparkSession, silver_table: str, gold_table: str, fmt: str = "parquet", **options
-) -> None:
-    """Gold from the stored silver table, of which it reads one date partition."""
-    save_table(gold(spark.table(silver_table), **options), gold_table, COMMENTS[GOLD], fmt)
-
-
 def write_tail(
-    spark: SparkSession, tables: Tables, rows: DataFrame, as_of: datetime.date | None,
-    fmt: str = "parquet", keep: bool = False,
+    change: Change, rows: DataFrame, as_of: datetime.date | None, fmt: str = "parquet",
+    keep: list[str] | None = None,
 ) -> None:
-    """Store the last 13 rows per pair under their date; with ``keep`` beside the newest of the earlier ones.
+    """Store the last 13 rows per pair under their date, beside the tails of the dates in ``keep``.
 
     ``as_of`` is the latest date in ``rows``. An extension starts from the newest tail before its first date.
     """
-    table = tables.name(TAIL)
-    tail = tail_rows(rows).withColumn("as_of", F.lit(as_of).cast("date"))
-    save_by_date(tail, table, "as_of", fmt=fmt, keep_other_dates=keep)
-    kept = stored_dates(spark, table)[-KEPT_TAILS:]
-    drop_dates(spark, table, "as_of", lambda date: date < kept[0])
+    kept = sorted(keep or [])[-(KEPT_TAILS - 1):]
+    change.write(tail_rows(rows).withColumn("as_of", F.lit(as_of).cast("date")), TAIL, "as_of", keep=lambda part: part in kept, fmt=fmt)
+
 
+def tails(change: Change) -> list[str]:
+    return sorted(part for _, part, _ in change.parts.get(TAIL, []) if part)
 
-def rows_before(spark: SparkSession, tables: Tables, since: datetime.date) -> DataFrame | None:
+
+def rows_before(change: Change, since: datetime.date) -> DataFrame | None:
     """The rows before ``since`` that later frames can reach, or None where no tail is old enough.
 
     That is the newest earlier tail and the silver dates after it, so older silver is not read.
     """
-    table, day = tables.name(TAIL), F.col("transaction_date")
-    dates = stored_dates(spark, table) if spark.catalog.tableExists(table) else []
-    earlier = [date for date in dates if date < since]
+    earlier = [date for date in tails(change) if date < since.isoformat()]
     if not earlier:
         return None
-    tail = spark.table(table).where(F.col("as_of") == F.lit(earlier[-1])).select(*POS.names)
-    after = spark.table(tables.name(SILVER)).where((day > F.lit(earlier[-1])) & (day < F.lit(since)))
+    day, newest = F.col("transaction_date"), F.lit(earlier[-1]).cast("date")
+    tail = change.read(TAIL).where(F.col("as_of") == newest).select(*POS.names)
+    after = change.read(SILVER).where((day > newest) & (day < F.lit(since)))
     return tail.unionByName(after.select(*POS.names))
 
 
-def _publish(
-    spark: SparkSession, tables: Tables, stores: DataFrame, skus: DataFrame, fmt: str, **options
+def _derive(
+    change: Change, bronze: DataFrame, stores: DataFrame, skus: DataFrame, fmt: str,
+    as_of: datetime.date | None, since: datetime.date | None = None, **rules,
 ) -> None:
-    """Everything that follows from the stored silver table."""
-    write_gold(spark, tables.name(SILVER), tables.name(GOLD), fmt, **options)
-    signals = spark.table(tables.name(GOLD))
-    layers = platform_stats(*[spark.table(tables.name(layer)) for layer in (BRONZE, SILVER, GOLD)])
-    save_table(kpi_snapshot(signals, stores, skus, layers), tables.name(SNAPSHOT), fmt=fmt)
-    save_by_date(
-        purchase_order_lines(signals, stores, skus), tables.name(ORDERS), "signal_date",
-        fmt=fmt, keep_other_dates=True, recomputed=lambda day: day == options.get("as_of"),
-    )
+    """Everything that follows from silver; with ``since`` daily figures are kept for the dates before it."""
+    rows = change.read(SILVER)
+    change.write(gold(rows, as_of=as_of, **rules), GOLD, fmt=fmt, comment=COMMENTS[GOLD])
+    later = rows if since is None else rows.where(F.col("transaction_date") >= F.lit(since))
+    history = signal_history(later, **rules)
+    _write_daily(change, daily_figures(history, skus), DAILY, fmt, since)
+    _write_daily(change, daily_coverage(history), COVERAGE, fmt, since)
+    signals = change.read(GOLD)
+    layers = platform_stats(bronze, rows, signals)
+    change.write(kpi_snapshot(signals, stores, skus, layers), SNAPSHOT, fmt=fmt)
+    change.write(purchase_order_lines(signals, stores, skus), ORDERS, "signal_date", fmt=fmt,
+                 keep=lambda part: as_of is None or part != as_of.isoformat())
+
+
+def _write_daily(change: Change, rows: DataFrame, table: str, fmt: str, since: datetime.date | None) -> None:
+    """Figures by month; of the month that ``since`` lies in, those before it are written again."""
+    rows, month = by_month(rows), None
+    if since and change.parts.get(table):
+        month = since.replace(day=1)
+        day = F.col("signal_date")
+        rows = rows.unionByName(change.read(table).where((F.col(MONTH) == F.lit(month)) & (day < F.lit(since))))
+    change.write(rows, table, MONTH, keep=_before(month), fmt=fmt)
 
 
 def run(
@@ -125,23 +124,27 @@ def run(
     order_by=None,
     fmt: str = "parquet",
     **rules,
-) -> Tables:
-    """Refresh all tables of ``database`` in dependency order.
+) -> Versions:
+    """Refresh all tables of ``database``; readers see the old ones until all new ones are there.
 
-    With ``landing`` bronze is a catalog entry over that folder and nothing is
-    copied; otherwise ``pos`` itself is stored.
+    With ``landing`` bronze is a catalog entry over that folder, nothing is copied, and the files read
+    are entered in a ledger, from which :func:`extend` finds later changes; otherwise ``pos`` itself is stored.
     """
-    tables = Tables(database)
     create_database(spark, database)
+    tables = Versions(spark, database)
+    change = tables.begin()
     if landing:
+        change.write(ledger.entries(spark, landing), FILES, fmt=fmt)
         register_folder(spark, tables.name(BRONZE), landing, COMMENTS[BRONZE])
+        bronze = pos
     else:
-        save_by_date(pos, tables.name(BRONZE), comment=COMMENTS[BRONZE], fmt=fmt)
-        pos = spark.table(tables.name(BRONZE))
-    report, as_of = write_silver(silver(pos, order_by), tables.name(SILVER), fmt)
-    save_table(report, tables.name(QUALITY), fmt=fmt)
-    write_tail(spark, tables, spark.table(tables.name(SILVER)), as_of, fmt)
-    _publish(spark, tables, stores, skus, fmt, as_of=as_of, **rules)
+        change.write(pos, BRONZE, "transaction_date", fmt=fmt, comment=COMMENTS[BRONZE])
+        pos = bronze = change.read(BRONZE)
+    report, as_of = write_silver(change, silver(pos, order_by), fmt)
+    change.write(report, QUALITY, fmt=fmt)
+    write_tail(change, change.read(SILVER), as_of, fmt)
+    _derive(change, bronze, stores, skus, fmt, as_of, **rules)
+    change.publish()
     return tables
 
 
@@ -151,41 +154,59 @@ def extend(
     pos: DataFrame,
     stores: DataFrame,
     skus: DataFrame,
-    since: datetime.date,
+    since: datetime.date | None = None,
     *,
+    landing: str | None = None,
     order_by=None,
     lookback_days: int = 28,
     fmt: str = "parquet",
     **rules,
-) -> Tables:
+) -> Versions:
     """Refresh after rows were added on dates from ``since`` on; earlier dates stay as they are.
 
+    Without ``since`` it is the first date in the files of ``landing`` that are new, changed or gone since the
+    last refresh; where there are none, nothing happens.
+
     ``pos`` holds all raw rows of those dates, old and new; it may hold more, and is not the bronze
     table itself. Bronze, silver and orders lose stored dates that have no rows any more. A
-    failed run leaves dates before ``since`` untouched, so it can simply be repeated. Older silver is read
+    failed run changes nothing that readers see, so it can simply be repeated. Older silver is read
     only where the stored tails all reach ``since`` or beyond; ``lookback_days`` is for that case.
     """
-    tables = Tables(database)
-    fresh = pos.where(F.col("transaction_date") >= F.lit(since))
-    if spark.catalog.getTable(tables.name(BRONZE)).tableType == "MANAGED":
-        save_by_date(fresh, tables.name(BRONZE), fmt=fmt, keep_other_dates=True, recomputed=lambda day: day >= since)
+    tables = Versions(spark, database)
+    change = tables.begin()
+    if landing:
+        before = change.read(FILES)
+        change.write(ledger.entries(spark, landing, before), FILES, fmt=fmt)
+        since = since or ledger.first_touched(before, change.read(FILES))
+        if since is None:
+            return tables
+    elif since is None:
+        raise ValueError("without a landing folder the first changed date has to be given")
+    stays = _before(since)
+    if BRONZE in change.parts:
+        fresh = pos.where(F.col("transaction_date") >= F.lit(since))
+        change.write(fresh, BRONZE, "transaction_date", keep=stays, fmt=fmt)
+        bronze = change.read(BRONZE)
     else:
         spark.catalog.refreshTable(tables.name(BRONZE))
         if any(column.isPartition for column in spark.catalog.listColumns(tables.name(BRONZE))):
             spark.catalog.recoverPartitions(tables.name(BRONZE))
-    stored, known = spark.table(tables.name(SILVER)), rows_before(spark, tables, since)
-    if known is not None:  # tails that hold dates to be replaced go first: none may outlive a failed run
-        drop_dates(spark, tables.name(TAIL), "as_of", lambda date: date >= since)
+        bronze = spark.table(tables.name(BRONZE))
+    stored, known = change.read(SILVER), rows_before(change, since)
+    kept = [date for date in tails(change) if date < since.isoformat()]
     rows = silver_since(pos, stored, since, order_by, lookback_days, known)
-    report, as_of = write_silver(rows, tables.name(SILVER), fmt, since)
+    report, as_of = write_silver(change, rows, fmt, since)
+    newest = change.read(SILVER)
     if as_of is None:  # every date from ``since`` on was emptied
-        as_of = spark.table(tables.name(SILVER)).agg(F.max("transaction_date")).first()[0]
-    report.write.format(fmt).mode("append").saveAsTable(tables.name(QUALITY))
-    newest = spark.table(tables.name(SILVER))
+        as_of = newest.agg(F.max("transaction_date")).first()[0]
+    change.write(report, QUALITY, keep=lambda part: True, fmt=fmt)
     if known is None:
-        write_tail(spark, tables, newest, as_of, fmt)
-    elif as_of not in stored_dates(spark, tables.name(TAIL)):
+        write_tail(change, newest, as_of, fmt)
+    elif as_of is not None and as_of.isoformat() in kept:  # what is left ends where a tail does
+        change.parts[TAIL] = [p for p in change.parts[TAIL] if p[1] in kept]
+    else:
         later = newest.where(F.col("transaction_date") >= F.lit(since)).select(*POS.names)
-        write_tail(spark, tables, known.unionByName(later), as_of, fmt, keep=True)
-    _publish(spark, tables, stores, skus, fmt, as_of=as_of, **rules)
+        write_tail(change, known.unionByName(later), as_of, fmt, kept)
+    _derive(change, bronze, stores, skus, fmt, as_of, since, **rules)
+    change.publish()
     return tables

@@ -1,9 +1,11 @@
+from shelfwise.sources import ledger
+from shelfwise.sources.publish import Change, Versions
 from shelfwise.sources.readers import pos_from_rows, read_pos, read_table, stream_pos
 from shelfwise.sources.writers import (
-    create_database, drop_dates, register_folder, save_by_date, save_table, stored_dates, write_parquet,
+    create_database, register_folder, save_by_date, save_table, write_dates, write_parquet,
 )
 
 __all__ = [
-    "create_database", "drop_dates", "pos_from_rows", "read_pos", "read_table", "register_folder",
-    "save_by_date", "save_table", "stored_dates", "stream_pos", "write_parquet",
+    "Change", "Versions", "create_database", "ledger", "pos_from_rows", "read_pos", "read_table", "register_folder",
+    "save_by_date", "save_table", "stream_pos", "write_dates", "write_parquet",
 ]

@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import datetime
-from collections.abc import Callable
-from contextlib import contextmanager
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,60 +26,24 @@ def save_table(df: DataFrame, table: str, comment: str | None = None, fmt: str =
     _comment(df.sparkSession, table, comment)
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession):
-    """``insertInto`` takes the mode from the session only; a writer option is ignored."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
-def save_by_date(
-    df: DataFrame,
-    table: str,
-    column: str = "transaction_date",
-    comment: str | None = None,
-    fmt: str = "parquet",
-    keep_other_dates: bool = False,
-    recomputed: Callable[[datetime.date], bool] | None = None,
-    watch: Callable[[DataFrame], DataFrame] | None = None,
-) -> None:
-    """Date-partitioned table, replaced as a whole or only on the dates in ``df``.
+def save_by_date(df: DataFrame, table: str, column: str = "transaction_date", comment: str | None = None, fmt: str = "parquet") -> None:
+    """Date-partitioned table, replaced as a whole.
 
     The rebalance gathers each date in as few files as its size allows and lets
     AQE split a date that is too large for one task. Without it every task would
-    open a file per date. With ``keep_other_dates``, stored dates that are ``recomputed`` go even if
-    ``df`` has no row for them; it must not read them. ``watch`` is applied after it, in the writing stage.
+    open a file per date.
     """
-    spark = df.sparkSession
-    shaped = df.hint("rebalance", column)
-    if watch:
-        shaped = watch(shaped)
-    if keep_other_dates and spark.catalog.tableExists(table):
-        if recomputed:
-            drop_dates(spark, table, column, recomputed)
-        with _dynamic_overwrite(spark):
-            shaped.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
-    else:
-        shaped.write.format(fmt).mode("overwrite").partitionBy(column).saveAsTable(table)
-    _comment(spark, table, comment)
-
+    df.hint("rebalance", column).write.format(fmt).mode("overwrite").partitionBy(column).saveAsTable(table)
+    _comment(df.sparkSession, table, comment)
 
-def stored_dates(spark: SparkSession, table: str) -> list[datetime.date]:
-    """The dates that a table has partitions for, ascending, from the catalog."""
-    values = [row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    return sorted(datetime.date.fromisoformat(value) for value in values if value[:1].isdigit())
 
+def write_dates(df: DataFrame, path: str, column: str = "transaction_date", fmt: str = "parquet") -> None:
+    """Date folders below ``path``; those of the dates in ``df`` are replaced when all is written, others stay.
 
-def drop_dates(spark: SparkSession, table: str, column: str, which: Callable[[datetime.date], bool]) -> None:
-    """Drops the date partitions that ``which`` holds for; one catalog entry is looked at per date."""
-    for date in stored_dates(spark, table):
-        if which(date):
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column}=DATE'{date}')")
+    The mode belongs to this writer, so other jobs of the session keep theirs.
+    """
+    (df.hint("rebalance", column).write.format(fmt).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(column).save(path))
 
 
 def register_folder(

@@ -1,15 +1,17 @@
 """The batch refresh into tables."""
 
 import re
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import brute_signals, day, dims, pos_frame, random_sales, rows_of, sale
-from shelfwise.plans import gold, kpis, refresh, silver
+from helpers import brute_signals, day, dims, plan_of, pos_frame, random_sales, rows_of, sale
+from shelfwise.plans import gold, kpis, refresh, signal_history, silver
+from shelfwise.plans.daily import coverage_of, trend_of
 from shelfwise.plans.layers import silver_since
 from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
-from shelfwise.sources import read_pos, read_table, write_parquet
+from shelfwise.sources import Change, read_pos, read_table, write_dates, write_parquet
 
 
 @pytest.fixture()
@@ -32,8 +34,8 @@ def test_refresh_writes_every_layer(spark, database):
     assert rows_of(report) == [("valid_inventory", 0), ("valid_qty", 0)]
     orders = read_table(spark, tables.name(refresh.ORDERS))
     assert orders.count() == kpis.reorder_rows(expected).count()
-    columns = spark.catalog.listColumns(tables.name(SILVER))
-    assert [c.name for c in columns if c.isPartition] == ["transaction_date"]
+    columns = spark.catalog.listColumns(tables.stored(SILVER))
+    assert [c.name for c in columns if c.isPartition] == ["transaction_date", "run"]
     assert "reorder status" in spark.catalog.getTable(tables.name(GOLD)).description
 
 
@@ -155,9 +157,122 @@ def test_extending_reads_no_silver_before_the_tail(spark, database):
     sales = random_sales(27, n=400, days=52)
     early = pos_frame(spark, [r for r in sales if r[2] < day(40)])
     tables = refresh.run(spark, database, early, stores, skus)
-    known = refresh.rows_before(spark, tables, day(40))
+    known = refresh.rows_before(tables.begin(), day(40))
     nothing = spark.table(tables.name(SILVER)).where("false")
     part = silver_since(pos_frame(spark, sales), nothing, day(40), before=known)
     later = F.col("transaction_date") >= F.lit(day(40))
     assert rows_of(part) == rows_of(silver(pos_frame(spark, sales)).where(later))
-    assert refresh.rows_before(spark, tables, day(0)) is None
+    assert refresh.rows_before(tables.begin(), day(0)) is None
+
+
+def state_of(spark, tables, *more):
+    """The tables by name; the time of loading aside."""
+    return {t: rows_of(spark.table(tables.name(t)).drop("load_timestamp", "month", "checked_at", "computed_at", "valid_until"))
+            for t in (BRONZE, SILVER, GOLD, refresh.ORDERS, refresh.SNAPSHOT, refresh.DAILY, *more)}
+
+
+@pytest.mark.parametrize("lost", [SILVER, GOLD, refresh.ORDERS, "publish"])
+def test_a_run_that_is_lost_changes_nothing_and_can_be_repeated(spark, database, monkeypatch, lost):
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(28, n=200, days=20)
+    tables = refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(15)]), stores, skus)
+    before = state_of(spark, tables)
+    write, publish = Change.write, Change.publish
+
+    def failing_write(self, rows, table, *args, **options):
+        write(self, rows, table, *args, **options)
+        if table == lost:
+            raise RuntimeError("executors lost")
+
+    def failing_publish(self):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Change, "write", failing_write)
+        if lost == "publish":
+            patch.setattr(Change, "publish", failing_publish)
+        with pytest.raises(RuntimeError):
+            refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(15))
+    assert state_of(spark, tables) == before
+    refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(15))
+    expected = silver(pos_frame(spark, sales))
+    assert rows_of(stored_silver(spark, tables)) == rows_of(expected)
+    assert rows_of(spark.table(tables.name(GOLD))) == rows_of(gold(expected))
+    # What the lost run wrote has been dropped: two states are named at most.
+    assert len({row["run"] for row in spark.table(tables.stored(GOLD)).select("run").distinct().collect()}) <= 2
+
+
+def test_untouched_dates_keep_their_files(spark, database):
+    stores, skus = dims(spark)
+    sales = [sale(1, 1, n, 9) for n in range(10)]
+    tables = refresh.run(spark, database, pos_frame(spark, sales[:8]), stores, skus)
+    runs = lambda: {part: run for _, part, run in tables.parts()[SILVER]}
+    before = runs()
+    refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(6))
+    after = runs()
+    assert {d for d in after if before.get(d) != after[d]} == {str(day(n)) for n in (6, 7, 8, 9)}
+
+
+def test_extending_finds_new_changed_and_removed_files(spark, database, tmp_path):
+    """A file for old dates, one that is written anew, and one that is taken away."""
+    stores, skus = dims(spark, range(4), range(5))
+    landing, sales = tmp_path / "landing", random_sales(29, n=240, days=40)
+    parts = [[r for r in sales if day(a) <= r[2] < day(b)] for a, b in ((0, 15), (15, 25), (25, 40))]
+
+    def land(name, rows):
+        write_parquet(pos_frame(spark, rows).coalesce(1), str(tmp_path / name))
+        landing.mkdir(exist_ok=True)
+        shutil.copy(next((tmp_path / name).glob("*.parquet")), landing / f"{name}.parquet")
+
+    def check(tables, rows, first):
+        assert rows_of(stored_silver(spark, tables)) == rows_of(silver(pos_frame(spark, rows)))
+        parts = tables.parts()[SILVER]
+        assert min(part for _, part, run in parts if run == tables.parts()[GOLD][0][2]) == str(first)
+
+    def extend():
+        return refresh.extend(spark, database, read(), stores, skus, landing=str(landing))
+
+    read = lambda: spark.read.schema(POS).parquet(str(landing))
+    land("a", parts[0])
+    land("c", parts[2])
+    tables = refresh.run(spark, database, read(), stores, skus, landing=str(landing))
+    assert extend().newest() == 1  # nothing new
+    land("b", parts[1])
+    check(extend(), sales, day(15))
+    land("c", parts[2][:-20])
+    check(extend(), [*parts[0], *parts[1], *parts[2][:-20]], day(25))
+    (landing / "c.parquet").rename(tmp_path / "taken.parquet")
+    extend()
+    assert rows_of(stored_silver(spark, tables)) == rows_of(silver(pos_frame(spark, parts[0] + parts[1])))
+    assert rows_of(spark.table(tables.name(GOLD)), "signal_date")[-1] == (max(r[2] for r in parts[1]),)
+
+
+def test_without_since_or_landing_there_is_nothing_to_go_by(spark, database):
+    stores, skus = dims(spark)
+    refresh.run(spark, database, pos_frame(spark, [sale(1, 1, 0, 9)]), stores, skus)
+    with pytest.raises(ValueError):
+        refresh.extend(spark, database, pos_frame(spark, []), stores, skus)
+
+
+def test_trend_and_coverage_come_from_the_daily_tables(spark, database):
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(30, n=300, days=45)
+    refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(40)]), stores, skus)
+    tables = refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(40))
+    history = signal_history(silver(pos_frame(spark, sales)))
+    daily, coverage = spark.table(tables.name(refresh.DAILY)), spark.table(tables.name(refresh.COVERAGE))
+    for days in (30, 7, None):
+        trend = trend_of(daily, days)
+        assert rows_of(trend) == rows_of(kpis.status_trend(history, skus, days))
+    assert SILVER not in plan_of(trend)
+    for first in (0, 30, 44, 60):
+        since = F.col("signal_date") >= F.lit(day(first))
+        assert rows_of(coverage_of(coverage.where(since))) == rows_of(kpis.coverage_counts(history.where(since)))
+
+
+def test_dates_of_a_folder_are_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "folder")
+    write_dates(pos_frame(spark, [sale(1, 1, n, n) for n in range(3)]), path)
+    write_dates(pos_frame(spark, [sale(1, 1, 1, 50)]), path)
+    assert rows_of(spark.read.parquet(path), "transaction_date", "qty_sold") == [(day(0), 0), (day(1), 50), (day(2), 2)]
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
