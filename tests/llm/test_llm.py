@@ -353,21 +353,85 @@ def test_disclosing_terms_go_and_common_ones_stay(spark):
     rows += [(10 + i, f"alpha beta plain call gamma delta number {i}", 0) for i in range(200)] + [(999, None, 0)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, text_hash int")
     clean = {r["doc_id"]: r["text"] for r in privacy.sanitised(frame).collect()}
-    assert clean[0] == "alpha beta <TERM> call <EMAIL> and gamma delta 0"
+    assert clean[0] == "alpha beta <TERM> call <EMAIL> <TERM> gamma delta 0"  # short words count as well
     assert clean[10] == rows[5][1] and clean[999] is None
     assert privacy.findings(frame.limit(0)).count() == 0
 
 
 def test_terms_disclose_from_afar_in_rare_texts_and_everywhere(spark):
     far = "plain words follow here " * 20
-    rows = [(1, f"Kowalczyk {far} mail ann@x.org"), (2, f"Kowalczyk {far} once more")]
+    rows = [(1, f"Kowalczyk {far} mail ann@x.org"), (2, f"{far} once more"), (3, f"Kim {far} mail eve@x.org"), (4, f"田中 {far} mail kay@x.org")]
     rows += [(i, f"zorbian {far} call bob@x.org {i}") for i in range(10, 18)] + [(18, f"the zorbian {far}")]
     # mail, call, once and more are common
     rows += [(100 + i, f"{far} mail call once more number {i}") for i in range(2000)]
     clean = {r["doc_id"]: r["text"] for r in privacy.sanitised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert clean[1] == f"<TERM> {far} mail <EMAIL>" and clean[2] == f"<TERM> {far} once more"
+    assert clean[1] == clean[3] == clean[4] == f"<TERM> {far} mail <EMAIL>" and clean[2] == rows[1][1]
     assert clean[10] == f"<TERM> {far} call <EMAIL> 10" and clean[18] == f"the <TERM> {far}"
-    assert clean[100] == rows[11][1]
+    assert clean[100] == rows[13][1]
+
+
+def brute_told(texts, disclosure=privacy.DISCLOSURE):
+    """The terms of each distinct text that disclose an entity, straight from the definition."""
+    entities = {t: {m.lower() for m in re.findall(r"[a-z]+@x\.org", t)} for t in texts}
+    terms = {t: {w for w in re.split(r"[\W\d_]+", t.lower()) if w} for t in texts}
+    n, told = len(texts), set()
+    holds = lambda sets, x: {t for t in texts if x in sets[t]}
+    for e in set().union(*entities.values()):
+        with_e = holds(entities, e)
+        for w in set().union(*(terms[t] for t in with_e)):
+            with_w = holds(terms, w)
+            joint, n_t, n_e = len(with_e & with_w), len(with_w), len(with_e)
+            least = joint - privacy.DEVIATIONS * (joint * (1 - joint / n_t)) ** 0.5
+            if n_e < n and least > 0 and np.log2(n * least / (n_e * n_t)) >= disclosure * np.log2(n / n_e) - 1e-9:
+                told.add(w)
+    return {(t, w) for t in texts for w in terms[t] & told}
+
+
+@pytest.mark.parametrize("quiet", [200_000, 3])
+def test_terms_equal_the_definition(spark, monkeypatch, quiet):
+    """Random texts over a small vocabulary; with few quiet terms most words take the other way."""
+    monkeypatch.setattr(privacy, "QUIET", quiet)
+    pick = np.random.default_rng(7)
+    letters = "abcdefghijklmnop"
+    texts = []
+    for i in range(120):
+        words = [letters[int(x)] * 2 for x in pick.zipf(1.4, 8) if x < 16] + [f"w{letters[i % 16]}{letters[i // 16]}"] * (i % 3 == 0)
+        who = [f"{letters[j]}{letters[j + 1]}@x.org" for j in range(5) if pick.random() < 0.08 * (j + 1)]
+        pair = [f"name{letters[j]}" for j in range(5) if f"{letters[j]}{letters[j + 1]}@x.org" in who and pick.random() < 0.9]
+        texts.append(" ".join([*words, *who, *pair]) + f" {i}")
+    rows = [(i, t) for i, t in enumerate(texts + texts[:30])] + [(900, None), (901, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = privacy._found(df)
+    keys = {r["k"]: r["text"] for r in df.where("text is not null").select(privacy.text_key().alias("k"), "text").collect()}
+    got = {(keys[r["key"]], r["term"]) for r in privacy.disclosing_terms(df, found).collect()}
+    expected = brute_told(sorted(set(texts) | {""}))
+    assert got == expected and len(expected) > 30
+
+
+def test_words_are_not_shipped_by_term(spark):
+    """Without automatic broadcasts only words past the quiet ones reach the last join's shuffle."""
+    rows = [(i, f"alpha beta gamma delta epsilon zeta rare{chr(97 + i % 26)}{chr(97 + i // 26)}{' call bob@x.org zorbian' if i < 9 else ''}") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = privacy._found(df)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        told = privacy.disclosing_terms(df, found)
+        plan = told._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "Python" not in plan
+        got = {(r["term"]) for r in told.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {"zorbian", "call", "bob", "org", "x"} <= got and not {"alpha", "zeta", "rareza"} & got
+
+
+def test_clashing_names_are_carried_along(spark):
+    names = ["key", "row", "spans", "clean", "of", "near", "term", "terms", "_hash", "_spans", "a", "b"]
+    schema = "doc_id long, text string, " + ", ".join(f"{c} string" for c in names)
+    rows = [(1, "mail bob@x.org", *names), (2, None, *names), (2, "mail bob@x.org", *names)]
+    frame = spark.createDataFrame(rows, schema)
+    clean = privacy.sanitised(frame)
+    assert clean.columns == frame.columns
+    assert [tuple(r)[2:] for r in clean.collect()] == [tuple(names)] * 3
 
 
 def test_pipeline_stages(spark):
