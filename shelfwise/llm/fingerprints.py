@@ -136,9 +136,12 @@ def _in_order(documents: DataFrame) -> DataFrame:
 
     ids = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    width = max(1, -(-(high - low + 1) * BUCKET // max(n, 1))) if low is not None else 1
+    width = min(max(1, -(-(high - low + 1) * BUCKET // max(n, 1))), 2**63 - 1) if low is not None else 1
     # Buckets count upwards as ids go down.
-    own = F.coalesce(F.floor((F.lit(high) - F.col("doc_id")) / width), F.lit(2**62)) if low is not None else F.lit(0)
+    # Ids that are further apart than a long reaches are told apart as decimals.
+    kind = "bigint" if low is None or high - low < 2**62 else "decimal(20,0)"
+    below = F.lit(high).cast(kind) - F.col("doc_id").cast(kind)
+    own = F.coalesce(F.floor(below / F.lit(width).cast(kind)), F.lit(2**62)) if low is not None else F.lit(0)
     rows = ids.mapInArrow(pack, "doc_id bigint, packed binary").withColumn("bucket", own.cast("bigint"))
 
     tops = ids.select(own.cast("bigint").alias("bucket"), "doc_id")

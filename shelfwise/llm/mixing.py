@@ -229,18 +229,21 @@ def mixed_documents(documents: DataFrame, **options) -> DataFrame:
     runs = pieces.groupBy("rank", "first", "turn").agg(
         F.sort_array(F.collect_list(F.struct("start", "length"))).alias("runs"))
     chosen = (placed.where("size > 0").join(runs, ["rank", "first"])
-              .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"), "runs"))
+              .select("doc_id", "text_hash", "size", "runs"))
     chosen = chosen.unionByName(placed.where("size = 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("size").alias("_size"),
+        "doc_id", "text_hash", "size",
         F.lit(None).cast(runs.schema["runs"].dataType).alias("runs")))
     # Repeated rows share id and hash: one of them meets all their places on the line.
-    rows = documents.withColumn("_key", F.xxhash64("text")).dropDuplicates(["doc_id", "_key"])
-    used = rows.join(chosen, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")))
-    words = F.split(F.regexp_replace(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), "^ | $", ""), " ")
-    whole = F.col("runs").isNull() | (F.aggregate("runs", F.lit(0).cast("bigint"), lambda a, r: a + r["length"]) == F.col("_size"))
+    # The given columns travel as one, so that none can clash with those of the join.
+    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("bigint").alias("own_id"),
+                            F.xxhash64("text").alias("own_hash")).dropDuplicates(["own_id", "own_hash"])
+    used = rows.join(chosen, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash")))
+    given = F.col("row.text")
+    words = F.split(F.regexp_replace(F.trim(F.regexp_replace(given, r"[\x20\x09-\x0D]+", " ")), "^ | $", ""), " ")
+    whole = F.col("runs").isNull() | (F.aggregate("runs", F.lit(0).cast("bigint"), lambda a, r: a + r["length"]) == F.col("size"))
     cut = F.array_join(F.flatten(F.transform("runs", lambda r: F.slice(words, (r["start"] + 1).cast("int"), r["length"].cast("int")))), " ")
-    text = F.when(whole, F.col("text")).otherwise(cut)
-    out = used.withColumn("text", text)
+    out = used.select("row", F.when(whole, given).otherwise(cut).alias("taken"))
+    new = {"text": F.col("taken")}
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+        new["n_chars"] = F.length("taken").cast(documents.schema["n_chars"].dataType)
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in documents.columns])

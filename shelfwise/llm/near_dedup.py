@@ -196,7 +196,7 @@ def _columns(parts: list[pa.RecordBatch]) -> dict:
     return pa.Table.from_batches(parts).to_pydict()
 
 
-def _pairs(rows: dict, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _pairs(rows: dict, least: float, threshold: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """For each row its similar earlier ones (by id, or on the other side): index, indices, estimates."""
     order = sorted(range(len(rows["set_id"])), key=lambda i: rows["set_id"][i])
     for name in rows:
@@ -206,7 +206,7 @@ def _pairs(rows: dict, least: float) -> Iterator[tuple[int, np.ndarray, np.ndarr
     side = np.array([-1 if s is None else s for s in rows["side"]])
     for i in range(1, len(order)):
         like = _likeness(sketch[: i + 1], slice(i, i + 1))[0][:i]
-        small = np.minimum(sizes[:i], sizes[i]) >= THRESHOLD * np.maximum(sizes[:i], sizes[i])
+        small = np.minimum(sizes[:i], sizes[i]) >= threshold * np.maximum(sizes[:i], sizes[i])
         j = np.flatnonzero((like >= least) & small & ((side[:i] < 0) | (side[:i] != side[i])))
         if len(j):
             yield i, j, like[j]
@@ -223,7 +223,7 @@ def _first_partners(threshold: float):
     def run(batches):
         for rows in _by_leaf(batches):
             partner, members = {}, set()
-            for i, j, like in _pairs(rows, least):
+            for i, j, like in _pairs(rows, least, threshold):
                 good = j[like >= sure]
                 partner[i] = (int(good[0]), True) if len(good) else (int(j[np.argmax(like)]), False)
                 members.add(i)
@@ -418,9 +418,11 @@ def near_duplicates(
 
 
 def deduplicated(documents: DataFrame, words: int = WORDS, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``documents`` with one of each group of near duplicates, columns as given."""
+    """The rows of ``documents`` with one of each group of near duplicates, columns as given, whatever their names."""
     kept = (near_duplicates(documents, words, threshold).where("kept")
-            .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct())
-    rows = documents.withColumn("_key", F.xxhash64("text"))
-    found = rows.join(kept, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_hash")), "left_semi")
-    return found.dropDuplicates(["doc_id", "_key"]).drop("_key")
+            .select(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).distinct())
+    # The given columns travel as one, so that none can clash with those of the join.
+    rows = documents.select(F.struct(*documents.columns).alias("row"), F.col("doc_id").cast("bigint").alias("own_id"),
+                            F.xxhash64("text").alias("own_hash"))
+    found = rows.join(kept, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("own_hash") == F.col("hash")), "left_semi")
+    return found.dropDuplicates(["own_id", "own_hash"]).select("row.*")

@@ -89,4 +89,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_near_dedup, op2_lm_scoring, op3_mixing, op4_fingerprints, op5_packing, op6_language, op7_warc, op8_topk, op9_chat, op10_privacy,
         op11_negatives, op12_secret_scan, op13_manifest)
 }
-ORACLE: dict[str, str] = {}
+
+def _whole(scale: int) -> str:
+    """Vectors as whole numbers, in doubles that hold them exactly; null and non-finite ones are left out."""
+    return f"""
+vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+ORACLE: dict[str, str] = {
+    "op8_topk": f"""
+WITH {_whole(topk.SCALE)},
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % {topk.EVERY} = 0)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scored)
+WHERE place <= {topk.K}""",
+    "op11_negatives": f"""
+WITH {_whole(negatives.SCALE)},
+labelled AS (
+  SELECT vec_id, v, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM vectors WHERE label IS NOT NULL),
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.v, c.v) AS BIGINT) AS score
+  FROM labelled a JOIN labelled c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % {negatives.EVERY} = 0),
+positives AS (
+  SELECT * FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES}),
+inside AS (
+  SELECT anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS place
+  FROM positives p JOIN scored n USING (anchor_id)
+  WHERE NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM inside WHERE place <= {negatives.NEGATIVES}""",
+}

@@ -434,6 +434,28 @@ def test_clashing_names_are_carried_along(spark):
     assert [tuple(r)[2:] for r in clean.collect()] == [tuple(names)] * 3
 
 
+CLASHES = ["key", "row", "own_id", "own_hash", "id", "hash", "_id", "_hash", "_key", "_size", "_spans", "runs", "text_hash", "size", "taken", "rank"]
+
+
+def test_stages_carry_clashing_names_along(spark):
+    schema = "doc_id long, text string, source string, n_chars int, " + ", ".join(f"{c} string" for c in CLASHES)
+    rows = [(i, f"some words of document {i} " * 40, "ab"[i % 2], 1, *CLASHES) for i in (-9 * 10**18, 5, 9 * 10**18)]
+    frame = spark.createDataFrame([*rows, rows[0], (7, None, None, None, *CLASHES)], schema)
+    for out in (near_dedup.deduplicated(frame), mixing.mixed_documents(frame), privacy.sanitised(frame)):
+        assert out.columns == frame.columns
+        found = out.collect()
+        assert found and all(list(r)[4:] == CLASHES for r in found)
+
+
+def test_fingerprints_of_extreme_ids(spark):
+    rows = [(-9 * 10**18, "first text " * 20), (5, "second text " * 20), (9 * 10**18, "third text " * 20), (None, "fourth")]
+    found = {r["doc_id"]: r for r in fingerprints.against_next(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    after = dict(zip((9 * 10**18, 5, -9 * 10**18), (rows[1][1], rows[0][1], rows[3][1])))
+    for i, text in rows[:3]:
+        edited = text[: len(text) - len(text) // 2] + after[i][: len(text) // 2]
+        assert found[i]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
 
