@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
+import functools
 import os
 import sys
 import uuid
-import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,9 +17,9 @@ from oracle_queries import ORACLE  # noqa: E402
 from shelfwise import functions as fn, operators as op  # noqa: E402
 from shelfwise.functions.labels import CATEGORIES, REGIONS  # noqa: E402
 from shelfwise.plans import daily, kpis, layers, orders, questions, refresh, snapshot  # noqa: E402
-from shelfwise.schemas import BRONZE, CELL, GOLD, SILVER  # noqa: E402
+from shelfwise.schemas import BRONZE, CELL, GOLD, SILVER, PAIR_KEYS  # noqa: E402
 from shelfwise.session import run_folder  # noqa: E402
-from shelfwise.sources import create_database, testdata as td  # noqa: E402
+from shelfwise.sources import Versions, create_database, pos_from_rows, read_table, testdata as td  # noqa: E402
 from shelfwise.streaming import (  # noqa: E402
     CellStore, LiveSignals, WindowStore, ingest, pane_windows, run_available,
 )
@@ -37,6 +38,11 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 # Parameters of the named questions.
 REGION, OTHER_REGION, STATE, STORE = "AMERICA", "EUROPE", "NATION_18", 1
 
+# Last dates of the first two of three landings.
+WAVE_ENDS = datetime.date(2024, 1, 14), datetime.date(2024, 1, 23)
+# Store and SKU of orders by hand: whatever their status, and one that has no signal.
+CHOSEN_PAIRS = [(1, 1), (2, 7), (3, 12), (4, 30), (5, 49), (6, 1000000)]
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -86,21 +92,47 @@ def _materialised_gold(spark: SparkSession, folder: str) -> DataFrame:
     return layers.gold(spark.read.parquet(path))
 
 
-def _extended(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
-    """Stored tables of the files that land first, then extended twice by what landed since; by table name."""
+def _extended_tables(spark: SparkSession, folder: str, **options) -> Versions:
+    """Stored tables of the files that land first, then extended twice by what landed since."""
     database = f"run_{uuid.uuid4().hex}"
     create_database(spark, database, run_folder(spark, "database"))
     landing = run_folder(spark, "landing")
     pos, stores, skus = td.pos(spark, folder), td.stores(spark, folder), td.skus(spark, folder)
-    day, ends = F.col("transaction_date"), (datetime.date(2024, 1, 15), datetime.date(2024, 1, 24))
-    waves = [day < F.lit(ends[0]), (day >= F.lit(ends[0])) & (day < F.lit(ends[1])), day >= F.lit(ends[1])]
-    refreshes = [refresh.run, refresh.extend, refresh.extend]
+    day, (first, second) = F.col("transaction_date"), WAVE_ENDS
+    waves = [day <= F.lit(first), (day > F.lit(first)) & (day <= F.lit(second)), day > F.lit(second)]
+    refreshes = [functools.partial(refresh.run, **options), refresh.extend, refresh.extend]
     for wave, step in zip(waves, refreshes):
         pos.where(wave).write.mode("append").parquet(landing)
         tables = step(spark, database, spark.read.parquet(landing), stores, skus, landing=landing, order_by=td.COPY_ORDER)
+    return tables
+
+
+def _extended(spark: SparkSession, folder: str) -> Callable[[str], DataFrame]:
+    tables = _extended_tables(spark, folder)
     return lambda table: spark.table(tables.name(table))
 
 
+def _extended_panel(spark: SparkSession, folder: str) -> DataFrame:
+    return refresh.panel(_extended_tables(spark, folder, with_panel=True))
+
+
+def _extended_load_times(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows by date, and those with a load time that is not in the future."""
+    tables = _extended_tables(spark, folder)
+    rows = read_table(spark, tables.name(SILVER), ["transaction_date", "load_timestamp"])
+    return rows.groupBy("transaction_date").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("load_timestamp") <= F.current_timestamp()).alias("stamped"))
+
+
+def _snapshot_history(spark: SparkSession, folder: str) -> DataFrame:
+    """The snapshots as they were served after each of the three refreshes, from the stored changes."""
+    changes = _extended(spark, folder)(refresh.CHANGES)
+    dates = [*WAVE_ENDS, None]
+    served = [snapshot.snapshot_as_of(changes, date).select(F.lit(n).alias("refresh"), "metric", "dim", "value")
+              for n, date in enumerate(dates)]
+    return functools.reduce(DataFrame.unionByName, served)
+
+
 def _extended_trend(spark: SparkSession, folder: str) -> DataFrame:
     return daily.trend_of(_extended(spark, folder)(refresh.DAILY))
 
@@ -135,6 +167,26 @@ def _platform(spark: SparkSession, folder: str) -> DataFrame:
     return kpis.platform_stats(pos, _silver(spark, folder), _gold(spark, folder))
 
 
+def _chosen_orders(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = pos_from_rows(spark, CHOSEN_PAIRS, PAIR_KEYS)
+    return orders.purchase_order_lines(
+        _gold(spark, folder, latest="per_key"), td.stores(spark, folder), td.skus(spark, folder), pairs)
+
+
+def _silver_by_part(spark: SparkSession, folder: str) -> DataFrame:
+    return layers.silver(td.pos_by_part(spark, folder), td.COPY_ORDER)
+
+
+def _gold_by_part(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return layers.gold(_silver_by_part(spark, folder), td.pos_by_part(spark, folder), **options)
+
+
+def _trend_by_part(spark: SparkSession, folder: str) -> DataFrame:
+    """30 of 90 dates; a signal of an unknown SKU counts, at no value."""
+    history = layers.signal_history(_silver_by_part(spark, folder))
+    return kpis.status_trend(history, td.skus_by_part(spark, folder))
+
+
 def _dow(spark: SparkSession, folder: str) -> DataFrame:
     day = F.col("transaction_date")
     return (
@@ -222,6 +274,12 @@ def queries() -> dict[str, Query]:
             return build(_gold(spark, folder), *sides, **options)
         return run
 
+    def by_part(build: Callable[..., DataFrame], *dims: str, **options) -> Query:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            sides = [getattr(td, name)(spark, folder) for name in dims]
+            return build(_gold_by_part(spark, folder), *sides, **options)
+        return run
+
     out: dict[str, Query] = {
         # sources and dimensions
         "bronze_pos": lambda s, d: layers.bronze(td.pos(s, d)),
@@ -267,7 +325,24 @@ def queries() -> dict[str, Query]:
         "extended_platform_stats": _extended_stats,
         "extended_trend": _extended_trend,
         "extended_coverage": _extended_coverage,
+        "extended_gold_per_key": lambda s, d: _extended(s, d)(refresh.PER_PAIR),
+        "extended_panel": _extended_panel,
+        "extended_load_times": _extended_load_times,
+        "snapshot_history": _snapshot_history,
         "stored_orders": _stored_orders,
+        "orders_chosen_pairs": _chosen_orders,
+        # every part a SKU, 90 dates, faulty rows
+        "dim_skus_by_part": td.skus_by_part,
+        "silver_by_part": _silver_by_part,
+        "dq_report_by_part": lambda s, d: op.rule_report(_silver_by_part(s, d)),
+        "gold_per_key_by_part": lambda s, d: _gold_by_part(s, d, latest="per_key"),
+        "status_trend_by_part": _trend_by_part,
+        "signals_with_sku_by_part": by_part(op.with_skus, "skus_by_part"),
+        "category_risk_by_part": by_part(kpis.category_risk, "skus_by_part"),
+        "regional_breakdown_by_part": by_part(kpis.regional_breakdown, "stores"),
+        "sku_risk_top20_by_part": by_part(kpis.sku_risk, "skus_by_part", k=20),
+        "top_alerts_25_by_part": by_part(kpis.top_alerts, "stores", "skus_by_part", k=25),
+        "purchase_order_lines_by_part": by_part(orders.purchase_order_lines, "stores", "skus_by_part"),
         # panel and labels
         "date_spine": lambda s, d: op.date_spine(td.pos(s, d)),
         "panel_spine": lambda s, d: op.panel_spine(td.pos(s, d)),

@@ -7,10 +7,12 @@ is exactly that of the result.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.operators.latest import latest_date
-from shelfwise.schemas import PAIR
+from shelfwise.schemas import PAIR, POS
 
 
 def _days(start: Column, end: Column) -> Column:
@@ -58,3 +60,56 @@ def dense_daily(deduped: DataFrame, dates: DataFrame | None = None) -> DataFrame
             gap.alias("is_gap"),
         )
     )
+
+
+def panel_since(
+    rows: DataFrame, end: datetime.date, known: DataFrame | None = None, start: datetime.date | None = None
+) -> DataFrame:
+    """The panel's rows up to ``end``, from each pair's first row on.
+
+    ``rows`` are deduplicated. With ``start`` they begin there, and ``known`` holds the pairs that traded
+    before: these have a row on every date from ``start`` on. A known pair enters as a mark on the day before, so the
+    gap that it carries over is generated like any other: one shuffle on the pair, no join.
+    """
+    day = F.col("transaction_date")
+    marked = rows.where(day.isNotNull()).select(*POS.names).withColumn("_mark", F.lit(False))
+    if known is not None and start is not None:
+        eve = F.lit(start - datetime.timedelta(days=1)).alias("transaction_date")
+        marks = known.select(*PAIR, eve, F.lit(True).alias("_mark"))
+        marked = marked.unionByName(marks, allowMissingColumns=True)
+    by_date = Window.partitionBy(*PAIR).orderBy("transaction_date")
+    spans = marked.withColumn("_end", F.coalesce(F.date_sub(F.lead(day).over(by_date), 1), F.lit(end))).withColumn(
+        "_start", F.when(F.col("_mark"), F.date_add(day, 1)).otherwise(day))
+    gap = F.col("_day") != day
+    return (
+        spans.where(F.col("_start") <= F.col("_end"))
+        .withColumn("_day", _days(F.col("_start"), F.col("_end")))
+        .select(
+            *PAIR, F.col("_day").alias("transaction_date"),
+            F.when(gap, 0).otherwise(F.col("qty_sold")).alias("qty_sold"),
+            F.when(~gap, F.col("unit_price")).alias("unit_price"),
+            F.when(~gap, F.col("inventory_on_hand")).alias("inventory_on_hand"),
+            gap.alias("is_gap"),
+        )
+    )
+
+
+def first_sales(rows: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``store_id, sku_id, first_date`` of every pair in ``rows`` and in the earlier result ``known``."""
+    dated = rows.where(F.col("transaction_date").isNotNull())
+    dates = dated.select(*PAIR, F.col("transaction_date").alias("first_date"))
+    if known is not None:
+        dates = dates.unionByName(known)
+    return dates.groupBy(*PAIR).agg(F.min("first_date").alias("first_date"))
+
+
+def whole_panel(panel: DataFrame, firsts: DataFrame) -> DataFrame:
+    """The panel of :func:`dense_daily` from stored rows and first dates: the days before a pair's first row are
+    generated when it is read, so a pair that starts late rewrites no earlier date."""
+    start = firsts.select(F.min("first_date")).scalar()
+    late = firsts.withColumn("_start", start).where(F.col("first_date") > F.col("_start"))
+    before = late.select(
+        *PAIR, _days(F.col("_start"), F.date_sub("first_date", 1)).alias("transaction_date"),
+        F.lit(0).alias("qty_sold"), F.lit(None).cast("double").alias("unit_price"),
+        F.lit(None).cast("int").alias("inventory_on_hand"), F.lit(True).alias("is_gap"))
+    return panel.unionByName(before)

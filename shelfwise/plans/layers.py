@@ -43,7 +43,7 @@ def silver(pos: DataFrame, order_by: Sequence | None = None, *, colocate: bool =
 def tail_rows(rows: DataFrame) -> DataFrame:
     """The last 13 rows of every pair: all that frames of later rows can reach."""
     newest = Window.partitionBy(*PAIR).orderBy(F.desc("transaction_date"))
-    ranked = rows.select(*POS.names).withColumn("_rn", F.row_number().over(newest))
+    ranked = rows.withColumn("_rn", F.row_number().over(newest))
     return ranked.where(F.col("_rn") <= LONG_FRAME - 1).drop("_rn")
 
 

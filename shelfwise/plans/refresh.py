@@ -6,12 +6,14 @@ import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from shelfwise.operators import DEFAULT_RULES, observe_rules
+from shelfwise.operators import (
+    DEFAULT_RULES, first_sales, observe_rules, on_latest_per_pair, panel_since, whole_panel,
+)
 from shelfwise.plans.daily import MONTH, by_month, daily_coverage, daily_figures
 from shelfwise.plans.kpis import platform_stats
-from shelfwise.plans.layers import gold, signal_history, silver, silver_since, tail_rows
+from shelfwise.plans.layers import gold, signal_history, signals, silver, silver_since, tail_rows
 from shelfwise.plans.orders import purchase_order_lines
-from shelfwise.plans.snapshot import kpi_snapshot
+from shelfwise.plans.snapshot import kpi_snapshot, snapshot_as_of, snapshot_changes
 from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
 from shelfwise.sources import Change, Versions, create_database, ledger, register_folder
 
@@ -27,7 +29,11 @@ ORDERS = "purchase_orders"
 TAIL = "silver_tail"
 DAILY, COVERAGE = "daily_figures", "daily_coverage"
 FILES = "landed_files"
+PER_PAIR = "signals_per_pair"
+CHANGES = "kpi_snapshot_changes"
+PANEL, FIRSTS = "daily_panel", "first_sales"
 KEPT_TAILS = 4
+DEMAND = ["avg_daily_demand_7d", "avg_daily_demand_14d"]
 
 
 def _before(since: datetime.date | None):
@@ -59,12 +65,13 @@ def write_tail(
     change: Change, rows: DataFrame, as_of: datetime.date | None, fmt: str = "parquet",
     keep: list[str] | None = None,
 ) -> None:
-    """Store the last 13 rows per pair under their date, beside the tails of the dates in ``keep``.
+    """Store the last 13 silver rows per pair under their date, beside the tails of the dates in ``keep``.
 
     ``as_of`` is the latest date in ``rows``. An extension starts from the newest tail before its first date.
     """
     kept = sorted(keep or [])[-(KEPT_TAILS - 1):]
-    change.write(tail_rows(rows).withColumn("as_of", F.lit(as_of).cast("date")), TAIL, "as_of", keep=lambda part: part in kept, fmt=fmt)
+    last = tail_rows(rows.select(*POS.names, *DEMAND))
+    change.write(last.withColumn("as_of", F.lit(as_of).cast("date")), TAIL, "as_of", keep=lambda part: part in kept, fmt=fmt)
 
 
 def tails(change: Change) -> list[str]:
@@ -80,9 +87,16 @@ def rows_before(change: Change, since: datetime.date) -> DataFrame | None:
     if not earlier:
         return None
     day, newest = F.col("transaction_date"), F.lit(earlier[-1]).cast("date")
-    tail = change.read(TAIL).where(F.col("as_of") == newest).select(*POS.names)
+    tail = change.read(TAIL).where(F.col("as_of") == newest).select(*POS.names, *DEMAND)
     after = change.read(SILVER).where((day > newest) & (day < F.lit(since)))
-    return tail.unionByName(after.select(*POS.names))
+    return tail.unionByName(after.select(*POS.names, *DEMAND))
+
+
+def last_rows(change: Change) -> DataFrame:
+    """The last silver row of every pair, from the newest tail alone."""
+    newest = max(tails(change), default=None)
+    parts = [part for part in change.parts[TAIL] if newest is not None and part[1] == newest]
+    return on_latest_per_pair(change.versions.read(TAIL, parts))
 
 
 def _derive(
@@ -96,13 +110,54 @@ def _derive(
     history = signal_history(later, **rules)
     _write_daily(change, daily_figures(history, skus), DAILY, fmt, since)
     _write_daily(change, daily_coverage(history), COVERAGE, fmt, since)
-    signals = change.read(GOLD)
-    layers = platform_stats(bronze, rows, signals)
-    change.write(kpi_snapshot(signals, stores, skus, layers), SNAPSHOT, fmt=fmt)
-    change.write(purchase_order_lines(signals, stores, skus), ORDERS, "signal_date", fmt=fmt,
+    change.write(signals(last_rows(change), **rules), PER_PAIR, fmt=fmt)
+    current = change.read(GOLD)
+    layers = platform_stats(bronze, rows, current)
+    change.write(kpi_snapshot(current, stores, skus, layers), SNAPSHOT, fmt=fmt)
+    _write_changes(change, as_of, fmt)
+    change.write(purchase_order_lines(current, stores, skus), ORDERS, "signal_date", fmt=fmt,
                  keep=lambda part: as_of is None or part != as_of.isoformat())
 
 
+def _write_changes(change: Change, as_of: datetime.date | None, fmt: str) -> None:
+    """In which lines the snapshot of ``as_of`` differs from that of the date before it; later dates are withdrawn."""
+    if as_of is None:
+        return
+    now = change.read(SNAPSHOT)
+    if CHANGES in change.parts:
+        before = snapshot_as_of(change.read(CHANGES), as_of - datetime.timedelta(days=1))
+    else:
+        before = now.where(F.lit(False))
+    rows = snapshot_changes(now, before).withColumn("signal_date", F.lit(as_of))
+    change.write(rows, CHANGES, "signal_date", keep=_before(as_of), fmt=fmt)
+
+
+def _write_panel(change: Change, as_of: datetime.date | None, fmt: str, since: datetime.date | None = None) -> None:
+    """The gap-filled panel by date, and the first date of every pair.
+
+    With ``since`` only that date and later ones are read and written, and before them the dates that have passed
+    since the last refresh without a sale; the pairs' first dates are all that is needed of the past.
+    """
+    rows, known, start = change.read(SILVER), None, None
+    stored = [part for _, part, _ in change.parts.get(PANEL, []) if part]
+    if since is not None and stored:
+        rows = rows.where(F.col("transaction_date") >= F.lit(since))
+        start = min(since, datetime.date.fromisoformat(max(stored)) + datetime.timedelta(days=1))
+        known = change.read(FIRSTS).where(F.col("first_date") < F.lit(start))
+    if as_of is None:  # no date is left
+        known, start = None, None
+    kept_until = start and min(start, as_of + datetime.timedelta(days=1))
+    change.write(panel_since(rows, as_of or datetime.date.max, known, start), PANEL, "transaction_date", fmt=fmt,
+                 keep=_before(kept_until) if kept_until else None)
+    change.write(first_sales(rows, known), FIRSTS, fmt=fmt)
+
+
+def panel(tables: Versions) -> DataFrame:
+    """The stored panel; its columns and rows are those of :func:`dense_daily`."""
+    parts = tables.parts()
+    return whole_panel(tables.read(PANEL, parts[PANEL]), tables.read(FIRSTS, parts[FIRSTS]))
+
+
 def _write_daily(change: Change, rows: DataFrame, table: str, fmt: str, since: datetime.date | None) -> None:
     """Figures by month; of the month that ``since`` lies in, those before it are written again."""
     rows, month = by_month(rows), None
@@ -123,10 +178,13 @@ def run(
     landing: str | None = None,
     order_by=None,
     fmt: str = "parquet",
+    with_panel: bool = False,
     **rules,
 ) -> Versions:
     """Refresh all tables of ``database``; readers see the old ones until all new ones are there.
 
+    ``with_panel`` also stores the gap-filled panel, which later refreshes keep up and :func:`panel` reads.
+
     With ``landing`` bronze is a catalog entry over that folder, nothing is copied, and the files read
     are entered in a ledger, from which :func:`extend` finds later changes; otherwise ``pos`` itself is stored.
     """
@@ -144,6 +202,8 @@ def run(
     change.write(report, QUALITY, fmt=fmt)
     write_tail(change, change.read(SILVER), as_of, fmt)
     _derive(change, bronze, stores, skus, fmt, as_of, **rules)
+    if with_panel or FIRSTS in change.parts:
+        _write_panel(change, as_of, fmt)
     change.publish()
     return tables
 
@@ -205,8 +265,10 @@ def extend(
     elif as_of is not None and as_of.isoformat() in kept:  # what is left ends where a tail does
         change.parts[TAIL] = [p for p in change.parts[TAIL] if p[1] in kept]
     else:
-        later = newest.where(F.col("transaction_date") >= F.lit(since)).select(*POS.names)
+        later = newest.where(F.col("transaction_date") >= F.lit(since)).select(*POS.names, *DEMAND)
         write_tail(change, known.unionByName(later), as_of, fmt, kept)
     _derive(change, bronze, stores, skus, fmt, as_of, since, **rules)
+    if FIRSTS in change.parts:
+        _write_panel(change, as_of, fmt, since)
     change.publish()
     return tables

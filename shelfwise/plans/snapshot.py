@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.functions import exact_mean, exact_sum, percent
@@ -79,3 +81,28 @@ def kpi_snapshot(
     return parts.select(
         "*", latest_date(gold, "signal_date").alias("signal_date"),
         now.alias("computed_at"), (now + F.expr(f"INTERVAL {valid_for}")).alias("valid_until"))
+
+
+def snapshot_changes(snapshot: DataFrame, before: DataFrame) -> DataFrame:
+    """``metric, dim, value, removed``: the lines in which a snapshot differs from the one ``before`` it.
+
+    A line that is new or has another value comes with it; one that is gone comes as removed, without a value.
+    """
+    now = snapshot.select("metric", "dim", "value", F.lit(True).alias("_now"))
+    then = before.select("metric", "dim", F.col("value").alias("_value"), F.lit(True).alias("_then"))
+    differs = F.col("_now").isNull() | F.col("_then").isNull() | ~F.col("value").eqNullSafe(F.col("_value"))
+    return now.join(then, ["metric", "dim"], "full").where(differs).select(
+        "metric", "dim", "value", F.col("_now").isNull().alias("removed"))
+
+
+def snapshot_as_of(changes: DataFrame, date: datetime.date | None = None) -> DataFrame:
+    """``metric, dim, value, changed_on``: the snapshot as it was served for ``date``, by default the newest.
+
+    ``changes`` are those of all signal dates; of each line the last change up to ``date`` counts.
+    """
+    if date is not None:
+        changes = changes.where(F.col("signal_date") <= F.lit(date))
+    last = changes.groupBy("metric", "dim").agg(
+        F.max(F.struct("signal_date", "value", "removed")).alias("_last"))
+    return last.where(~F.col("_last.removed")).select(
+        "metric", "dim", F.col("_last.value").alias("value"), F.col("_last.signal_date").alias("changed_on"))

@@ -25,6 +25,11 @@ SKUS = T.StructType([
     T.StructField("avg_unit_price", T.DoubleType()),
 ])
 
+PAIR_KEYS = T.StructType([
+    T.StructField("store_id", T.LongType()),
+    T.StructField("sku_id", T.LongType()),
+])
+
 PAIR = ["store_id", "sku_id"]
 CELL = PAIR + ["transaction_date"]
 

@@ -89,6 +89,7 @@ class Change:
     before: dict[str, list[Part]]
     parts: dict[str, list[Part]]
     comments: dict[str, str] = field(default_factory=dict)
+    dates: dict[str, str] = field(default_factory=dict)  # the date columns of the tables written
 
     def write(
         self, rows: DataFrame, table: str, by: str | None = None, *,
@@ -107,6 +108,8 @@ class Change:
          .partitionBy(*([by] if by else []), "run").saveAsTable(self.versions.stored(table)))
         new = [p for p in _partitions(self.versions, table, by) if p[2] == self.run] if by else [(None, None, self.run)]
         dates = {part for _, part, _ in new} if by else set()
+        if by:
+            self.dates[table] = by
         self.parts[table] = [p for p in self.parts.get(table, []) if keep and keep(p[1]) and p[1] not in dates] + new
         if comment:
             self.comments[table] = comment
@@ -132,7 +135,7 @@ class Change:
             if spark.catalog.tableExists(versions.name(table)):
                 continue
             columns = ", ".join(f"r.`{c}`" for c in spark.table(versions.stored(table)).columns if c != "run")
-            by = next((b for b, _, _ in self.parts[table]), None)
+            by = self.dates.get(table)
             same = f" AND p.part <=> CAST(r.`{by}` AS STRING)" if by else ""
             text = self.comments.get(table, "").replace("\\", "\\\\").replace("'", "\\'")
             comment = f" COMMENT '{text}'" if text else ""
@@ -148,7 +151,7 @@ class Change:
             old = self.before.get(table, [])
             if parts == old:
                 continue
-            by = next((b for b, _, _ in (*parts, *old)), None)
+            by = self.dates.get(table) or next((b for b, _, _ in (*parts, *old)), None)
             gone = [p for p in _partitions(versions, table, by) if p not in {*parts, *old}]
             _drop(spark, versions.stored(table), [
                 (f"{b}=" + ("null" if part is None else f"DATE'{part}'") + ", " if b else "") + f"run='{run}'" for b, part, run in gone])

@@ -3,6 +3,9 @@
 Suppliers are the stores, parts fold into product families that act as SKUs,
 and ship dates fold into one 30-day month so that cells repeat and leave gaps.
 Every row of every table takes part.
+
+The second reading, by part, keeps every part as a SKU of its own, spreads the rows over 90 days and
+has faulty rows: unknown stores and SKUs, returns, missing quantities, missing and negative stock.
 """
 
 from __future__ import annotations
@@ -16,6 +19,11 @@ FOLD_EPOCH = "1995-01-01"
 MONTH_DAYS = 30
 EMPTY_PERCENT = 12
 
+# Fixed values of the reading by part: its days, and at which strides of order and line a row is faulty.
+QUARTER_DAYS = 90
+UNKNOWN_STORE, UNKNOWN_SKU = 41, 43
+RETURNED, NO_QTY, NO_STOCK, NEGATIVE_STOCK = 37, 53, 31, 29
+
 # Total order of the copies of one cell; rows that still tie are identical.
 COPY_ORDER = ["order_id", "line_no", "qty_sold", "inventory_on_hand", "unit_price"]
 
@@ -80,3 +88,29 @@ def skus(spark: SparkSession, folder: str) -> DataFrame:
         F.min_by("p_type", "p_partkey").alias("category"),
         (price / F.count("p_retailprice")).alias("avg_unit_price"),
     )
+
+
+def pos_by_part(spark: SparkSession, folder: str) -> DataFrame:
+    """The second reading; which rows are faulty follows from order and line, so copies of a cell may differ in it."""
+    order, line = F.col("l_orderkey"), F.col("l_linenumber")
+    every = lambda stride, step: (order + line * step) % stride == 0
+    shelf = (20 + (order * 31 + line * 17) % 100).cast("int")
+    qty = F.col("l_quantity").cast("int")
+    age = F.datediff(F.col("l_shipdate").cast("date"), F.lit(FOLD_EPOCH).cast("date"))
+    store, sku = F.col("l_suppkey").cast("bigint"), F.col("l_partkey").cast("bigint")
+    return load(spark, folder, "lineitem").select(
+        F.when(order % UNKNOWN_STORE == 0, -1 - store).otherwise(store).alias("store_id"),
+        F.when(order % UNKNOWN_SKU == 0, -1 - sku).otherwise(sku).alias("sku_id"),
+        F.date_add(F.lit(MONTH_START).cast("date"), F.pmod(age, F.lit(QUARTER_DAYS))).alias("transaction_date"),
+        F.when(every(RETURNED, 1), -qty).when(~every(NO_QTY, 3), qty).alias("qty_sold"),
+        (F.col("l_extendedprice") / F.nullif(F.col("l_quantity"), F.lit(0.0))).alias("unit_price"),
+        F.when(every(NEGATIVE_STOCK, 5), -shelf).when(~every(NO_STOCK, 2), shelf).alias("inventory_on_hand"),
+        order.alias("order_id"), line.alias("line_no"),
+    )
+
+
+def skus_by_part(spark: SparkSession, folder: str) -> DataFrame:
+    """Every part is a SKU."""
+    return load(spark, folder, "part").select(
+        F.col("p_partkey").cast("bigint").alias("sku_id"), F.col("p_name").alias("sku_name"),
+        F.col("p_type").alias("category"), F.col("p_retailprice").alias("avg_unit_price"))
