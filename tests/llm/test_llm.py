@@ -3,8 +3,10 @@
 import base64
 import hashlib
 import itertools
+import math
 import re
 import zlib
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -285,6 +287,39 @@ def test_top_k_is_exact_with_ties(spark):
     assert topk.top(vectors.limit(0), vectors.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Components of any finite size beside small ones; scores beyond 64 bits keep their exact order."""
+    rng = np.random.default_rng(7)
+    sizes = np.repeat([1.0, 9000.0, 1e7, 1e15, 1e30, 1e200], 40)
+    values = rng.normal(size=(240, 5)) * sizes[:, None]
+    values[::7, 0] = rng.normal(size=len(values[::7]))  # a small component in a large vector
+    values[100], values[200] = [9000.0, 0.0, 0.0, 0.0, 0.0], values[199]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(values)] + [(900, [1e306, 1.0, 1.0, 1.0, 1.0])]
+    vectors = topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = topk.top(vectors, vectors.where("vec_id % 20 = 0 and vec_id < 900"), 12).toPandas()
+    whole = [[math.floor(Fraction(x) * 1024) for x in v] for v in values]
+    for q in range(0, 240, 20):
+        scores = {i: sum(a * b for a, b in zip(v, whole[q])) for i, v in enumerate(whole) if i != q}
+        best = sorted(scores, key=lambda i: (-scores[i], i))[:12]
+        part = found[found.query_id == q].sort_values("rank")
+        assert list(part.vec_id) == best
+        assert list(part.score) == [min(max(scores[i], -2**63), 2**63 - 1) for i in best]
+
+
+def test_top_k_meets_every_block(spark):
+    """Many blocks, several batches and repeated ids: the result does not depend on how rows are dealt."""
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=(1500, 4)).round(1)
+    rows = [(i % 1200, [float(x) for x in v]) for i, v in enumerate(values)]
+    vectors = topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6))
+    blocks = topk.index(vectors, block=64)
+    found = topk.top(vectors, vectors.where("vec_id % 3 = 0"), 5, topk.stored(blocks, "blocks")).toPandas()
+    whole, ids = np.floor(values * 1024).astype(np.int64), np.arange(1500) % 1200
+    expected = sorted((int(ids[q]), n + 1, *hit) for q in range(1500) if ids[q] % 3 == 0
+                      for n, hit in enumerate(brute_top(ids, whole, whole[q], ids[q], 5)))
+    assert sorted(map(tuple, found[["query_id", "rank", "vec_id", "score"]].astype(int).values.tolist())) == expected
+
+
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE ", "<</ROLE>>", "\\", "<", "[", ">>", "\n", " ", "x"]
 
 
