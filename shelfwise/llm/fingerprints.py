@@ -10,6 +10,8 @@ which follows edit distance more closely than the set alone does.
 from __future__ import annotations
 
 import hashlib
+import itertools
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,9 @@ from shelfwise.llm.common import stored
 
 K, SLOTS, TUPLE = 6, 128, 2
 BUCKET = 64  # consecutive documents that one task handles together, about
-SPAN = 4096  # buckets whose order is found together
+BUCKETS = 16_384  # at most
+DRAWN = 262_144   # ids, about, from which the buckets' bounds are found
+LEAST = -2**63
 
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -118,46 +122,82 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n_chars bigint, fingerprint string")
 
 
+def place(doc_id: int | None) -> tuple[bool, int]:
+    """Sorts ids downwards, null last."""
+    return doc_id is None, 0 if doc_id is None else -doc_id
+
+
+def bucket_bounds(drawn: list[int | None], wanted: int) -> tuple[list[tuple[bool, int, int]], list[int | None]]:
+    """Bounds ``(null, -id, hash)`` of ``wanted`` buckets with equal shares of the drawn ids, and the ids that take several.
+
+    An id that occurs so often is cut by the hash of its texts, which is 0 for all other ids.
+    """
+    keys = sorted(map(place, drawn))
+    cuts = [keys[len(keys) * j // wanted] for j in range(1, wanted)] if keys else []
+    bounds, hot = [], []
+    for key, same in itertools.groupby(cuts):
+        pieces = len(list(same))
+        bounds += [(*key, LEAST + j * 2**64 // pieces) for j in range(pieces)]
+        if pieces > 1:
+            hot.append(None if key[0] else -key[1])
+    return bounds, hot
+
+
 def _in_order(documents: DataFrame) -> DataFrame:
-    """``bucket, guest, doc_id, packed``: documents by descending doc_id in buckets.
+    """``bucket, guest, doc_id, part, packed``: documents by descending doc_id in buckets, null ids last.
 
-    A bucket holds a range of ids, null ids last. It also gets, as a guest, the first document
-    of the next bucket that has any; the last bucket gets the very first document.
-    Only one row per bucket is ever ordered globally, and that in spans of buckets.
+    Bounds come from a sample of at most about ``DRAWN`` ids, so that buckets hold about equally many documents
+    however ids are spread; the result does not depend on them. ``part`` is the texts' hash for ids that take several
+    buckets. A bucket also gets, as a guest, the first document of the next one that has any; the last
+    bucket gets the very first document.
     """
-    def pack(batches):
+    ids = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    n = ids.count()
+    drawn = ids.select("doc_id") if n <= DRAWN else ids.select("doc_id").sample(DRAWN / n, 0)
+    bounds, hot = bucket_bounds(drawn.toArrow().column("doc_id").to_pylist(), max(1, min(BUCKETS, n // BUCKET)))
+    often = F.lit(False)
+    if None in hot:
+        often = F.col("doc_id").isNull()
+    if known := [i for i in hot if i is not None]:
+        often = often | F.coalesce(F.col("doc_id").isin(known), F.lit(False))
+    part = F.when(often, F.xxhash64("text")).otherwise(F.lit(0).cast("bigint")) if hot else F.lit(0).cast("bigint")
+
+    def bucket_of(batch: pa.RecordBatch) -> pa.Array:
+        keys = zip(batch.column("doc_id").to_pylist(), batch.column("part").to_pylist())
+        return pa.array([bisect_right(bounds, (*place(i), h)) for i, h in keys], pa.int64())
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             packer = zstandard.ZstdCompressor(level=1)
             texts = batch.column("text").to_pylist()
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"),
+                batch.column("doc_id"), batch.column("part"),
                 pa.array([packer.compress((t or "").encode("utf-8", "surrogatepass")) for t in texts], pa.binary()),
-            ], names=["doc_id", "packed"])
+                bucket_of(batch),
+            ], names=["doc_id", "part", "packed", "bucket"])
 
-    ids = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    width = min(max(1, -(-(high - low + 1) * BUCKET // max(n, 1))), 2**63 - 1) if low is not None else 1
-    # Buckets count upwards as ids go down.
-    # Ids that are further apart than a long reaches are told apart as decimals.
-    kind = "bigint" if low is None or high - low < 2**62 else "decimal(20,0)"
-    below = F.lit(high).cast(kind) - F.col("doc_id").cast(kind)
-    own = F.coalesce(F.floor(below / F.lit(width).cast(kind)), F.lit(2**62)) if low is not None else F.lit(0)
-    rows = ids.mapInArrow(pack, "doc_id bigint, packed binary").withColumn("bucket", own.cast("bigint"))
-
-    tops = ids.select(own.cast("bigint").alias("bucket"), "doc_id")
-    tops = tops.groupBy("bucket").agg(F.max("doc_id").alias("top"))
-    tops = stored(tops.withColumn("span", F.floor(F.col("bucket") / SPAN)), "buckets")
-    inner = Window.partitionBy("span").orderBy("bucket")
-    spans = tops.groupBy("span").agg(F.max("bucket").alias("last"), F.min("bucket").alias("lowest"))
-    outer = Window.orderBy("span")
-    spans = spans.select("span", F.lag("last").over(outer).alias("before"), F.max("last").over(Window.partitionBy()).alias("end"))
-    hosts = (tops.withColumn("host", F.lag("bucket").over(inner)).join(spans, "span")
-             .select(F.col("bucket").alias("_of"), F.col("top"), F.coalesce("host", "before", "end").alias("host")))
-    # The first document of a bucket; of repeated rows with its id, the one that sorts first.
-    firsts = (rows.join(hosts, (F.col("bucket") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("top")))
-              .groupBy("host", "doc_id").agg(F.min("packed").alias("packed")))
-    guests = firsts.select(F.col("host").alias("bucket"), F.lit(True).alias("guest"), "doc_id", "packed")
-    return rows.select("bucket", F.lit(False).alias("guest"), "doc_id", "packed").unionByName(guests)
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("part"), bucket_of(batch)], names=["doc_id", "part", "bucket"])
+
+    dealt = ids.withColumn("part", part)
+    rows = dealt.mapInArrow(pack, "doc_id bigint, part bigint, packed binary, bucket bigint")
+    tops = dealt.select("doc_id", "part").mapInArrow(deal, "doc_id bigint, part bigint, bucket bigint")
+    # The first of a bucket: the largest id, null after all others, and of it the least hash (its bits turned, the largest).
+    first = F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id", F.bitwise_not("part"))).alias("first")
+    tops = stored(tops.groupBy("bucket").agg(first), "buckets")
+    order = Window.orderBy("bucket")  # over one row a bucket
+    hosts = tops.select(
+        F.col("bucket").alias("_of"), F.col("first.doc_id").alias("_top"), F.bitwise_not(F.col("first.col3")).alias("_part"),
+        F.coalesce(F.lag("bucket").over(order), F.max("bucket").over(Window.partitionBy())).alias("host"))
+    # Of repeated rows with its id, the one that sorts first. At most BUCKETS rows are broadcast.
+    firsts = (rows.join(F.broadcast(hosts), (F.col("bucket") == F.col("_of")) & F.col("doc_id").eqNullSafe(F.col("_top"))
+                        & (F.col("part") == F.col("_part")))
+              .groupBy("host", "doc_id", "part").agg(F.min("packed").alias("packed")))
+    columns = ["doc_id", "part", "packed"]
+    guests = firsts.select(F.col("host").alias("bucket"), F.lit(True).alias("guest"), *columns)
+    return rows.select("bucket", F.lit(False).alias("guest"), *columns).unionByName(guests)
 
 
 def against_next(documents: DataFrame) -> DataFrame:
@@ -165,8 +205,8 @@ def against_next(documents: DataFrame) -> DataFrame:
 
     Columns: ``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next``. The successor is the next document by descending ``doc_id``, the first
-    after the last; repeated ids follow each other in the order of their compressed texts, null ids come
-    last. The edited text has its last ``n_chars // 2`` code points replaced by the
+    after the last; repeated ids follow each other in the order of their compressed texts (ids that fill several
+    buckets: of their texts' hashes first), null ids come last. The edited text has its last ``n_chars // 2`` code points replaced by the
     first as many (or all) of the successor. Null texts are empty; a single document is its
     own successor; an empty table gives an empty one.
     """
@@ -175,7 +215,7 @@ def against_next(documents: DataFrame) -> DataFrame:
         held = None  # bucket, doc_id, text, codes, signature
         out: list[tuple] = []
         for batch in batches:
-            for bucket, guest, doc_id, packed in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for bucket, guest, doc_id, packed in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 4))):
                 text = reader.decompress(packed).decode("utf-8", "surrogatepass") if packed else ""
                 codes = code_points(text)
                 sign = signature(codes)
@@ -189,7 +229,7 @@ def against_next(documents: DataFrame) -> DataFrame:
             yield _batch(out)
 
     ordered = _in_order(documents).repartition("bucket").sortWithinPartitions(
-        "bucket", "guest", F.col("doc_id").desc_nulls_last(), "packed")
+        "bucket", "guest", F.col("doc_id").desc_nulls_last(), "part", "packed")
     return ordered.mapInArrow(
         run, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, "
              "edited_fingerprint string, near_edited double, near_next double")

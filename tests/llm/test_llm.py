@@ -514,3 +514,29 @@ def test_pipeline_stages(spark):
     used = docs.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end"))
     assert used.where("n != end OR n > 2048").count() == 0
     assert isinstance(docs.limit(1).toPandas(), pd.DataFrame)
+
+
+def test_fingerprints_of_unevenly_spread_ids(spark):
+    """One far outlier, an id and null that hold many rows: buckets stay small, successors are those of plain Python."""
+    rows = [(10**18, "far away")] + [(i, f"text number {i} of its own") for i in range(600)]
+    rows += [(77_777, f"copy {i} of one id") for i in range(700)] + [(None, f"row {i} without an id") for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    buckets = fingerprints._in_order(frame).where("not guest").groupBy("bucket").count().collect()
+    assert max(r["count"] for r in buckets) <= 3 * fingerprints.BUCKET
+    hashed = {r["text"]: r["h"] for r in frame.select("text", F.xxhash64("text").alias("h")).collect()}
+    ordered = sorted(rows, key=lambda r: (*fingerprints.place(r[0]), hashed[r[1]] if r[0] in (77_777, None) else 0))
+    found = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["edited_sha256"]) for r in fingerprints.against_next(frame).collect())
+    expected = []
+    for (doc_id, text), (_, following) in zip(ordered, ordered[1:] + ordered[:1]):
+        edited = text[: len(text) - len(text) // 2] + following[: len(text) // 2]
+        expected.append((doc_id is None, doc_id or 0, hashlib.sha256(edited.encode()).hexdigest()))
+    assert found == sorted(expected)
+
+
+def test_bucket_bounds():
+    assert fingerprints.bucket_bounds([], 5) == ([], [])
+    bounds, hot = fingerprints.bucket_bounds([1, 2, 3, 4], 2)
+    assert bounds == [(False, -2, fingerprints.LEAST)] and hot == []
+    bounds, hot = fingerprints.bucket_bounds([None] * 8 + [5] * 8, 4)
+    assert hot == [] or set(hot) <= {None, 5}
+    assert bounds == sorted(bounds)
