@@ -22,13 +22,14 @@ from urllib.parse import urlsplit
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from shelfwise.llm.common import stored
 from shelfwise.session import run_folder
 
 END = "\r\n\r\n"
 RECORDS = 4_000              # in an archive, at most
+SMALL = 2**15                # payload bytes of which an archive holds RECORDS records; of twice as many half as many, and so on
 RANGE_ROWS, RANGES = 500, 100_000  # index entries in a key range, about; most ranges
 SAMPLES = 16                 # keys per range that the cut points come from, about
 EPOCH = 1_704_067_200        # page n was captured n seconds (modulo a year) after 2024-01-01
@@ -77,10 +78,24 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
         F.lit(END), block).alias("value"))
 
 
+def size_class(size: Column) -> Column:
+    """0 up to ``SMALL`` bytes, and one more with each doubling."""
+    times = F.floor((size - 1) / SMALL)
+    return F.when(times <= 0, 0).otherwise(F.length(F.bin(times)))
+
+
 def write_archives(pages: DataFrame, folder: str, least: int = 0) -> None:
-    """A folder of compressed WARC files of at most ``RECORDS`` records each."""
-    (records(pages, least).write.option("lineSep", END).option("compression", "gzip")
-     .option("maxRecordsPerFile", RECORDS).text(folder))
+    """A folder of compressed WARC files, each of at most ``RECORDS * SMALL`` payload bytes or of one record.
+
+    Pages are written by size class, so that a number of records bounds a file's bytes. Equal payloads are of one
+    class, so each class knows its own first ones. There are as many passes as classes that occur.
+    """
+    kind = size_class(F.octet_length(F.coalesce("html", F.lit(""))))
+    classes = sorted(row[0] for row in pages.select(kind).distinct().collect()) or [0]
+    for n, c in enumerate(classes):
+        part = pages.where(kind == c) if len(classes) > 1 else pages
+        (records(part, least).write.mode("append" if n else "error").option("lineSep", END).option("compression", "gzip")
+         .option("maxRecordsPerFile", max(1, RECORDS >> c)).text(folder))
 
 
 def url_key(url: str) -> str:

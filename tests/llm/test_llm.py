@@ -540,3 +540,28 @@ def test_bucket_bounds():
     bounds, hot = fingerprints.bucket_bounds([None] * 8 + [5] * 8, 4)
     assert hot == [] or set(hot) <= {None, 5}
     assert bounds == sorted(bounds)
+
+
+def test_archives_are_bounded_by_bytes(spark, tmp_path, monkeypatch):
+    """Pages of several size classes, one beyond 100 kB, repeated ids and copies in every class."""
+    monkeypatch.setattr(warc, "SMALL", 1_000)
+    monkeypatch.setattr(warc, "RECORDS", 8)
+    sizes = [0, 1, 999, 1_000, 1_001, 2_000, 2_001, 7_999, 8_001, 150_000]
+    rows = [(n, f"http://host{n % 3}.example/{n}", chr(97 + n % 2) * sizes[n % 10]) for n in range(60)]
+    rows += [(5, "http://again.example/", "z" * 1_001), (None, "http://none.example/", "b" * 150_000), (60, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    folder = str(tmp_path / "archives")
+    warc.write_archives(pages, folder)
+    found = warc.runs(spark, folder).collect()
+    held = {}
+    for r in found:
+        held.setdefault(r["archive"], []).append(r["payload_bytes"])
+    assert all(len(x) <= 8 and (sum(x) <= 8_000 or len(x) == 1) for x in held.values())
+    assert any(len(x) > 1 for x in held.values())
+    first = {}
+    for page, _, html in rows:
+        first[html or ""] = min(first.get(html or "", 10**9), 10**9 if page is None else page)
+    assert len(found) == len(rows)
+    expected = sorted((str(page), len(html or ""), "response" if page == first[html or ""] else "revisit") for page, _, html in rows)
+    assert sorted((str(r["page_id"]), r["payload_bytes"], r["record_type"]) for r in found) == expected
+    assert {r["refers_to"] for r in found if r["record_type"] == "revisit"} <= set(first.values())
