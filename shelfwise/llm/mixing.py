@@ -5,16 +5,18 @@ form a line that is cut into blocks of ``BLOCK`` words. The mix is a row of
 output shards of ``SHARD`` slots, one block each:
 
 * every shard draws from a seeded multinomial how many of its slots each source
-  fills. Over all shards the draws miss a source's quota by about the square root of
-  it, so slots that a source drew beyond its quota go, in order, to the
-  sources that drew too few;
+  fills; with many sources first among groups of sources, then inside each group that
+  drew any, which gives the same distribution. Over all shards the draws miss a source's
+  quota by about the square root of it, so slots that a source drew beyond its quota go, in
+  order, to the sources that drew too few;
 * slot k of a source holds the block at index k of a pseudorandom permutation of
   the source's blocks, another permutation for each pass over them. No list of
   blocks is ever shuffled, and a slot knows its block by itself;
 * slots and blocks join on source and block index.
 
 Positions on the line come from sums over hashed buckets of a source, so no
-task sees a whole source, however large.
+task sees a whole source, however large; and sums over all sources come from sums of
+ranges of them, so there may be as many sources as documents.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfwise.llm.common import stored, word_count
@@ -32,9 +35,28 @@ WEIGHTS, SHARE, MOST_REPEATS = (3, 1, 2), 1.5, 2
 BLOCK = 128         # words
 SHARD = 65_536      # slots
 BUCKET = 2_000      # documents of a source in one bucket, about
+RANGE = 200_000     # sources of one range, about
+BITS = 8            # a draw is among 2 ** BITS sources or groups of them
 SEED = 20240501
 
 
+def running(rows: DataFrame, order: list[Column | str], purpose: str, size: int = RANGE, **sums: str) -> DataFrame:
+    """``rows`` with, under each name of ``sums``, the sum of its column over all rows before, by ``order``.
+
+    ``order`` must tell all rows apart. They are dealt to ranges of about ``size`` rows; only the ranges' sums, a
+    row for each, meet in one window. No rows give none.
+    """
+    parts = max(1, -(-rows.count() // size))
+    placed = stored(rows.repartitionByRange(parts, *order).select("*", F.spark_partition_id().alias("_part")), purpose)
+    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda column: F.coalesce(column, F.lit(0))
+    held = placed.groupBy("_part").agg(*[F.sum(c).alias(f"_{name}") for name, c in sums.items()])
+    held = held.select("_part", *[zero(F.sum(f"_{name}").over(ahead)).alias(f"_{name}") for name in sums])
+    inside = placed.select("*", *[zero(F.sum(c).over(within)).alias(name) for name, c in sums.items()])
+    return inside.join(held, "_part").select(*rows.columns, *[(F.col(name) + F.col(f"_{name}")).alias(name) for name in sums])
+
+
 def source_targets(
     sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS
 ) -> DataFrame:
@@ -45,23 +67,16 @@ def source_targets(
     by weight. With the sources in the order of ``cap / weight`` this has a closed form:
     a prefix of them stops, and the rest has one common factor.
     """
-    ordered = Window.orderBy(F.col("source").asc_nulls_last())
-    sources = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranked = sources.withColumn("rank", F.row_number().over(ordered) - 1)
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("rank") % len(weights) + 1)
-    ranked = ranked.select("rank", "source", "source_size", weight.alias("w"),
-                           (F.col("source_size") * float(most)).alias("cap"))
-    by_ratio = Window.orderBy(F.col("cap") / F.col("w"), "rank")
-    before = by_ratio.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_ratio.rowsBetween(0, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    total = F.sum("source_size").over(everything) * float(share)
-    ranked = ranked.withColumn(
-        "level", (total - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("w").over(after))
-    open_level = F.when(F.col("cap") / F.col("w") > F.col("level"), F.col("level"))
-    # It falls beyond the first source that does not stop.
-    ranked = ranked.withColumn("factor", F.max(open_level).over(everything))
-    target = F.least("cap", F.coalesce(F.col("factor") * F.col("w"), F.col("cap")))
+    sources = stored(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), "source-sizes")
+    ranked = running(sources.withColumn("one", F.lit(1)), [F.col("source").asc_nulls_last()], "ranked", rank="one")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
+    ranked = ranked.select("rank", "source", "source_size", weight.alias("w"), (F.col("source_size") * float(most)).alias("cap"))
+    words, all_w = ranked.agg(F.sum("source_size"), F.sum("w")).first()
+    levels = running(ranked, [F.col("cap") / F.col("w"), F.col("rank")], "levels", cap_before="cap", w_before="w")
+    level = (F.lit((words or 0) * float(share)) - F.col("cap_before")) / (F.lit(all_w or 0.0) - F.col("w_before"))
+    # The common factor: it falls beyond the first source that does not stop.
+    factor = levels.agg(F.max(F.when(F.col("cap") / F.col("w") > level, level))).first()[0]
+    target = F.least(F.col("cap"), F.lit(factor) * F.col("w")) if factor is not None else F.col("cap")
     return ranked.select("rank", "source", "source_size", target.alias("target"))
 
 
@@ -93,23 +108,45 @@ def _quotas(sources: DataFrame, block: int) -> DataFrame:
         (whole + F.when(rest % block > 0, 1).otherwise(0)).cast("bigint").alias("slots"))
 
 
-def _draws(sources: DataFrame, shard: int, seed: int) -> DataFrame:
-    """``rank, shard, n``: the multinomial counts of every shard."""
-    totals = sources.agg(F.sum("slots").alias("all"),
-                         F.sort_array(F.collect_list(F.struct("rank", "slots"))).alias("quotas"))
-    shards = totals.where("all > 0").select(
-        "all", "quotas", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("all") - 1) / shard))).alias("shard"))
+def _drawn_inside(level: int, seed: int):
+    """Deals each row's ``n`` slots among its node's children, by a multinomial with their slots as weights."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shards, nodes, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("shard", "node", "n"))
+            ends = np.cumsum(batch.column("slots").value_lengths().to_numpy(zero_copy_only=False))
+            children, slots = (batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("children", "slots"))
+            out: list[tuple] = []
+            for i, end in enumerate(ends):
+                start = ends[i - 1] if i else 0
+                weights = slots[start:end].astype(np.float64)
+                draw = np.random.default_rng([seed, int(shards[i]), level, int(nodes[i])])
+                counts = draw.multinomial(int(n[i]), weights / weights.sum())
+                some = np.flatnonzero(counts)
+                out.append((np.full(len(some), shards[i]), children[start:end][some], counts[some]))
+            columns = [np.concatenate(c).astype(np.int64) for c in zip(*out)] or [np.empty(0, np.int64)] * 3
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=["shard", "node", "n"])
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for row in frame.itertuples():
-                slots = np.array([q["slots"] for q in row.quotas], np.float64)
-                ranks = [q["rank"] for q in row.quotas]
-                n = int(min(shard, row.all - row.shard * shard))
-                counts = np.random.default_rng([seed, int(row.shard)]).multinomial(n, slots / slots.sum())
-                yield pd.DataFrame({"rank": ranks, "shard": row.shard, "n": counts})
+    return run
 
-    return shards.mapInPandas(run, "rank int, shard bigint, n bigint").where("n > 0")
+
+def _draws(sources: DataFrame, shard: int, seed: int, bits: int = BITS) -> DataFrame:
+    """``rank, shard, n``: the multinomial counts of every shard, drawn down a tree over the ranks.
+
+    A node of the tree has at most ``2 ** bits`` children, whatever the number of sources.
+    """
+    total, last = sources.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.max("rank"), F.lit(0))).first()
+    first = F.col("id") * shard
+    drawn = sources.sparkSession.range(-(-total // shard)).select(
+        F.col("id").alias("shard"), F.lit(0).cast("bigint").alias("node"), F.least(F.lit(shard), F.lit(total) - first).cast("bigint").alias("n"))
+    for level in reversed(range(max(1, -(-last.bit_length() // bits)))):
+        child = F.shiftright("rank", bits * level)
+        below = sources.groupBy(child.alias("child")).agg(F.sum("slots").alias("slots"))
+        family = F.sort_array(F.collect_list(F.struct("child", "slots")))
+        below = (below.groupBy(F.shiftright("child", bits).alias("node")).agg(family.alias("f"))
+                 .select("node", F.col("f.child").alias("children"), F.col("f.slots").alias("slots")))
+        drawn = (drawn.join(below, "node").select("shard", "node", "n", "children", "slots")
+                 .mapInArrow(_drawn_inside(level, seed), "shard bigint, node bigint, n bigint"))
+    return drawn.select(F.col("node").alias("rank"), "shard", "n")
 
 
 def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray, seed: int = SEED) -> np.ndarray:
@@ -145,23 +182,19 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray, seed: int = S
 def _slots(sources: DataFrame, block: int, shard: int, seed: int) -> DataFrame:
     """``shard, rank, k, block, words``: every slot of the mix and the block that it takes."""
     draws = stored(_draws(sources, shard, seed), "draws")
-    running = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    starts = draws.withColumn("k0", F.coalesce(F.sum("n").over(running), F.lit(0).cast("bigint")))
+    earlier = Window.partitionBy("rank").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = draws.withColumn("k0", F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("bigint")))
     k = F.explode(F.sequence(F.col("k0"), F.col("k0") + F.col("n") - 1))
-    slots = (starts.select("shard", "rank", k.alias("k"))
-             .join(F.broadcast(sources.select("rank", "slots")), "rank"))  # a row per source
+    slots = starts.select("shard", "rank", k.alias("k")).join(sources.select("rank", "slots"), "rank")
 
     drawn = draws.groupBy("rank").agg(F.sum("n").alias("drawn"))
     both = sources.join(drawn, "rank", "left").select("rank", "slots", F.coalesce("drawn", F.lit(0)).alias("drawn"))
-    order = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
     over, under = F.greatest(F.col("drawn") - F.col("slots"), F.lit(0)), F.greatest(F.col("slots") - F.col("drawn"), F.lit(0))
-    both = both.select(
-        "rank", "slots", "drawn", F.coalesce(F.sum(over).over(order), F.lit(0)).alias("over0"),
-        F.coalesce(F.sum(under).over(order), F.lit(0)).alias("under0"))
+    both = running(both.withColumn("over", over).withColumn("under", under), ["rank"], "surplus", over0="over", under0="under")
     lacking = (both.where("slots > drawn")
                .select("rank", F.explode(F.sequence("drawn", F.col("slots") - 1)).alias("k"), "drawn", "under0")
                .select((F.col("under0") + F.col("k") - F.col("drawn")).alias("turn"), F.col("rank").alias("to"), F.col("k").alias("to_k")))
-    beyond = (slots.where("k >= slots").join(F.broadcast(both.select("rank", "over0")), "rank")
+    beyond = (slots.where("k >= slots").join(both.select("rank", "over0"), "rank")
               .select("shard", (F.col("over0") + F.col("k") - F.col("slots")).alias("turn")))
     moved = beyond.join(lacking, "turn").select("shard", F.col("to").alias("rank"), F.col("to_k").alias("k"))
     settled = slots.where("k < slots").select("shard", "rank", "k").unionByName(moved)
@@ -170,7 +203,7 @@ def _slots(sources: DataFrame, block: int, shard: int, seed: int) -> DataFrame:
     def block_of(index: pd.Series, size: pd.Series, key: pd.Series) -> pd.Series:
         return pd.Series(permuted(index.to_numpy(), size.to_numpy(), key.to_numpy(), seed))
 
-    full = settled.join(F.broadcast(sources), "rank")
+    full = settled.join(sources, "rank")
     turn = F.floor(F.col("k") / F.col("blocks"))
     last = (F.col("k") == F.col("slots") - 1) & (F.col("last_words") > 0)
     return full.select(
@@ -214,7 +247,7 @@ def taken(placed: DataFrame, sources: DataFrame, pieces: DataFrame) -> DataFrame
     used = pieces.groupBy("rank", "first").agg(F.sum("length").alias("taken"))
     some = placed.where("size > 0").join(used, ["rank", "first"], "left")
     none = placed.where("size = 0").withColumn("taken", F.lit(None).cast("bigint"))
-    return (some.unionByName(none.select(*some.columns)).join(F.broadcast(sources), "rank")
+    return (some.unionByName(none.select(*some.columns)).join(sources, "rank")
             .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")))
 
 
