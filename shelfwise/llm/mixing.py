@@ -136,8 +136,9 @@ def _draws(sources: DataFrame, shard: int, seed: int, bits: int = BITS) -> DataF
     """
     total, last = sources.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.coalesce(F.max("rank"), F.lit(0))).first()
     first = F.col("id") * shard
+    # The root is node 0. As a constant it would turn the join by key into a product.
     drawn = sources.sparkSession.range(-(-total // shard)).select(
-        F.col("id").alias("shard"), F.lit(0).cast("bigint").alias("node"), F.least(F.lit(shard), F.lit(total) - first).cast("bigint").alias("n"))
+        F.col("id").alias("shard"), F.shiftright("id", 63).alias("node"), F.least(F.lit(shard), F.lit(total) - first).cast("bigint").alias("n"))
     for level in reversed(range(max(1, -(-last.bit_length() // bits)))):
         child = F.shiftright("rank", bits * level)
         below = sources.groupBy(child.alias("child")).agg(F.sum("slots").alias("slots"))
