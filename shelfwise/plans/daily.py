@@ -12,11 +12,17 @@ MONEY, MONTH = "decimal(28,6)", "month"
 
 
 def daily_figures(history: DataFrame, skus: DataFrame) -> DataFrame:
-    """``signal_date`` with additive counts and the value at risk, as an exact decimal, of its signals."""
-    return with_skus(history, skus, "left").groupBy("signal_date").agg(
-        F.count(F.lit(1)).alias("combos"),
-        F.count_if(is_reorder()).alias("reorder"),
-        F.coalesce(F.sum(F.when(is_reorder(), revenue()).cast(MONEY)), F.lit(0).cast("decimal(38,6)")).alias("value"),
+    """``signal_date`` with additive counts and the value at risk, as an exact decimal, of its signals.
+
+    Signals of one date, SKU and stored demand have the same value, so they are counted before they meet the SKUs.
+    """
+    at_risk = F.when(is_reorder(), F.col("avg_daily_demand_7d")).alias("avg_daily_demand_7d")
+    alike = history.groupBy("signal_date", "sku_id", at_risk).agg(
+        F.count(F.lit(1)).alias("combos"), F.count_if(is_reorder()).alias("reorder"))
+    return with_skus(alike, skus, "left").groupBy("signal_date").agg(
+        F.sum("combos").alias("combos"),
+        F.sum("reorder").alias("reorder"),
+        F.coalesce(F.sum(revenue().cast(MONEY) * F.col("reorder")), F.lit(0)).cast("decimal(38,6)").alias("value"),
     )
 
 

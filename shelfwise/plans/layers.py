@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.functions import days_of_supply, status
 from shelfwise.operators import dedup, on_latest_date, on_latest_per_pair, rolling_mean
-from shelfwise.schemas import LONG_FRAME, PAIR, POS, REORDER_DAYS, SHORT_FRAME, WATCH_DAYS
+from shelfwise.schemas import CELL, LONG_FRAME, PAIR, POS, REORDER_DAYS, SHORT_FRAME, WATCH_DAYS
 
 
 def bronze(pos: DataFrame) -> DataFrame:
@@ -79,16 +79,17 @@ def silver_since(
 
     Equal to those dates of ``silver(pos)`` as long as no row before ``since``
     has changed, and reads of ``pos`` only the dates from there. ``before`` holds the rows before
-    ``since`` where they are known, at least each pair's last 13; ``stored`` is not read then.
+    ``since`` where they are known, at least each pair's last 13; ``stored`` is not read then. They meet the new rows in
+    the shuffle of the frames, without a join before it; of pairs that have no new row, all rows lie before ``since``.
+    Rows of a pair without a store or a SKU are not carried over, and of the others only what frames take.
     """
     day = F.col("transaction_date")
     fresh = dedup(pos.where(day >= F.lit(since)), order_by=order_by).select(*POS.names)
-    pairs = fresh.select(*PAIR).distinct()
     if before is None:
-        carried = carried_rows(stored, pairs, since, lookback_days)
+        carried = carried_rows(stored, fresh.select(*PAIR).distinct(), since, lookback_days)
     else:
-        carried = before.select(*POS.names).join(pairs, PAIR, "left_semi")
-    rows = fresh.unionByName(carried)
+        carried = before.select(*POS.names).na.drop(subset=PAIR)
+    rows = fresh.unionByName(carried.select(*CELL, "qty_sold"), allowMissingColumns=True)
     return with_demand(rows).where(day >= F.lit(since))
 
 

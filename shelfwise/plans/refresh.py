@@ -68,10 +68,14 @@ def write_tail(
     """Store the last 13 silver rows per pair under their date, beside the tails of the dates in ``keep``.
 
     ``as_of`` is the latest date in ``rows``. An extension starts from the newest tail before its first date.
+    Prices are neither shuffled nor stored, as no frame and no signal follows from those of earlier rows.
     """
     kept = sorted(keep or [])[-(KEPT_TAILS - 1):]
-    last = tail_rows(rows.select(*POS.names, *DEMAND))
-    change.write(last.withColumn("as_of", F.lit(as_of).cast("date")), TAIL, "as_of", keep=lambda part: part in kept, fmt=fmt)
+    last = tail_rows(rows.select(*[c for c in POS.names if c != "unit_price"], *DEMAND)).select(
+        *[F.lit(None).cast("double").alias(c) if c == "unit_price" else c for c in POS.names], *DEMAND)
+    # All rows have one date, and the ranking has already dealt them out by pair.
+    change.write(last.withColumn("as_of", F.lit(as_of).cast("date")), TAIL, "as_of", keep=lambda part: part in kept, fmt=fmt,
+                 gather=False)
 
 
 def tails(change: Change) -> list[str]:
@@ -148,7 +152,7 @@ def _write_panel(change: Change, as_of: datetime.date | None, fmt: str, since: d
         known, start = None, None
     kept_until = start and min(start, as_of + datetime.timedelta(days=1))
     change.write(panel_since(rows, as_of or datetime.date.max, known, start), PANEL, "transaction_date", fmt=fmt,
-                 keep=_before(kept_until) if kept_until else None)
+                 keep=_before(kept_until) if kept_until else None, gather=False)
     change.write(first_sales(rows, known), FIRSTS, fmt=fmt)
 
 

@@ -94,15 +94,17 @@ class Change:
     def write(
         self, rows: DataFrame, table: str, by: str | None = None, *,
         keep: Callable[[str | None], bool] | None = None, fmt: str = "parquet", comment: str | None = None,
-        watch: Callable[[DataFrame], DataFrame] | None = None,
+        watch: Callable[[DataFrame], DataFrame] | None = None, gather: bool = True,
     ) -> None:
         """``rows`` take the place of a table's rows, but for published partitions that ``keep`` holds for.
 
         With ``by`` they are stored by that date; the rebalance gathers a date in as few files as its size allows and
         lets AQE split one that is too large for a task. A date among ``rows`` is always theirs alone.
+        Without ``gather`` they are not shuffled for that: every task writes the dates it has, for rows that all have one
+        date, or too many of them to ship once more.
         ``watch`` is applied in the writing stage.
         """
-        shaped = rows.hint("rebalance", by) if by else rows
+        shaped = rows.hint("rebalance", by) if by and gather else rows
         shaped = watch(shaped) if watch else shaped
         (shaped.withColumn("run", F.lit(self.run)).write.format(fmt).mode("append")
          .partitionBy(*([by] if by else []), "run").saveAsTable(self.versions.stored(table)))

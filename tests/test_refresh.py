@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import brute_signals, day, dims, plan_of, pos_frame, random_sales, rows_of, sale
 from shelfwise.plans import gold, kpis, refresh, signal_history, silver
-from shelfwise.plans.daily import coverage_of, trend_of
+from shelfwise.plans.daily import coverage_of, daily_figures, trend_of
 from shelfwise.plans.layers import silver_since
 from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
 from shelfwise.sources import Change, read_pos, read_table, write_dates, write_parquet
@@ -276,3 +276,43 @@ def test_dates_of_a_folder_are_replaced_one_by_one(spark, tmp_path):
     write_dates(pos_frame(spark, [sale(1, 1, 1, 50)]), path)
     assert rows_of(spark.read.parquet(path), "transaction_date", "qty_sold") == [(day(0), 0), (day(1), 50), (day(2), 2)]
     assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "static"
+
+
+def test_an_extension_meets_the_tail_in_the_shuffle_of_its_frames(spark, database):
+    """No join and no second pass over the new rows before it, and nothing is carried that frames do not take."""
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(31, n=300, days=50)
+    tables = refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(40)]), stores, skus)
+    known = refresh.rows_before(tables.begin(), day(40))
+    part = silver_since(pos_frame(spark, sales), known, day(40), before=known)
+    plan = plan_of(part)
+    assert "Join" not in plan and plan.count("Exchange") == 2
+    assert rows_of(part) == rows_of(silver(pos_frame(spark, sales)).where(F.col("transaction_date") >= F.lit(day(40))))
+
+
+def test_the_tail_and_the_panel_are_not_shuffled_to_gather_dates(spark, database, monkeypatch):
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(32, n=300, days=50)
+    frame = type(spark.range(0))
+    hints, hint = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, *a: hints.append((a[-1], len(self.columns))) or hint(self, *a))
+    refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(40)]), stores, skus, with_panel=True)
+    tables = refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(40))
+    assert "as_of" not in {column for column, _ in hints}
+    assert ("transaction_date", 7) not in hints  # the panel's seven columns
+    tail = spark.table(tables.stored(refresh.TAIL))
+    assert tail.where("unit_price IS NOT NULL").isEmpty() and not tail.isEmpty()
+
+
+def test_daily_figures_are_counted_before_they_meet_the_skus(spark):
+    history = signal_history(silver(pos_frame(spark, random_sales(33, n=300))))
+    skus = spark.createDataFrame([(k, f"sku {k}", "dairy", price) for k, price in enumerate([2.123456, None, 0.1, 1e6])],
+                                 "sku_id long, sku_name string, category string, avg_unit_price double")
+    daily = daily_figures(history, skus.unionByName(skus.where("sku_id = 2")))
+    plan = plan_of(daily)
+    assert "Aggregate" in plan[plan.index("Join"):]
+    value = F.when(kpis.is_reorder(), kpis.revenue()).cast("decimal(28,6)")
+    rows = history.join(skus.unionByName(skus.where("sku_id = 2")), "sku_id", "left").groupBy("signal_date").agg(
+        F.count(F.lit(1)), F.count_if(kpis.is_reorder()), F.coalesce(F.sum(value), F.lit(0).cast("decimal(38,6)")))
+    assert rows_of(daily) == rows_of(rows)
+    assert dict(daily.dtypes)["value"] == "decimal(38,6)"
