@@ -24,6 +24,9 @@ QUARTER_DAYS = 90
 UNKNOWN_STORE, UNKNOWN_SKU = 41, 43
 RETURNED, NO_QTY, NO_STOCK, NEGATIVE_STOCK = 37, 53, 31, 29
 
+# What the readings take of a line item.
+LINE = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"]
+
 # Total order of the copies of one cell; rows that still tie are identical.
 COPY_ORDER = ["order_id", "line_no", "qty_sold", "inventory_on_hand", "unit_price"]
 

@@ -5,22 +5,25 @@ frames, also when late rows arrive. So the state is at most 14 rows per pair, wh
 history, and it merges: the recent rows of a union are the recent rows of the parts' recent rows.
 
 The state is Spark's own keyed state: pairs are dealt to ``buckets`` by hash, and one state value holds the rows of a
-bucket's pairs. A micro-batch reads and writes the buckets of the pairs that it touches and no others, so its
-cost follows its own rows, not the number of pairs. Versions, replays and recovery are those of the
-query's checkpoint. Before the shuffle every task merges its own rows in the same way, so a pair with a third of
+bucket's pairs, packed as a compressed Arrow message. A micro-batch reads and writes the buckets of the pairs that it
+touches and no others, so its cost follows its own rows, not the number of pairs. Versions, replays and recovery are those
+of the query's checkpoint. Before the shuffle every task merges its own rows in the same way, so a pair with a third of
 a batch sends 14 rows for each task.
 
-Rows are compared in Python as Spark sorts them: nulls first, NaN last, text by its bytes.
+Rows stay in columns from the file to the signals: a merge sorts arrays and no row is a Python object. They are sorted
+as Spark sorts them: nulls first, NaN last, text by its bytes.
 """
 
 from __future__ import annotations
 
-import datetime
-import math
 from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -30,51 +33,94 @@ from shelfwise.streaming.slots import last_batch, read_slots, write_slot
 
 BUCKETS = 4096
 KEPT = 20  # batches whose changed signals stay stored
-HELD = 50_000  # cells that a task merges before it hands them on
-
-
-def _rank(value) -> tuple:
-    """A value's place in Spark's ascending order."""
-    if value is None:
-        return (0,)
-    if isinstance(value, float):
-        return (2,) if math.isnan(value) else (1, value)
-    return (1, value.encode() if isinstance(value, str) else value)
+HELD = 1_000_000  # rows that a task merges before it hands them on
+PACKED = "rows binary"
+
+
+def _ranks(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """Arrays whose order, the first one first, is Spark's ascending order of a column's values."""
+    values = column.combine_chunks()
+    kind, valid = values.type, np.asarray(values.is_valid()) if values.null_count else None
+    if pa.types.is_floating(kind):
+        numbers = values.fill_null(0.0).to_numpy(zero_copy_only=False)
+        nan = np.isnan(numbers)
+        place = np.ones(len(numbers), np.int8) if valid is None else valid.astype(np.int8)
+        return [place + nan, np.where(nan, 0.0, numbers)]
+    if pa.types.is_date32(kind):
+        values = values.cast(pa.int32())
+    if pa.types.is_integer(values.type):
+        numbers = values.fill_null(0).to_numpy(zero_copy_only=False)
+        return [numbers] if valid is None else [valid, numbers]
+    return [np.asarray(pc.rank(values, null_placement="at_start", tiebreaker="dense"))]
+
+
+def _starts(ranks: Sequence[np.ndarray], order: np.ndarray) -> np.ndarray:
+    """Which of the sorted rows differ from the one before them."""
+    out = np.zeros(len(order), bool)
+    out[:1] = True
+    for rank in ranks:
+        sorted_rank = rank[order]
+        out[1:] |= sorted_rank[1:] != sorted_rank[:-1]
+    return out
+
+
+def _recent(rows: pa.Table, order: Sequence[str], late: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows are the last ``LONG_FRAME`` deduplicated ones of their pairs, and which of these belong to a pair that
+    has a row from position ``late`` on."""
+    pair, date, rest = ([r for c in columns for r in _ranks(rows[c])] for columns in (PAIR, ["transaction_date"], order))
+    by = np.lexsort([*reversed(rest), *reversed(date), *reversed(pair)])
+    first_of_pair = _starts(pair, by)
+    kept = np.flatnonzero(first_of_pair | _starts(date, by))  # the smallest row of every cell
+    pair_of = np.cumsum(first_of_pair) - 1
+    touched = np.zeros(pair_of[-1] + 1 if len(by) else 0, bool)
+    touched[pair_of[by >= late]] = True
+    cell_pair = pair_of[kept]
+    after = np.searchsorted(cell_pair, cell_pair, "right") - np.arange(len(kept))  # cells of the pair from this one on
+    kept, cell_pair = kept[after <= LONG_FRAME], cell_pair[after <= LONG_FRAME]
+    return by[kept], touched[cell_pair]
 
 
 class RecentRows:
-    """The last ``LONG_FRAME`` deduplicated rows of every pair of a set of rows, which are tuples of ``columns``."""
+    """The last ``LONG_FRAME`` deduplicated rows of every pair of a set of rows."""
 
     def __init__(self, columns: Sequence[str], order: Sequence[str]):
-        at = {c: i for i, c in enumerate(columns)}
-        self._pair, self._date = [at[c] for c in PAIR], at["transaction_date"]
-        self._order = [at[c] for c in order]
-        self.pairs: dict[tuple, dict[datetime.date | None, tuple]] = {}
-        self.cells = 0
-
-    def add(self, rows: Iterable[tuple]) -> set[tuple]:
-        """Merges rows in; the pairs that they belong to."""
-        touched = set()
-        for row in rows:
-            pair = tuple(row[i] for i in self._pair)
-            touched.add(pair)
-            dates = self.pairs.setdefault(pair, {})
-            other = dates.get(row[self._date])
-            if other is None:
-                dates[row[self._date]] = row
-                self.cells += 1
-                if len(dates) > LONG_FRAME:
-                    del dates[min(dates, key=_rank)]
-                    self.cells -= 1
-            elif self._key(row) < self._key(other):
-                dates[row[self._date]] = row
-        return touched
-
-    def _key(self, row: tuple) -> list[tuple]:
-        return [_rank(row[i]) for i in self._order]
-
-    def rows(self, pairs: Iterable[tuple] | None = None) -> list[tuple]:
-        return [row for pair in (self.pairs if pairs is None else pairs) for row in self.pairs[pair].values()]
+        self._columns, self._order = list(columns), list(order)
+        self.table: pa.Table | None = None
+
+    def add(self, rows: pa.Table | Iterable[tuple]) -> pa.Table:
+        """Merges rows in, a table or tuples of ``columns``; the recent rows, after it, of the pairs that they belong to."""
+        if not isinstance(rows, pa.Table):
+            rows = pa.table([pa.array(values) for values in zip(*rows)], self._columns)
+        before = self.table.num_rows if self.table is not None else 0
+        if before:
+            rows = pa.concat_tables([self.table, rows], promote_options="permissive")
+        kept, touched = _recent(rows, [c for c in self._order if c in rows.column_names], before)
+        self.table = rows.take(kept).combine_chunks()
+        return self.table if touched.all() else self.table.filter(pa.array(touched))
+
+    def rows(self) -> list[tuple]:
+        return [] if self.table is None else list(zip(*(c.to_pylist() for c in self.table.columns)))
+
+
+def _pack(rows: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_table(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def _unpack(packed: Iterable[bytes]) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(message).read_all() for message in packed])
+
+
+def _unpacked(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """The rows of packed ones."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for message in batch.column(0):
+                yield from pa.ipc.open_stream(message.as_buffer()).read_all().select(schema.names).to_batches()
+
+    return rows.mapInArrow(unpack, schema)
 
 
 class LiveSignals:
@@ -92,39 +138,44 @@ class LiveSignals:
         order = list(self.order_by or [c for c in stream.columns if c not in CELL])
         columns = [*POS.names, *[c for c in order if c not in POS.names]]
         schema = T.StructType([stream.schema[c] for c in columns])
-        keyed = T.StructType([T.StructField("bucket", T.LongType()), T.StructField("row", schema)])
-        state = T.StructType([T.StructField("rows", T.ArrayType(schema))])
-        of = lambda row: tuple(row[c] for c in columns) if isinstance(row, dict) else tuple(row)
-
-        def merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            held, bucket_of = RecentRows(columns, order), {}
-
-            def out() -> pd.DataFrame:
-                rows = [(bucket_of[pair], dict(zip(columns, row))) for pair in held.pairs for row in held.rows([pair])]
-                return pd.DataFrame(rows, columns=["bucket", "row"])
-
-            for frame in frames:
-                for bucket, row in zip(frame["bucket"].tolist(), frame["row"].tolist()):
-                    for pair in held.add([of(row)]):
-                        bucket_of[pair] = bucket
-                if held.cells >= HELD:
-                    yield out()
-                    held, bucket_of = RecentRows(columns, order), {}
-            if held.cells:
+
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, waiting, count = RecentRows(["bucket", *columns], order), [], 0
+
+            def out() -> pa.RecordBatch:
+                rows = held.table.sort_by("bucket")
+                buckets = rows["bucket"].to_numpy()
+                starts = np.flatnonzero(np.diff(buckets, prepend=buckets[0] - 1))
+                rows, ends = rows.drop_columns("bucket"), [*starts[1:], len(buckets)]
+                packed = [_pack(rows.slice(a, b - a)) for a, b in zip(starts, ends)]
+                return pa.RecordBatch.from_arrays([pa.array(buckets[starts]), pa.array(packed, pa.binary())], ["bucket", "rows"])
+
+            for batch in batches:
+                waiting.append(batch)
+                count += batch.num_rows
+                if count >= HELD:
+                    held.add(pa.Table.from_batches(waiting))
+                    waiting, count = [], 0
+                    if held.table.num_rows >= HELD // 2:
+                        yield out()
+                        held = RecentRows(["bucket", *columns], order)
+            if count:
+                held.add(pa.Table.from_batches(waiting))
+            if held.table is not None and held.table.num_rows:
                 yield out()
 
         def update(key: tuple, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
             held = RecentRows(columns, order)
-            held.add(of(row) for row in (kept.get[0] if kept.exists else ()))
-            touched = set()
-            for frame in frames:
-                touched |= held.add(map(of, frame["row"].tolist()))
-            kept.update((held.rows(),))
-            yield pd.DataFrame(held.rows(touched), columns=columns, dtype=object)
+            if kept.exists:
+                held.table = _unpack(kept.get)
+            touched = held.add(_unpack(message for frame in frames for message in frame["rows"]))
+            kept.update((_pack(held.table),))
+            yield pd.DataFrame({"rows": [_pack(touched)]})
 
         bucket = F.pmod(F.xxhash64(*PAIR), F.lit(self.buckets)).alias("bucket")
-        return (stream.select(bucket, F.struct(*columns).alias("row")).mapInPandas(merge, keyed)
-                .groupBy("bucket").applyInPandasWithState(update, schema, state, "append", GroupStateTimeout.NoTimeout))
+        packed = (stream.select(bucket, *columns).mapInArrow(merge, f"bucket long, {PACKED}")
+                  .groupBy("bucket").applyInPandasWithState(update, PACKED, PACKED, "append", GroupStateTimeout.NoTimeout))
+        return _unpacked(packed, schema)
 
     def _store(self, rows: DataFrame, batch_id: int) -> None:
         """The signals of the pairs that a batch touched."""
@@ -147,7 +198,10 @@ class LiveSignals:
         reader = self.spark.read.format("statestore")
         if batch_id is not None:
             reader = reader.option("batchId", batch_id)
-        return reader.load(checkpoint).select(F.inline("value.groupState.rows"))
+        packed = reader.load(checkpoint).select("value.groupState.rows")
+        first = packed.head()
+        schema = from_arrow_schema(pa.ipc.open_stream(first[0]).schema) if first else POS
+        return _unpacked(packed, schema)
 
     def current(self, checkpoint: str, batch_id: int | None = None, latest: str = "per_key") -> DataFrame:
         """All signals as of a batch.

@@ -271,3 +271,27 @@ def test_a_late_row_changes_its_own_windows_only(spark, tmp_path):
     store.process(pos_frame(spark, [sale(1, 1, 17, 5)]), 1)
     changed = {p.parent.name for p in before ^ files()}
     assert changed == {f"window_start={day(n)}" for n in range(11, 18)}
+
+
+def test_the_state_is_packed_in_columns(spark, tmp_path):
+    """A bucket's rows are one message; numbers that a double can't hold, nulls and equal rows come back whole."""
+    rows = [(2**53 + 1, k % 3, None if k == 5 else day(k % 4), None if k % 5 == 0 else k, NAN if k % 7 == 0 else 1.5, k or None)
+            for k in range(40)]
+    stream = Stream(spark, tmp_path)
+    for part in (rows[:25], rows[20:]):
+        stream.add(part)
+    stream.run()
+    kept = spark.read.format("statestore").load(stream.checkpoint).select("value.groupState.*")
+    assert [f.dataType.simpleString() for f in kept.schema] == ["binary"]
+    expected = dedup(pos_frame(spark, rows))
+    assert stream.live.state(stream.checkpoint).schema == pos_frame(spark, rows).schema
+    assert list(map(repr, rows_of(stream.live.state(stream.checkpoint)))) == list(map(repr, rows_of(expected)))
+    assert stream.current() == rows_of(gold(silver(pos_frame(spark, rows)), latest="per_key"))
+
+
+def test_a_task_hands_on_what_it_holds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shelfwise.streaming.live.HELD", 40)
+    stream, sales = Stream(spark, tmp_path), random_sales(47, n=300)
+    stream.add(sales)
+    stream.run()
+    assert stream.current() == rows_of(gold(silver(pos_frame(spark, sales)), latest="per_key"))
