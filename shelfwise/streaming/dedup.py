@@ -47,7 +47,7 @@ def closed_cells(
 class CellStore:
     """Deduplicated cells kept by micro-batches, equal to the batch dedup however the input is cut.
 
-    Batch K stores its own cells in a slot of ``recent``; the table is the dedup of the union, since the smallest
+    Batch K stores its own rows in a slot of ``recent``, unshuffled; the table is the dedup of the union, since the smallest
     of smallest rows is the smallest. Every ``compact_every`` batches, a generation, its cells merge into
     ``cells``, by date: a date has two versions at most, and a merge rewrites, of the dates that its generation
     touches, the version that is not in use. Which version counts is kept in a small table per
@@ -61,7 +61,7 @@ class CellStore:
         self.order_by = order_by
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        write_slot(dedup(batch, CELL, self.order_by), f"{self.root}/recent", batch_id, 2 * self.compact_every)
+        write_slot(batch, f"{self.root}/recent", batch_id, 2 * self.compact_every)
         if (batch_id + 1) % self.compact_every == 0:
             self._merge(batch_id // self.compact_every)
 
@@ -79,6 +79,13 @@ class CellStore:
         rows = rows if merged is None else rows.unionByName(merged)
         return dedup(rows, CELL, self.order_by).select(*POS.names)
 
+    def merged(self, batch_id: int, dates: Collection[datetime.date]) -> DataFrame | None:
+        """The cells of these dates as of a batch whose merge has ended a generation: as stored, without a dedup."""
+        if (batch_id + 1) % self.compact_every:
+            return None
+        cells = self._merged(self.versions(batch_id // self.compact_every), dates)
+        return None if cells is None else cells.select(*POS.names)
+
     def versions(self, generation: int) -> dict[datetime.date, int]:
         """The version of every merged date after a generation: one entry per date."""
         if generation < 0:
@@ -102,7 +109,8 @@ class CellStore:
         merged = self._merged(before, touched)
         rows = dedup(recent if merged is None else recent.unionByName(merged), CELL, self.order_by)
         second = F.coalesce(_on([d for d in touched if after[d] == 1]), F.lit(False))
-        (rows.withColumn("version", second.cast("int")).hint("rebalance", "transaction_date")
+        # A task writes a file for each of its dates; gathering them would ship every cell a second time.
+        (rows.withColumn("version", second.cast("int"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("transaction_date", "version").parquet(f"{self.root}/cells"))
         # A row without date and version stands for a generation that has no dates.

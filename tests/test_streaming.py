@@ -295,3 +295,33 @@ def test_a_task_hands_on_what_it_holds(spark, tmp_path, monkeypatch):
     stream.add(sales)
     stream.run()
     assert stream.current() == rows_of(gold(silver(pos_frame(spark, sales)), latest="per_key"))
+
+
+def test_batches_of_many_dates_do_not_rewrite_the_store_each_time(spark, tmp_path):
+    """Windows are summed at the first batch and at merges by which the rows have doubled; readers see all rows at any time."""
+    sales = random_sales(48, n=360, days=20)
+    store, seen, summed = WindowStore(spark, str(tmp_path / "state"), compact_every=2), [], []
+    files = lambda: set((tmp_path / "state" / "windows").glob("*/*.parquet"))
+    for n, rows in enumerate(split(sales, 9)):
+        before = files()
+        store.process(pos_frame(spark, rows), n)
+        seen += rows
+        summed += [n] * (files() != before)
+        if n in (2, 5, 8):
+            assert rows_of(store.current()) == rows_of(pane_windows(dedup(pos_frame(spark, seen))))
+    assert summed == [0, 1, 3, 7]
+    late = [sale(1, 1, 4, 77), sale(9, 9, 19, 5)]
+    store.process(pos_frame(spark, late), 9)
+    assert rows_of(store.current()) == rows_of(pane_windows(dedup(pos_frame(spark, [*seen, *late]))))
+    before = rows_of(store.current())
+    store.process(pos_frame(spark, late), 9)  # replayed
+    assert rows_of(store.current()) == before
+
+
+def test_windows_and_merged_cells_are_not_shuffled_to_gather_dates(spark, tmp_path, monkeypatch):
+    hints, hint = [], type(spark.range(0)).hint
+    monkeypatch.setattr(type(spark.range(0)), "hint", lambda self, *a: hints.append(a) or hint(self, *a))
+    store = WindowStore(spark, str(tmp_path / "state"), compact_every=1)
+    store.process(pos_frame(spark, random_sales(49, n=50)), 0)
+    assert not hints
+    assert "Window" not in plan_of(store.cells.merged(0, {day(n) for n in range(40)}))
