@@ -102,7 +102,7 @@ def _extended_tables(spark: SparkSession, folder: str, **options) -> Versions:
     waves = [day <= F.lit(first), (day > F.lit(first)) & (day <= F.lit(second)), day > F.lit(second)]
     refreshes = [functools.partial(refresh.run, **options), refresh.extend, refresh.extend]
     for wave, step in zip(waves, refreshes):
-        pos.where(wave).write.mode("append").parquet(landing)
+        pos.where(wave).write.mode("append").option("compression", "zstd").parquet(landing)
         tables = step(spark, database, spark.read.parquet(landing), stores, skus, landing=landing, order_by=td.COPY_ORDER)
     return tables
 

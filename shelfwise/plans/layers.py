@@ -11,6 +11,8 @@ from shelfwise.functions import days_of_supply, status
 from shelfwise.operators import dedup, on_latest_date, on_latest_per_pair, rolling_mean
 from shelfwise.schemas import CELL, LONG_FRAME, PAIR, POS, REORDER_DAYS, SHORT_FRAME, WATCH_DAYS
 
+FRAMES = {"avg_daily_demand_7d": SHORT_FRAME, "avg_daily_demand_14d": LONG_FRAME}
+
 
 def bronze(pos: DataFrame) -> DataFrame:
     """The declared POS columns, typed."""
@@ -20,10 +22,7 @@ def bronze(pos: DataFrame) -> DataFrame:
 def with_demand(rows: DataFrame) -> DataFrame:
     """Silver columns of deduplicated rows."""
     return rows.select(
-        *POS.names,
-        rolling_mean("qty_sold", SHORT_FRAME).alias("avg_daily_demand_7d"),
-        rolling_mean("qty_sold", LONG_FRAME).alias("avg_daily_demand_14d"),
-    )
+        *POS.names, *[rolling_mean("qty_sold", size).alias(name) for name, size in FRAMES.items()])
 
 
 def silver(pos: DataFrame, order_by: Sequence | None = None, *, colocate: bool = False) -> DataFrame:
@@ -31,13 +30,14 @@ def silver(pos: DataFrame, order_by: Sequence | None = None, *, colocate: bool =
 
     Two shuffles by default: duplicates are cut on the map side and meet on
     (store, SKU, date), so after the first shuffle no pair holds more rows than
-    there are dates, however many copies came in. ``colocate=True`` ships raw
+    there are dates, however many copies came in. They are sent sorted by those keys, without
+    a hash, so that neighbours are alike and compress well. ``colocate=True`` ships raw
     rows by pair instead and needs one shuffle and one sort for both steps; use
     it only where no single pair holds a large share of the raw rows.
     """
     if colocate:
         pos = pos.repartition(*PAIR)
-    return with_demand(dedup(pos, order_by=order_by, hash_first=not colocate))
+    return with_demand(dedup(pos, order_by=order_by, hash_first=False))
 
 
 def tail_rows(rows: DataFrame) -> DataFrame:
@@ -47,6 +47,29 @@ def tail_rows(rows: DataFrame) -> DataFrame:
     return ranked.where(F.col("_rn") <= LONG_FRAME - 1).drop("_rn")
 
 
+def without_demand(rows: DataFrame) -> DataFrame:
+    """Silver rows without the demand that :func:`stored_tail` finds from the quantities: that of rows with both keys."""
+    keyless = F.col("store_id").isNull() | F.col("sku_id").isNull()
+    return rows.withColumns({name: F.when(keyless, F.col(name)) for name in FRAMES})
+
+
+def stored_tail(rows: DataFrame) -> DataFrame:
+    """The last 13 rows of every pair, with stock and demand of the last one alone, from which its signal follows.
+
+    ``rows`` are a stored tail and the rows after it, or 14 rows of every pair that has them. Demand that they lack is the
+    mean of the last quantities; frames of rows without a store or a SKU may have started later, so these bring theirs.
+    """
+    newest = Window.partitionBy(*PAIR).orderBy(F.desc("transaction_date"))
+    last = rows.withColumn("_rn", F.row_number().over(newest)).where(F.col("_rn") <= LONG_FRAME)
+    keyless, is_last = F.col("store_id").isNull() | F.col("sku_id").isNull(), F.col("_rn") == 1
+    means = {name: F.avg("qty_sold").over(newest.rowsBetween(Window.currentRow, size - 1)) for name, size in FRAMES.items()}
+    return last.withColumns({
+        "inventory_on_hand": F.when(is_last, F.col("inventory_on_hand")),
+        **{name: F.when(is_last, F.when(keyless, F.col(name)).otherwise(F.coalesce(F.col(name), mean)))
+           for name, mean in means.items()},
+    }).where(F.col("_rn") <= LONG_FRAME - 1).drop("_rn")
+
+
 def carried_rows(
     stored: DataFrame, pairs: DataFrame, since: datetime.date, lookback_days: int
 ) -> DataFrame:
@@ -84,7 +107,7 @@ def silver_since(
     Rows of a pair without a store or a SKU are not carried over, and of the others only what frames take.
     """
     day = F.col("transaction_date")
-    fresh = dedup(pos.where(day >= F.lit(since)), order_by=order_by).select(*POS.names)
+    fresh = dedup(pos.where(day >= F.lit(since)), order_by=order_by, hash_first=False).select(*POS.names)
     if before is None:
         carried = carried_rows(stored, fresh.select(*PAIR).distinct(), since, lookback_days)
     else:

@@ -11,7 +11,7 @@ from shelfwise.operators import (
 )
 from shelfwise.plans.daily import MONTH, by_month, daily_coverage, daily_figures
 from shelfwise.plans.kpis import platform_stats
-from shelfwise.plans.layers import gold, signal_history, signals, silver, silver_since, tail_rows
+from shelfwise.plans.layers import FRAMES, gold, signal_history, signals, silver, silver_since, stored_tail, without_demand
 from shelfwise.plans.orders import purchase_order_lines
 from shelfwise.plans.snapshot import kpi_snapshot, snapshot_as_of, snapshot_changes
 from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
@@ -33,7 +33,7 @@ PER_PAIR = "signals_per_pair"
 CHANGES = "kpi_snapshot_changes"
 PANEL, FIRSTS = "daily_panel", "first_sales"
 KEPT_TAILS = 4
-DEMAND = ["avg_daily_demand_7d", "avg_daily_demand_14d"]
+DEMAND = list(FRAMES)
 
 
 def _before(since: datetime.date | None):
@@ -51,10 +51,10 @@ def write_silver(
     checks = Observation("quality")
 
     def watch(shaped: DataFrame) -> DataFrame:
-        return observe_rules(shaped, checks, latest=F.max("transaction_date"))
+        stamped = shaped.withColumn("load_timestamp", F.current_timestamp())
+        return observe_rules(stamped, checks, latest=F.max("transaction_date"))
 
-    change.write(rows.withColumn("load_timestamp", F.current_timestamp()), SILVER, "transaction_date",
-                 keep=_before(since), fmt=fmt, comment=COMMENTS[SILVER], watch=watch)
+    change.write(rows, SILVER, "transaction_date", keep=_before(since), fmt=fmt, comment=COMMENTS[SILVER], watch=watch)
     counts = checks.get
     lines = [(rule, counts["rows"] - counts[rule], counts[rule]) for rule in DEFAULT_RULES]
     report = rows.sparkSession.createDataFrame(lines, "rule string, passed bigint, failed bigint")
@@ -68,10 +68,11 @@ def write_tail(
     """Store the last 13 silver rows per pair under their date, beside the tails of the dates in ``keep``.
 
     ``as_of`` is the latest date in ``rows``. An extension starts from the newest tail before its first date.
-    Prices are neither shuffled nor stored, as no frame and no signal follows from those of earlier rows.
+    Prices are neither shuffled nor stored, as no frame and no signal follows from those of earlier rows. Of a pair's
+    stock and demand only those of its last row are stored, and new rows are shuffled without the demand.
     """
     kept = sorted(keep or [])[-(KEPT_TAILS - 1):]
-    last = tail_rows(rows.select(*[c for c in POS.names if c != "unit_price"], *DEMAND)).select(
+    last = stored_tail(rows.select(*[c for c in POS.names if c != "unit_price"], *DEMAND)).select(
         *[F.lit(None).cast("double").alias(c) if c == "unit_price" else c for c in POS.names], *DEMAND)
     # All rows have one date, and the ranking has already dealt them out by pair.
     change.write(last.withColumn("as_of", F.lit(as_of).cast("date")), TAIL, "as_of", keep=lambda part: part in kept, fmt=fmt,
@@ -119,8 +120,9 @@ def _derive(
     layers = platform_stats(bronze, rows, current)
     change.write(kpi_snapshot(current, stores, skus, layers), SNAPSHOT, fmt=fmt)
     _write_changes(change, as_of, fmt)
+    # All orders have one date, so they are not shuffled to gather it.
     change.write(purchase_order_lines(current, stores, skus), ORDERS, "signal_date", fmt=fmt,
-                 keep=lambda part: as_of is None or part != as_of.isoformat())
+                 keep=lambda part: as_of is None or part != as_of.isoformat(), gather=False)
 
 
 def _write_changes(change: Change, as_of: datetime.date | None, fmt: str) -> None:
@@ -204,7 +206,7 @@ def run(
         pos = bronze = change.read(BRONZE)
     report, as_of = write_silver(change, silver(pos, order_by), fmt)
     change.write(report, QUALITY, fmt=fmt)
-    write_tail(change, change.read(SILVER), as_of, fmt)
+    write_tail(change, without_demand(change.read(SILVER)), as_of, fmt)
     _derive(change, bronze, stores, skus, fmt, as_of, **rules)
     if with_panel or FIRSTS in change.parts:
         _write_panel(change, as_of, fmt)
@@ -265,12 +267,12 @@ def extend(
         as_of = newest.agg(F.max("transaction_date")).first()[0]
     change.write(report, QUALITY, keep=lambda part: True, fmt=fmt)
     if known is None:
-        write_tail(change, newest, as_of, fmt)
+        write_tail(change, without_demand(newest), as_of, fmt)
     elif as_of is not None and as_of.isoformat() in kept:  # what is left ends where a tail does
         change.parts[TAIL] = [p for p in change.parts[TAIL] if p[1] in kept]
     else:
         later = newest.where(F.col("transaction_date") >= F.lit(since)).select(*POS.names, *DEMAND)
-        write_tail(change, known.unionByName(later), as_of, fmt, kept)
+        write_tail(change, known.unionByName(without_demand(later)), as_of, fmt, kept)
     _derive(change, bronze, stores, skus, fmt, as_of, since, **rules)
     if FIRSTS in change.parts:
         _write_panel(change, as_of, fmt, since)

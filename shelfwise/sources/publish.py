@@ -102,11 +102,12 @@ class Change:
         lets AQE split one that is too large for a task. A date among ``rows`` is always theirs alone.
         Without ``gather`` they are not shuffled for that: every task writes the dates it has, for rows that all have one
         date, or too many of them to ship once more.
-        ``watch`` is applied in the writing stage.
+        ``watch`` is applied in the writing stage. Parquet and ORC files are written with zstd.
         """
         shaped = rows.hint("rebalance", by) if by and gather else rows
         shaped = watch(shaped) if watch else shaped
-        (shaped.withColumn("run", F.lit(self.run)).write.format(fmt).mode("append")
+        packing = {"compression": "zstd"} if fmt in ("parquet", "orc") else {}
+        (shaped.withColumn("run", F.lit(self.run)).write.format(fmt).options(**packing).mode("append")
          .partitionBy(*([by] if by else []), "run").saveAsTable(self.versions.stored(table)))
         new = [p for p in _partitions(self.versions, table, by) if p[2] == self.run] if by else [(None, None, self.run)]
         dates = {part for _, part, _ in new} if by else set()

@@ -316,3 +316,35 @@ def test_daily_figures_are_counted_before_they_meet_the_skus(spark):
         F.count(F.lit(1)), F.count_if(kpis.is_reorder()), F.coalesce(F.sum(value), F.lit(0).cast("decimal(38,6)")))
     assert rows_of(daily) == rows_of(rows)
     assert dict(daily.dtypes)["value"] == "decimal(38,6)"
+
+
+def test_new_rows_reach_the_tail_without_their_demand(spark, database):
+    """Of stock and demand the tail has those of a pair's last row alone; the signal of every pair follows from them."""
+    stores, skus = dims(spark, range(4), range(5))
+    sales = [r for r in random_sales(34, n=400, days=50) if r[0] != 3 or r[2] < day(30)]
+    sales += [sale(s, k, n, q) for s, k in ((None, 1), (2, None), (None, None)) for n, q in ((5, 3), (39, 5), (45, 8), (46, None))]
+    refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(40)]), stores, skus)
+    for start, end in ((40, 46), (46, 50)):
+        tables = refresh.extend(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(end)]), stores, skus, day(start))
+    tail = spark.table(tables.name(refresh.TAIL)).where(F.col("as_of") == F.lit(day(49)))
+    full = tail.where("inventory_on_hand IS NOT NULL OR avg_daily_demand_7d IS NOT NULL OR avg_daily_demand_14d IS NOT NULL")
+    assert full.groupBy("store_id", "sku_id").count().where("count > 1").isEmpty() and full.count() < tail.count()
+    stored = spark.table(tables.name(SILVER)).drop("load_timestamp")
+    expected = gold(stored, latest="per_key")
+    assert rows_of(spark.table(tables.name(refresh.PER_PAIR))) == rows_of(expected)
+    assert expected.where("store_id IS NULL OR sku_id IS NULL").count() == 3 and expected.where("signal_date < '2024-02-01'").count()
+
+
+def test_copies_are_sent_sorted_by_their_keys(spark):
+    """No hash travels with them: neighbours are alike, which halves what a row takes once compressed."""
+    pos = pos_frame(spark, random_sales(35))
+    for rows in (silver(pos), silver_since(pos, silver(pos), day(1))):
+        assert "hash(" not in plan_of(rows).replace("hashpartitioning(", "").lower()
+
+
+def test_stored_tables_are_packed_with_zstd(spark, database):
+    stores, skus = dims(spark, range(4), range(5))
+    tables = refresh.run(spark, database, pos_frame(spark, random_sales(36)), stores, skus)
+    for table in (SILVER, refresh.TAIL, GOLD):
+        files = spark.table(tables.stored(table)).inputFiles()
+        assert files and all(f.endswith(".zstd.parquet") for f in files)
