@@ -8,8 +8,9 @@ lies between ``|(a,r) - (x,r)|`` and ``(a,r) + (x,r)``, so its cosine lies withi
 numbers only where that interval meets what is asked for:
 
 * for positives, what the fifth best lower bound of the same label leaves open;
-* for negatives, the window between half and 95 % of a positive's score, above the third
-  best lower bound among rows that are certainly inside it.
+* for negatives, the window between half and 95 % of a positive's score. Where a double holds every score, the rows that any
+  anchor of a batch may need are scored by one product of matrices for all its anchors and positives; beyond that, row by
+  row above the third best lower bound among rows that are certainly inside the window.
 
 References are the centres of a bounded sample (``SAMPLE`` rows); they decide how many rows are scored, never which
 result comes out. Rows are sorted by label and nearest reference and cut into blocks;
@@ -182,8 +183,7 @@ class Packed:
         self.numbers, self.ids, self.labels = get("numbers", "<i8"), get("ids", "<i8"), get("labels", "<i8")
         self.raw = np.frombuffer(raw, "<f4" if len(raw) == 4 * n * width else "<f8").astype(np.float64).reshape(n, width)
         self.values, self.norms = whole(self.raw), get("norms", "<f8")
-        angles = get("angles", "<f4").astype(np.float64).reshape(n, -1).T
-        self.cos, self.sin = np.cos(angles), np.sin(angles)
+        self.angles = get("angles", "<f4").reshape(n, -1).T
         self.most = float(np.abs(self.values).max(initial=0.0))
         self.wild = np.abs(self.values).max(axis=1, initial=0.0) > WILD
 
@@ -193,24 +193,33 @@ class Packed:
 
 
 def bounds(anchors: Packed, block: Packed) -> tuple[np.ndarray, np.ndarray]:
-    """Least and greatest score of every (anchor, row); wild rows have no bounds."""
-    shape = (len(anchors.ids), len(block.ids))
-    low, high = np.full(shape, -1.0), np.full(shape, 1.0)
-    for r in range(len(block.cos)):
-        centre = np.multiply.outer(anchors.cos[r], block.cos[r])
-        spread = np.multiply.outer(anchors.sin[r], block.sin[r])
-        np.maximum(low, centre - spread, out=low)
-        np.minimum(high, centre + spread, out=high)
+    """Least and greatest score of every (anchor, row); wild rows have no bounds.
+
+    The angle is at least the greatest difference of two angles to a reference, and at most the least sum, or what a sum
+    beyond pi leaves of the full circle. Differences and sums in 32 bits are within 5e-7 each.
+    """
+    shape, half = (len(anchors.ids), len(block.ids)), np.float32(np.pi)
+    least, turned, step = (np.zeros(shape, "f4") for _ in range(3))  # turned: how far a sum is from pi
+    for a, b in zip(anchors.angles, block.angles):
+        np.subtract.outer(a, b, out=step)
+        np.maximum(least, np.abs(step, out=step), out=least)
+        np.add.outer(a - half, b, out=step)
+        np.maximum(turned, np.abs(step, out=step), out=turned)
     scale = np.multiply.outer(anchors.norms, block.norms)
-    low, high = scale * (low - SLACK), scale * (high + SLACK)
+    low, high = scale * (-np.cos(turned.astype("f8")) - SLACK), scale * (np.cos(least.astype("f8")) + SLACK)
     wild = anchors.wild[:, None] | block.wild[None, :]
     low[wild], high[wild] = -np.inf, np.inf
     return low, high
 
 
+def fits(anchors: Packed, block: Packed) -> bool:
+    """Whether doubles hold all scores, and all sums on the way to them, exactly."""
+    return block.values.shape[1] * max(anchors.most, 1.0) * max(block.most, 1.0) < 2.0**53
+
+
 def scores(anchors: Packed, q: int, block: Packed, at: np.ndarray) -> np.ndarray:
     """Whole-number scores of anchor ``q`` with the rows ``at``: 64 bits where they fit, else Python's integers."""
-    if block.values.shape[1] * max(anchors.most, 1.0) * max(block.most, 1.0) < 2.0**53:
+    if fits(anchors, block):
         return (block.values[at] @ anchors.values[q]).astype(np.int64)
     own = anchors.exact(q)
     return np.array([int((block.exact(i) * own).sum()) if len(own) else 0 for i in at], object)
@@ -254,11 +263,50 @@ def _as_float(value: int) -> float:
     return float(min(max(value, -2**1000), 2**1000))
 
 
-def negatives_of(anchors: Packed, asked: list[list[int]], block: Packed, k: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Anchor, number of the positive, rows and scores: the block's ``k`` best rows of other labels in each window.
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def negatives_of(anchors: Packed, asked: list[list[int]], block: Packed, k: int) -> Iterator[Found]:
+    """Anchors, numbers of the positives, rows and scores: the block's ``k`` best rows of other labels in each window.
 
     ``asked`` has the positives' scores by anchor.
     """
+    each = _together if fits(anchors, block) else _row_by_row
+    yield from each(anchors, asked, block, k)
+
+
+def _together(anchors: Packed, asked: list[list[int]], block: Packed, k: int) -> Iterator[Found]:
+    """For scores that doubles hold: all anchors at once, one positive of each after the other."""
+    low, high = bounds(anchors, block)
+    number = max(map(len, asked), default=0)
+    least, most = np.full((2, number, len(asked)), [[[np.inf]], [[-np.inf]]])
+    for q, wanted in enumerate(asked):
+        for j, (a, b) in enumerate(map(window, wanted)):
+            if a <= b:
+                least[j, q], most[j, q] = _as_float(a), _as_float(b)
+    others = (block.labels != anchors.labels[:, None]) & (block.ids != anchors.ids[:, None])
+    # No score is beyond 2^53, up to where the windows' ends are exact. Bounds are wider than they need be by SLACK.
+    any_least, any_most = (f(axis=0, initial=i) for f, i in ((least.min, np.inf), (most.max, -np.inf)))
+    others &= (high >= any_least[:, None]) & (low <= any_most[:, None])
+    rows = np.flatnonzero(others.any(axis=0))
+    if not len(rows):
+        return
+    rows = rows[np.argsort(block.ids[rows], kind="stable")]  # the first of equal scores has the smallest id
+    found = np.where(others[:, rows], anchors.values @ block.values[rows].T, -np.inf)
+    every = np.arange(len(asked))
+    for j in range(number):
+        inside = np.where((found >= least[j][:, None]) & (found <= most[j][:, None]), found, -np.inf)
+        for _ in range(min(k, len(rows))):
+            at = inside.argmax(axis=1)
+            best = inside[every, at]
+            good = np.flatnonzero(best > -np.inf)
+            if not len(good):
+                break
+            yield good, np.full(len(good), j), rows[at[good]], best[good].astype(np.int64)
+            inside[every, at] = -np.inf
+
+
+def _row_by_row(anchors: Packed, asked: list[list[int]], block: Packed, k: int) -> Iterator[Found]:
     low, high = bounds(anchors, block)
     for q, wanted in enumerate(asked):
         others = (block.labels != anchors.labels[q]) & (block.ids != anchors.ids[q])
@@ -276,7 +324,7 @@ def negatives_of(anchors: Packed, asked: list[list[int]], block: Packed, k: int)
             at, found = at[inside], found[inside]
             best = _best(found, block.ids[at], k)
             if len(best):
-                yield q, j, at[best], found[best]
+                yield np.full(len(best), q), np.full(len(best), j), at[best], found[best]
 
 
 def _meet(blocks: DataFrame, batches: DataFrame, condition: Column, extra: list[str]) -> DataFrame:
@@ -323,10 +371,12 @@ def _find_negatives(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         by = {p["number"]: p["positives"] for p in row["asked"]}
         mine = [by[n] for n in anchors.numbers]
         asked = [[(p["high"] << SPLIT) + p["low"] for p in ps] for ps in mine]
-        found = []
-        for q, j, at, s in negatives_of(anchors, asked, block, NEGATIVES):
-            p = mine[q][j]
-            found.append((*_full(len(at), anchors.numbers[q], anchors.ids[q], j, p["vec_id"], p["high"], p["low"]), block.ids[at], *split(s)))
+        # The positives of an anchor, filled up to as many as any has.
+        table = np.zeros((3, len(mine), POSITIVES), np.int64)
+        for q, ps in enumerate(mine):
+            table[:, q, :len(ps)] = [[p[c] for p in ps] for c in ("vec_id", "high", "low")]
+        found = [(anchors.numbers[q], anchors.ids[q], j, *table[:, q, j], block.ids[at], *split(s))
+                 for q, j, at, s in negatives_of(anchors, asked, block, NEGATIVES)]
         if found:
             yield _hits(found)
 

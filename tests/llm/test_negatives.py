@@ -119,3 +119,17 @@ def test_few_rows_of_clusters_are_scored(monkeypatch):
     monkeypatch.setattr(negatives, "scores", lambda a, q, b, at: seen.append(len(at)) or scored(a, q, b, at))
     list(negatives.positives_of(both, both, 5))
     assert sum(seen) < 0.3 * len(values) ** 2
+
+
+def test_a_batch_is_scored_by_one_product(monkeypatch):
+    """Rows are not scored again for every positive; the result is that of scoring them one by one."""
+    pick = np.random.default_rng(6)
+    both = side(pick.integers(-3, 4, (90, 4)) / 4)
+    both.ids, both.labels = pick.permutation(90) // 2, pick.integers(0, 3, 90)  # ids that repeat, scores that tie
+    asked = [[int(v) for v in pick.integers(-40000, 120000, pick.integers(0, 6))] for _ in range(90)]
+    plain = lambda found: sorted((int(q), int(j), int(both.ids[i]), int(s)) for f in found for q, j, i, s in zip(*f))
+    expected = plain(negatives._row_by_row(both, asked, both, 3))
+    assert len(expected) > 100
+    monkeypatch.setattr(negatives, "scores", None)
+    assert plain(negatives.negatives_of(both, asked, both, 3)) == expected
+    assert plain(negatives.negatives_of(both, [[] for _ in asked], both, 3)) == []
