@@ -348,3 +348,17 @@ def test_stored_tables_are_packed_with_zstd(spark, database):
     for table in (SILVER, refresh.TAIL, GOLD):
         files = spark.table(tables.stored(table)).inputFiles()
         assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_silver_is_not_shuffled_to_gather_dates(spark, database, monkeypatch):
+    """Its rows are dealt out by pair already; each task writes the dates it has."""
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(37, n=300, days=50)
+    frame = type(spark.range(0))
+    hints, hint = [], frame.hint
+    monkeypatch.setattr(frame, "hint", lambda self, *a: hints.append(a[-1]) or hint(self, *a))
+    refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(40)]), stores, skus)
+    assert hints.count("transaction_date") == 1  # bronze, which no shuffle has dealt out
+    tables = refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(40))
+    assert hints.count("transaction_date") == 2
+    assert rows_of(stored_silver(spark, tables)) == rows_of(silver(pos_frame(spark, sales)))
