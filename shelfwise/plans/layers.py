@@ -12,6 +12,8 @@ from shelfwise.operators import dedup, on_latest_date, on_latest_per_pair, rolli
 from shelfwise.schemas import CELL, LONG_FRAME, PAIR, POS, REORDER_DAYS, SHORT_FRAME, WATCH_DAYS
 
 FRAMES = {"avg_daily_demand_7d": SHORT_FRAME, "avg_daily_demand_14d": LONG_FRAME}
+# Marks the last row of a pair in a stored tail.
+IS_LAST = "is_last"
 
 
 def bronze(pos: DataFrame) -> DataFrame:
@@ -54,7 +56,7 @@ def without_demand(rows: DataFrame) -> DataFrame:
 
 
 def stored_tail(rows: DataFrame) -> DataFrame:
-    """The last 13 rows of every pair, with stock and demand of the last one alone, from which its signal follows.
+    """The last 13 rows of every pair, with stock and demand of the last one alone, which is marked and gives its signal.
 
     ``rows`` are a stored tail and the rows after it, or 14 rows of every pair that has them. Demand that they lack is the
     mean of the last quantities; frames of rows without a store or a SKU may have started later, so these bring theirs.
@@ -64,6 +66,7 @@ def stored_tail(rows: DataFrame) -> DataFrame:
     keyless, is_last = F.col("store_id").isNull() | F.col("sku_id").isNull(), F.col("_rn") == 1
     means = {name: F.avg("qty_sold").over(newest.rowsBetween(Window.currentRow, size - 1)) for name, size in FRAMES.items()}
     return last.withColumns({
+        IS_LAST: is_last,
         "inventory_on_hand": F.when(is_last, F.col("inventory_on_hand")),
         **{name: F.when(is_last, F.when(keyless, F.col(name)).otherwise(F.coalesce(F.col(name), mean)))
            for name, mean in means.items()},

@@ -6,12 +6,12 @@ import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from shelfwise.operators import (
-    DEFAULT_RULES, first_sales, observe_rules, on_latest_per_pair, panel_since, whole_panel,
-)
+from shelfwise.operators import DEFAULT_RULES, first_sales, observe_rules, panel_since, whole_panel
 from shelfwise.plans.daily import MONTH, by_month, daily_coverage, daily_figures
 from shelfwise.plans.kpis import platform_stats
-from shelfwise.plans.layers import FRAMES, gold, signal_history, signals, silver, silver_since, stored_tail, without_demand
+from shelfwise.plans.layers import (
+    FRAMES, IS_LAST, gold, signal_history, signals, silver, silver_since, stored_tail, without_demand,
+)
 from shelfwise.plans.orders import purchase_order_lines
 from shelfwise.plans.snapshot import kpi_snapshot, snapshot_as_of, snapshot_changes
 from shelfwise.schemas import BRONZE, GOLD, POS, SILVER
@@ -26,7 +26,7 @@ COMMENTS = {
 QUALITY = "data_quality"
 SNAPSHOT = "kpi_snapshot"
 ORDERS = "purchase_orders"
-TAIL = "silver_tail"
+TAIL = "pair_tail"
 DAILY, COVERAGE = "daily_figures", "daily_coverage"
 FILES = "landed_files"
 PER_PAIR = "signals_per_pair"
@@ -71,11 +71,11 @@ def write_tail(
 
     ``as_of`` is the latest date in ``rows``. An extension starts from the newest tail before its first date.
     Prices are neither shuffled nor stored, as no frame and no signal follows from those of earlier rows. Of a pair's
-    stock and demand only those of its last row are stored, and new rows are shuffled without the demand.
+    stock and demand only those of its last row are stored, which is marked, and new rows are shuffled without the demand.
     """
     kept = sorted(keep or [])[-(KEPT_TAILS - 1):]
     last = stored_tail(rows.select(*[c for c in POS.names if c != "unit_price"], *DEMAND)).select(
-        *[F.lit(None).cast("double").alias(c) if c == "unit_price" else c for c in POS.names], *DEMAND)
+        *[F.lit(None).cast("double").alias(c) if c == "unit_price" else c for c in POS.names], *DEMAND, IS_LAST)
     # All rows have one date, and the ranking has already dealt them out by pair.
     change.write(last.withColumn("as_of", F.lit(as_of).cast("date")), TAIL, "as_of", keep=lambda part: part in kept, fmt=fmt,
                  gather=False)
@@ -100,10 +100,10 @@ def rows_before(change: Change, since: datetime.date) -> DataFrame | None:
 
 
 def last_rows(change: Change) -> DataFrame:
-    """The last silver row of every pair, from the newest tail alone."""
+    """The last silver row of every pair, as marked in the newest tail; nothing else is read and nothing shuffled."""
     newest = max(tails(change), default=None)
     parts = [part for part in change.parts[TAIL] if newest is not None and part[1] == newest]
-    return on_latest_per_pair(change.versions.read(TAIL, parts))
+    return change.versions.read(TAIL, parts).where(IS_LAST)
 
 
 def _derive(

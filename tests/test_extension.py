@@ -123,3 +123,27 @@ def test_faulty_rows_of_the_reading_by_part(spark):
     assert 0 < op.with_stores(rows, stores).count() < rows.count()
     assert 0 < op.with_skus(rows, skus).count() < rows.count()
     assert skus.count() == td.load(spark, folder, "part").count()
+
+
+def test_signals_per_pair_are_marked_in_the_tail(spark, database):
+    """No shuffle finds them; a last row without stock and quantity counts as well."""
+    stores, skus = dims(spark, range(4), range(5))
+    sales = [r for r in random_sales(44, n=300, days=50) if r[0] != 3 or r[2] < day(30)]
+    sales += [sale(7, 1, 3, None, None), sale(7, 1, 41, None, None), sale(8, 1, 2, None, None), sale(None, 1, 5, 2), sale(None, None, 44, 2)]
+    tables = refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(40)]), stores, skus)
+    for _ in range(2):
+        assert "Exchange" not in plan_of(signals(refresh.last_rows(tables.begin())))
+        stored = spark.table(tables.name(SILVER)).drop("load_timestamp")
+        assert rows_of(spark.table(tables.name(refresh.PER_PAIR))) == rows_of(gold(stored, latest="per_key"))
+        tables = refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(40))
+
+
+def test_tables_whose_tail_has_no_marks_are_extended(spark, database, monkeypatch):
+    """The tail had another name then; silver is searched once and a marked tail stored."""
+    stores, skus = dims(spark, range(4), range(5))
+    sales = random_sales(45, n=200, days=50)
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "TAIL", "silver_tail")
+        refresh.run(spark, database, pos_frame(spark, [r for r in sales if r[2] < day(40)]), stores, skus, with_panel=True)
+    tables = refresh.extend(spark, database, pos_frame(spark, sales), stores, skus, day(40))
+    check(spark, tables, sales)
