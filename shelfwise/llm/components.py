@@ -1,4 +1,4 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components by alternating large-star and small-star steps; roots of a forest by doubling."""
 
 from __future__ import annotations
 
@@ -21,16 +21,40 @@ def components(edges: DataFrame) -> DataFrame:
         edges.where("u IS NOT NULL AND v IS NOT NULL AND u != v")
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     before = _sum(edges)
-    for _ in range(MOST_ROUNDS):
+    for _ in range(MOST_ROUNDS if before[0] else 0):
         edges = stored(_small_star(_large_star(edges)), "edges")
         after = _sum(edges)
         if after == before:
             break
         before = after
     else:
-        raise RuntimeError("components did not settle")
-    roots = edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(roots)
+        if before[0]:
+            raise RuntimeError("components did not settle")
+    return _labels(edges)
+
+
+def roots(parents: DataFrame) -> DataFrame:
+    """``node, label`` for every node of a forest: ``parents`` (u, v) has one row for each u that has a parent, v < u.
+
+    Equal to :func:`components` of these edges, as a root is the smallest node of its tree. A round is one join, which
+    takes every node to the parent of its parent, so a tree of depth d needs about log2(d) rounds. Empty edges give an
+    empty table.
+    """
+    parents = stored(parents.select("u", "v"), "parents")
+    for _ in range(MOST_ROUNDS):
+        up = parents.select(F.col("u").alias("_at"), F.col("v").alias("_up"))
+        step = parents.join(up, parents["v"] == up["_at"], "left")
+        jumped = stored(step.select("u", F.coalesce("_up", "v").alias("v"), F.col("_up").isNotNull().alias("moved")), "parents")
+        if jumped.where("moved").isEmpty():
+            return _labels(parents)
+        parents = jumped.select("u", "v")
+    raise RuntimeError("parents are no forest")
+
+
+def _labels(stars: DataFrame) -> DataFrame:
+    """A row for every node, of edges that all lead from a node to its label."""
+    centres = stars.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
+    return stars.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(centres)
 
 
 def _sum(edges: DataFrame) -> tuple:

@@ -10,8 +10,8 @@
    and large ones branch again, ``DEPTH`` times at most; what is still
    large then is compared block by block.
 3. Within a leaf the sketches of all classes are compared. First every class
-   is held against one partner only; the links confirmed on the full sets
-   give components. Then a finer sketch tells which classes of a leaf may be similar
+   is held against one partner with a smaller id only; the links confirmed on the full sets
+   form a forest, whose trees are components. Then a finer sketch tells which classes of a leaf may be similar
    to one of another component; their full sets meet in the leaf, all their pairs
    are compared exactly there, and one link for each two components that join comes out. So a
    group of n copies gives about n rows, not n squared, and no component is lost,
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm.common import LOWER, WordHashes, mix, small_batches, stored
-from shelfwise.llm.components import components
+from shelfwise.llm.components import components, roots
 
 WORDS, THRESHOLD = 5, 0.8
 POSITIONS = 128          # minwise tokens of a set
@@ -303,7 +303,7 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _exact_links(threshold: float):
-    """``u, v``: links confirmed on the full sets that join the components of a leaf, one for each that it joins."""
+    """``u, v``: labels of two components of a leaf that a link confirmed on the full sets joins, a row for each that it joins."""
     percent = round(threshold * 100)
 
     def run(batches):
@@ -320,8 +320,8 @@ def _exact_links(threshold: float):
             for i in range(len(sets)):
                 others = np.flatnonzero(similar[i] & (label != label[i]))
                 while len(others):
-                    u.append(rows["set_id"][i])
-                    v.append(rows["set_id"][others[0]])
+                    u.append(rows["label"][i])
+                    v.append(rows["label"][others[0]])
                     label[label == label[others[0]]] = label[i]
                     others = others[label[others] != label[i]]
             if u:
@@ -393,8 +393,8 @@ def near_duplicates(
     choice = F.struct(~F.col("sure"), F.col("partner"))
     first = (members.where("partner IS NOT NULL").groupBy(F.col("set_id").alias("u"))
              .agg(F.min(choice).getField("partner").alias("v")))
-    links = stored(_confirm(first, sets, threshold), "links")
-    labels = components(links)
+    # A partner is smaller than its class, so these links are a forest.
+    labels = roots(_confirm(first, sets, threshold))
 
     comparing = members.select("leaf", "side", "set_id").distinct()
     labelled = (comparing.join(labels, comparing["set_id"] == labels["node"], "left")
@@ -403,11 +403,13 @@ def near_duplicates(
              .mapInArrow(_open_members(threshold), "leaf bigint, side int, set_id binary, label binary"))
     more = (still.join(sets, "set_id").repartition("leaf").sortWithinPartitions("leaf")
             .mapInArrow(_exact_links(threshold), "u binary, v binary"))
-    labels = components(links.unionByName(more))
+    merged = components(more).select(F.col("node").alias("_label"), F.col("label").alias("_merged"))
 
     ids = base.where("set_id IS NOT NULL").groupBy("set_id").agg(F.min("doc_id").alias("least"))
     ids = (ids.join(labels, ids["set_id"] == labels["node"], "left")
            .select("set_id", "least", F.coalesce("label", "set_id").alias("label")))
+    ids = (ids.join(merged, ids["label"] == merged["_label"], "left")
+           .select("set_id", "least", F.coalesce("_merged", "label").alias("label")))
     smallest = ids.groupBy("label").agg(F.min("least").alias("component_id"))
     classes_out = ids.join(smallest, "label").select(F.col("set_id").alias("_set"), "component_id")
     full = base.where("set_id IS NOT NULL").select("doc_id", "text_hash", "n_shingles", "set_id")

@@ -15,6 +15,8 @@ from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from shelfwise.llm import chat, fingerprints, language, mixing, near_dedup, packing, privacy, topk, warc
+from shelfwise.llm.common import stored
+from shelfwise.llm.components import components as by_stars, roots
 
 FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars int, bucket int, rank string, label string"
@@ -83,6 +85,34 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dedup.near_duplicates(rows.limit(0)).count() == 0
 
 
+def test_roots_equal_components(spark):
+    """Forests with a deep path, a hub and random trees: doubling gives what the star steps give."""
+    rng = np.random.default_rng(11)
+    path = [(i + 1, i) for i in range(70)]
+    hub = [(i, 100) for i in range(101, 300)]
+    trees = [(i, int(rng.integers(300, i))) for i in range(301, 500) if i % 9]
+    for edges in (path, hub, path + hub + trees, []):
+        frame = spark.createDataFrame(edges, "u long, v long")
+        found = {r["node"]: r["label"] for r in roots(frame).collect()}
+        assert found == {r["node"]: r["label"] for r in by_stars(frame).collect()}
+        assert len(found) == len({n for e in edges for n in e})
+
+
+def test_near_duplicates_take_few_jobs(spark):
+    """A path of near copies: every shuffle keeps a thread of the driver for a minute, so rounds may not multiply them."""
+    words = [f"w{i}" for i in range(90)]
+    texts = {i: " ".join(words[i:i + 60]) for i in range(30)}
+    texts |= {100 + i: f"text {i} stands alone " + " ".join(f"x{i}y{j}" for j in range(20)) for i in range(30)}
+    rows = stored(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), "copies")
+    spark.sparkContext.setJobGroup("few-jobs", "near duplicates")
+    try:
+        found = near_dedup.near_duplicates(rows, 2).collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["doc_id"]: r["component_id"] for r in found} == brute_components(texts, 2)[0]
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-jobs")) <= 84  # 104 with star steps for all links
+
+
 def test_mix_meets_its_targets(spark, documents):
     found = mixing.taken(*mixing.mix(documents)).join(documents.select("doc_id", "source"), "doc_id").toPandas()
     by = found.groupby("source").agg(size=("size", "sum"), target=("target", "first"), taken=("taken", "sum"))
