@@ -290,14 +290,16 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = K, blocks: DataFrame |
 
     # Every batch of queries meets every block of its width: blocks times batches rows, no pairs. They are
     # dealt to a grid, blocks copied along its rows and batches along its columns, so that few bytes are copied
-    # however many there are of either: a block takes about as much as 12 batches.
+    # however many there are of either: a block takes about as much as 12 batches. The join is by shuffle and has a
+    # hint, as Spark takes the copies for as large as one: it would broadcast up to 512 times its threshold.
     n, m = max(1, blocks.count()), max(1, batches.count())
     down = max(1, min(n, CELLS, round(math.sqrt(CELLS * 12 * n / m))))
     across = max(1, min(m, CELLS // down))
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint")))
     blocks = blocks.withColumn("down", F.pmod(F.xxhash64("ids"), F.lit(down))).withColumn("across", every(across))
     batches = batches.withColumn("across", F.pmod(F.xxhash64("numbers"), F.lit(across))).withColumn("down", every(down))
-    met = blocks.join(batches, ["width", "down", "across"]).select(
+    cell, cells = ["width", "down", "across"], down * across
+    met = blocks.repartition(cells, *cell).hint("merge").join(batches.repartition(cells, *cell), cell).select(
         "width", "rows", "cut", "shift", "reach", "ids", "bits", "values", "numbers", "own", "weights")
     hits = met.mapInArrow(search, "number bigint, query_id bigint, vec_id bigint, score bigint, beyond binary")
     order = Window.partitionBy("number").orderBy(F.desc("score"), F.desc("beyond"), "vec_id")

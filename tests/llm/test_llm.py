@@ -14,6 +14,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from helpers import plan_of
 from shelfwise.llm import chat, fingerprints, language, mixing, near_dedup, packing, privacy, topk, warc
 from shelfwise.llm.common import stored
 from shelfwise.llm.components import components as by_stars, roots
@@ -350,6 +351,21 @@ def test_top_k_meets_every_block(spark):
     assert sorted(map(tuple, found[["query_id", "rank", "vec_id", "score"]].astype(int).values.tolist())) == expected
 
 
+def test_top_k_broadcasts_no_copies(spark):
+    """Copies of queries and blocks, up to 512 of each, are shuffled: none goes through the driver, however small one copy is."""
+    rng = np.random.default_rng(9)
+    values = rng.normal(size=(400, 4))
+    vectors = topk.whole_vectors(spark.createDataFrame(
+        [(i, [float(x) for x in v]) for i, v in enumerate(values)], "vec_id long, embedding array<double>").repartition(4))
+    found = topk.top(vectors, vectors.where("vec_id % 2 = 0"), 3, topk.stored(topk.index(vectors, block=32), "blocks"))
+    assert "Broadcast" not in plan_of(found)
+    rows = found.collect()
+    assert "Broadcast" not in plan_of(found)  # nor where Spark has measured them
+    whole, ids = np.floor(values * 1024).astype(np.int64), np.arange(400)
+    expected = [(q, n + 1, *hit) for q in range(0, 400, 2) for n, hit in enumerate(brute_top(ids, whole, whole[q], q, 3))]
+    assert sorted(map(tuple, rows)) == expected
+
+
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE ", "<</ROLE>>", "\\", "<", "[", ">>", "\n", " ", "x"]
 
 
