@@ -63,6 +63,16 @@ def shortened(values: np.ndarray, by: np.ndarray) -> np.ndarray:
     return np.floor(np.ldexp(values, -by[:, None])).astype(np.int64)
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers in 16 or 32 bits, if all fit, or as doubles."""
+    most = np.abs(values).max(initial=0)
+    return values.astype("<i2" if most < 2**15 else "<i4" if most < 2**31 else "<f8").tobytes()
+
+
+def unpacked(data: bytes, rows: int, width: int) -> np.ndarray:
+    return np.frombuffer(data, {2: "<i2", 4: "<i4", 8: "<f8"}[len(data) // (rows * width)]).reshape(rows, width)
+
+
 def _matrix(batch: pa.RecordBatch, name: str = "values") -> list[np.ndarray]:
     """The vectors of a batch as one matrix for each number of components."""
     column = batch.column(name)
@@ -106,16 +116,15 @@ def index(vectors: DataFrame, block: int = BLOCK, slices: int = SLICES) -> DataF
 
 
 def _block(ids: np.ndarray, values: np.ndarray, slices: int, cut: int) -> pa.RecordBatch:
-    """Whole values are kept beside the slices, in 32 bits where nothing was cut. ``reach`` bounds a row's sum of sizes."""
+    """Whole values are kept beside the slices. ``reach`` bounds a row's sum of sizes."""
     small = shortened(values, np.full(len(values), cut))
     above = small - small.min(axis=0)
     shift = max(0, int(above.max()).bit_length() - slices)
-    packed = slices_of(above >> shift, min(slices, max(1, int(above.max() >> shift).bit_length())))
+    bits = slices_of(above >> shift, min(slices, max(1, int(above.max() >> shift).bit_length())))
     return pa.RecordBatch.from_arrays([
         pa.array([values.shape[1]], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([cut], pa.int32()),
         pa.array([shift], pa.int32()), pa.array([int(np.abs(small).sum(axis=1).max())], pa.int64()),
-        pa.array([ids.astype("<i8").tobytes()]), pa.array([packed.tobytes()]),
-        pa.array([values.astype("<f8" if cut else "<i4").tobytes()]),
+        pa.array([ids.astype("<i8").tobytes()]), pa.array([bits.tobytes()]), pa.array([packed(values)]),
     ], names=["width", "rows", "cut", "shift", "reach", "ids", "bits", "values"])
 
 
@@ -206,7 +215,7 @@ def best_in_block(block: dict, queries: np.ndarray, own: np.ndarray, k: int) ->
     """For each query its k best rows of the block: query number, ids, scores. ``own`` are the queries' ids."""
     rows, width, shift, cut = block["rows"], block["width"], block["shift"], block["cut"]
     ids = np.frombuffer(block["ids"], "<i8")
-    values = np.frombuffer(block["values"], "<f8" if cut else "<i4").reshape(rows, width)
+    values = unpacked(block["values"], rows, width)
     words = -(-rows // 64)
     bitmaps = np.frombuffer(block["bits"], "<u8").reshape(width, -1, words)
     lost = cuts(queries)
@@ -268,7 +277,7 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = K, blocks: DataFrame |
                     part = at[a:a + BATCH]
                     yield pa.RecordBatch.from_arrays([
                         pa.array([values.shape[1]], pa.int32()), pa.array([numbers[part].astype("<i8").tobytes()]),
-                        pa.array([ids[part].astype("<i8").tobytes()]), pa.array([values[a:a + BATCH].astype("<f8").tobytes()]),
+                        pa.array([ids[part].astype("<i8").tobytes()]), pa.array([packed(values[a:a + BATCH])]),
                     ], names=["width", "numbers", "own", "weights"])
 
     asked = stored(queries.withColumn("number", F.monotonically_increasing_id()), "queries")
@@ -280,7 +289,7 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = K, blocks: DataFrame |
         for frame in frames:
             for row in frame.to_pylist():
                 own = np.frombuffer(row["own"], "<i8")
-                weights = np.frombuffer(row["weights"], "<f8").reshape(len(own), -1)
+                weights = unpacked(row["weights"], len(own), row["width"]).astype(np.float64)
                 numbers = np.frombuffer(row["numbers"], "<i8").tolist()
                 found = [(numbers[q], int(own[q]), i, min(max(score, LEAST_LONG), MOST_LONG), beyond(score))
                          for q, ids, scores in best_in_block(row, weights, own, k) for i, score in zip(ids, scores)]
@@ -290,8 +299,8 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = K, blocks: DataFrame |
 
     # Every batch of queries meets every block of its width: blocks times batches rows, no pairs. They are
     # dealt to a grid, blocks copied along its rows and batches along its columns, so that few bytes are copied
-    # however many there are of either: a block takes about as much as 12 batches. The join is by shuffle and has a
-    # hint, as Spark takes the copies for as large as one: it would broadcast up to 512 times its threshold.
+    # however many there are of either: a block takes about as much as 12 batches with their answers. The join is by shuffle
+    # and has a hint, as Spark takes the copies for as large as one: it would broadcast up to 512 times its threshold.
     n, m = max(1, blocks.count()), max(1, batches.count())
     down = max(1, min(n, CELLS, round(math.sqrt(CELLS * 12 * n / m))))
     across = max(1, min(m, CELLS // down))

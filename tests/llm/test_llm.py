@@ -366,6 +366,14 @@ def test_top_k_broadcasts_no_copies(spark):
     assert sorted(map(tuple, rows)) == expected
 
 
+@pytest.mark.parametrize("most, size", [(0, 2), (2**15 - 1, 2), (2**15, 4), (2**31 - 1, 4), (2**31, 8), (1e200, 8)])
+def test_whole_numbers_packed(most, size):
+    values = np.array([[most, -most, 1.0], [0.0, -1.0, 7.0]])
+    data = topk.packed(values)
+    assert len(data) == 6 * size
+    assert np.array_equal(topk.unpacked(data, 2, 3).astype(np.float64), values)
+
+
 MARKS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE ", "<</ROLE>>", "\\", "<", "[", ">>", "\n", " ", "x"]
 
 
